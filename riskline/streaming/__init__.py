@@ -1,0 +1 @@
+"""riskline.streaming."""
