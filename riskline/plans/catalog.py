@@ -1,3 +1,4 @@
 """Imports every query module so that the registry is complete."""
 
 from riskline.plans import profile_queries  # noqa: F401
+from riskline.plans import describe_queries  # noqa: F401
