@@ -27,20 +27,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def prefix_sums(
+def with_ranges(
     df: DataFrame,
     partition_cols: Sequence[str],
     order_col: str,
-    sum_cols: Sequence[str],
     buckets: int = 64,
     descending: bool = False,
     accuracy: int = 10_000,
 ) -> DataFrame:
-    """Add ``{c}_before`` = sum of ``c`` over rows that come strictly earlier
-    (ascending or ``descending`` ``order_col``) within each partition key.
-
-    ``order_col`` must be unique within a partition key (collapse ties first).
-    """
+    """Add ``_rng``: the index of the value range holding ``order_col``
+    (ranges follow the requested order)."""
     parts = list(partition_cols)
     key = F.col(order_col)
     probs = [i / buckets for i in range(1, buckets)]
@@ -51,14 +47,31 @@ def prefix_sums(
         cut_arr = F.col("_cuts")
     else:
         row = cuts.first()
-        j = df.withColumn("_cuts", F.lit(None))
-        cut_arr = F.array(*[F.lit(x) for x in (row["_cuts"] if row and row["_cuts"] else [])])
-        if not (row and row["_cuts"]):
-            cut_arr = F.array().cast("array<double>")
+        vals = row["_cuts"] if row and row["_cuts"] else []
+        j = df
+        cut_arr = F.array(*[F.lit(x) for x in vals]) if vals else F.array().cast("array<double>")
     rng = F.size(F.filter(cut_arr, lambda c: c < key))
     if descending:
         rng = F.lit(buckets) - rng
-    j = j.withColumn("_rng", rng.cast("int")).drop("_cuts")
+    return j.withColumn("_rng", rng.cast("int")).drop("_cuts")
+
+
+def prefix_sums(
+    df: DataFrame,
+    partition_cols: Sequence[str],
+    order_col: str,
+    sum_cols: Sequence[str],
+    buckets: int = 64,
+    descending: bool = False,
+    keep_range: bool = False,
+) -> DataFrame:
+    """Add ``{c}_before`` = sum of ``c`` over rows that come strictly earlier
+    (ascending or ``descending`` ``order_col``) within each partition key.
+
+    ``order_col`` must be unique within a partition key (collapse ties first).
+    """
+    parts = list(partition_cols)
+    j = with_ranges(df, parts, order_col, buckets, descending)
     totals = j.groupBy(*parts, "_rng").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
     w_rng = Window.partitionBy(*parts).orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -66,14 +79,45 @@ def prefix_sums(
     )
     # #keys x buckets rows: bounded, broadcast.
     j = j.join(F.broadcast(offsets), [*parts, "_rng"])
+    key = F.col(order_col)
     order = key.desc() if descending else key.asc()
     w = Window.partitionBy(*parts, "_rng").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return j.select(
         *[c for c in df.columns],
+        *(["_rng"] if keep_range else []),
         *[(F.col(f"_o_{c}") + F.coalesce(F.sum(c).over(w), F.lit(0))).alias(f"{c}_before") for c in sum_cols],
     )
 
 
+def next_values(
+    ranged: DataFrame,
+    partition_cols: Sequence[str],
+    order_col: str,
+    cols: Sequence[str],
+    descending: bool = False,
+) -> DataFrame:
+    """Add ``{c}_next``: the value of ``c`` on the following row in order
+    (NULL on the last row). ``ranged`` must carry ``_rng`` (``keep_range``):
+    a window per range gives the lead, and the first row of the next
+    non-empty range (a #keys x buckets table) patches each range's last row."""
+    parts = list(partition_cols)
+    key = F.col(order_col)
+    first_of = F.max_by if descending else F.min_by
+    firsts = ranged.groupBy(*parts, "_rng").agg(
+        *[first_of(F.col(c), key).alias(f"_f_{c}") for c in cols]
+    )
+    w_r = Window.partitionBy(*parts).orderBy("_rng")
+    patch = firsts.select(*parts, "_rng", *[F.lead(f"_f_{c}").over(w_r).alias(f"_p_{c}") for c in cols])
+    j = ranged.join(F.broadcast(patch), [*parts, "_rng"])
+    order = key.desc() if descending else key.asc()
+    w = Window.partitionBy(*parts, "_rng").orderBy(order)
+    is_last = F.lead(F.lit(1)).over(w).isNull()
+    return j.select(
+        *[c for c in ranged.columns],
+        *[F.when(is_last, F.col(f"_p_{c}")).otherwise(F.lead(c).over(w)).alias(f"{c}_next") for c in cols],
+    )
+
+
 def rank_sums(
     df: DataFrame,
     value: str,

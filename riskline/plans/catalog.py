@@ -4,3 +4,4 @@ from riskline.plans import profile_queries  # noqa: F401
 from riskline.plans import describe_queries  # noqa: F401
 from riskline.plans import stats_queries  # noqa: F401
 from riskline.plans import sampling_queries  # noqa: F401
+from riskline.plans import metrics_queries  # noqa: F401

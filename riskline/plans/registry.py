@@ -15,10 +15,21 @@ ORACLE: dict[str, str] = {}
 DIGITS = 6
 
 
+def round_half_away(c, digits: int = DIGITS):
+    """``round(x, digits)`` computed as ``sign(x) * floor(|x| * 10^d + 0.5) / 10^d``
+    on the binary value (SQL engines differ on half-way cases when rounding
+    through a decimal string; this form gives the same double as DuckDB's
+    ``round`` on a DOUBLE). Infinities and NULL pass through."""
+    m = float(10**digits)
+    x = F.col(c) if isinstance(c, str) else c
+    r = F.signum(x) * F.floor(F.abs(x) * m + 0.5) / m
+    return F.when(x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")), x).otherwise(r)
+
+
 def present(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Round every double column (reports carry 6 decimals; both engines agree there)."""
+    """Round every double column to ``digits`` decimals (reports carry 6)."""
     cols = {
-        f.name: F.round(F.col(f.name), digits)
+        f.name: round_half_away(F.col(f"`{f.name}`").cast("double"), digits)
         for f in df.schema.fields
         if isinstance(f.dataType, (T.DoubleType, T.FloatType))
     }
