@@ -23,16 +23,21 @@ def _key():
     return (ok * 7919 + pk * 104729 + ln * 31 + sk * 17) % 1000003
 
 
-_SPLIT_CTE = (
-    "c AS (SELECT label, count(*) AS n FROM bulk GROUP BY label), "
-    "t AS (SELECT sum(n) AS total, ceil(0.2::DOUBLE * sum(n)) AS n_test FROM c), "
-    "f AS (SELECT label, n, n / total * (total - n_test) AS cont, floor(n / total * (total - n_test)) AS fl FROM c, t), "
-    "nd AS (SELECT (SELECT total - n_test FROM t) - sum(fl) AS need FROM f), "
-    "q AS (SELECT label, n - (fl + CASE WHEN row_number() OVER (ORDER BY cont - fl DESC, label) <= (SELECT need FROM nd) "
-    "THEN 1 ELSE 0 END) AS quota FROM f), "
-    f"s AS (SELECT b.*, CASE WHEN row_number() OVER (PARTITION BY b.label ORDER BY {KEY_SQL}, {IDS_SQL}) <= quota "
-    "THEN 'test' ELSE 'train' END AS split FROM bulk b JOIN q ON b.label = q.label)"
-)
+def split_cte(source: str = "bulk", key: str = KEY_SQL, ids: str = IDS_SQL, test_size: float = 0.2) -> str:
+    """SQL CTEs ``c, t, f, nd, q, s`` where ``s`` is ``source`` plus ``split``."""
+    return (
+        f"c AS (SELECT label, count(*) AS n FROM {source} GROUP BY label), "
+        f"t AS (SELECT sum(n) AS total, ceil({test_size!r}::DOUBLE * sum(n)) AS n_test FROM c), "
+        "f AS (SELECT label, n, n / total * (total - n_test) AS cont, floor(n / total * (total - n_test)) AS fl FROM c, t), "
+        "nd AS (SELECT (SELECT total - n_test FROM t) - sum(fl) AS need FROM f), "
+        "q AS (SELECT label, n - (fl + CASE WHEN row_number() OVER (ORDER BY cont - fl DESC, label) <= (SELECT need FROM nd) "
+        "THEN 1 ELSE 0 END) AS quota FROM f), "
+        f"s AS (SELECT b.*, CASE WHEN row_number() OVER (PARTITION BY b.label ORDER BY {key}, {ids}) <= quota "
+        f"THEN 'test' ELSE 'train' END AS split FROM {source} b JOIN q ON b.label = q.label)"
+    )
+
+
+_SPLIT_CTE = split_cte()
 
 
 @query("i1_stratified_split", _extra(_SPLIT_CTE, f"SELECT {IDS_SQL}, label, split FROM s"))
