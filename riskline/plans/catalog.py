@@ -6,3 +6,4 @@ from riskline.plans import stats_queries  # noqa: F401
 from riskline.plans import sampling_queries  # noqa: F401
 from riskline.plans import metrics_queries  # noqa: F401
 from riskline.plans import neighbor_queries  # noqa: F401
+from riskline.plans import model_queries  # noqa: F401
