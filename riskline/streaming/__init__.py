@@ -1 +1 @@
-"""riskline.streaming."""
+"""Streaming: the reference has no stream source, watermark, window or state, so nothing is built here (see README)."""
