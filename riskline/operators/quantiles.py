@@ -38,49 +38,33 @@ def _key_of(row, by):
     return tuple(row[b] for b in by), row["variable"]
 
 
-def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probs: Sequence[float],
-    by: Sequence[str] = (),
-    buckets: int = 2048,
-    collect_limit: int = 100_000,
-) -> tuple[dict, dict]:
-    """Return ``(quantiles, counts)``.
-
-    ``quantiles[(group, variable, p)]`` is the exact linear-interpolated
-    quantile (None when the group has no value); ``counts[(group, variable)]``
-    is the non-null count. ``group`` is a tuple of the ``by`` values; ``by``
-    must be low-cardinality (classes, segments).
-    """
-    spark = df.sparkSession
-    by = list(by)
-    long = to_long(df, columns, by)
-    stats = long.groupBy(*by, "variable").agg(
+def _stats(long: DataFrame, by: Sequence[str]):
+    """Pass 0: ``count, min, max`` per (group, variable)."""
+    return long.groupBy(*by, "variable").agg(
         F.count("value").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
     ).collect()
 
-    counts = {}
-    state = {}  # (key, rank) -> [lo, hi, below, inside]
-    wanted = {}  # (key, p) -> (r0, r1, frac)
-    for row in stats:
-        key = _key_of(row, by)
-        n = row["n"]
-        counts[key] = n
-        for p in probs:
-            h = (n - 1) * float(p)
-            r0 = int(math.floor(h))
-            r1 = min(r0 + 1, n - 1)
-            wanted[(key, p)] = (r0, r1, h - r0)
-            for r in (r0, r1):
-                state.setdefault((key, r), [row["lo"], row["hi"], 0, n])
 
+def select_ranks(
+    long: DataFrame,
+    by: Sequence[str],
+    by_fields: Sequence[T.StructField],
+    state: dict,
+    buckets: int = 2048,
+    collect_limit: int = 100_000,
+) -> dict:
+    """Resolve ``state[(key, rank)] = [lo, hi, below, inside]`` (``key`` =
+    (group tuple, variable); ranks 0-based over non-NULL values) to
+    ``{(key, rank): (value, n_below)}`` where ``n_below`` counts the values
+    strictly smaller than ``value``."""
+    spark = long.sparkSession
+    by = list(by)
+    state = {k: list(v) for k, v in state.items()}
     values: dict = {}
-    by_schema = [df.schema[b] for b in by]
     for _ in range(_MAX_PASSES):
         for k, (lo, hi, below, inside) in list(state.items()):
             if lo == hi:
-                values[k] = lo
+                values[k] = (lo, below)
                 del state[k]
         if not state:
             break
@@ -97,12 +81,12 @@ def exact_quantiles(
         probe_rows = [(pid, *key[0], key[1], lo, hi) for (key, lo, hi), pid in probe_ids.items()]
         probe_schema = T.StructType(
             [T.StructField("_pid", T.LongType())]
-            + [T.StructField(f.name, f.dataType) for f in by_schema]
+            + [T.StructField(f.name, f.dataType) for f in by_fields]
             + [T.StructField("variable", T.StringType()), T.StructField("_lo", T.DoubleType()), T.StructField("_hi", T.DoubleType())]
         )
         probes = spark.createDataFrame(probe_rows, probe_schema)
         cond = [long["variable"] == probes["variable"]] + [long[b].eqNullSafe(probes[b]) for b in by]
-        # The probe table is bounded by (#groups x #columns x #probs x 2): safe to broadcast.
+        # The probe table is bounded by (#groups x #columns x #ranks): safe to broadcast.
         joined = long.join(F.broadcast(probes), cond).where(
             (F.col("value") >= F.col("_lo")) & (F.col("value") <= F.col("_hi"))
         )
@@ -118,10 +102,10 @@ def exact_quantiles(
                     target = k[1] - below
                     acc = 0
                     for v, c in vals:
-                        acc += c
-                        if acc > target:
-                            values[k] = v
+                        if acc + c > target:
+                            values[k] = (v, below + acc)
                             break
+                        acc += c
             break
         b = F.least(
             F.floor((F.col("value") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * buckets), F.lit(buckets - 1)
@@ -144,12 +128,46 @@ def exact_quantiles(
                         state[k] = [mn, mx, acc, c]
                         break
                     acc += c
+    return values
+
+
+def exact_quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    probs: Sequence[float],
+    by: Sequence[str] = (),
+    buckets: int = 2048,
+    collect_limit: int = 100_000,
+) -> tuple[dict, dict]:
+    """Return ``(quantiles, counts)``.
+
+    ``quantiles[(group, variable, p)]`` is the exact linear-interpolated
+    quantile (None when the group has no value); ``counts[(group, variable)]``
+    is the non-null count. ``group`` is a tuple of the ``by`` values; ``by``
+    must be low-cardinality (classes, segments).
+    """
+    by = list(by)
+    long = to_long(df, columns, by)
+    counts = {}
+    state = {}
+    wanted = {}
+    for row in _stats(long, by):
+        key = _key_of(row, by)
+        n = row["n"]
+        counts[key] = n
+        if n == 0:
+            continue
+        for p in probs:
+            h = (n - 1) * float(p)
+            r0 = int(math.floor(h))
+            r1 = min(r0 + 1, n - 1)
+            wanted[(key, p)] = (r0, r1, h - r0)
+            for r in (r0, r1):
+                state.setdefault((key, r), [row["lo"], row["hi"], 0, n])
+    values = select_ranks(long, by, [df.schema[b] for b in by], state, buckets, collect_limit)
     out = {}
     for (key, p), (r0, r1, frac) in wanted.items():
-        if counts.get(key, 0) == 0:
-            out[(key[0], key[1], p)] = None
-            continue
-        v0, v1 = values[(key, r0)], values[(key, r1)]
+        v0, v1 = values[(key, r0)][0], values[(key, r1)][0]
         out[(key[0], key[1], p)] = v0 if r1 == r0 or frac == 0 else v0 + (v1 - v0) * frac
     for key, n in counts.items():
         if n == 0:

@@ -6,15 +6,19 @@ Class quotas are exact (largest remainder, as a stratified shuffle split
 allocates them); the rows inside a class are the ones with the smallest
 ``(hash, id)``.
 
-Ranking inside a class does not go through one task: the 64-bit hash is
-uniform, so its top bits cut each class into equal ranges; range sizes get
-their prefix sums on a small table, and a window per (class, range) finishes
-the rank. A class that holds most rows is still spread over many ranges.
+Split and folds never shuffle the rows: for each class the order key at
+the quota rank (the "cut") is found with the range-narrowing selection of
+``quantiles.select_ranks`` (a few aggregation passes over (class, key) whose
+shuffles carry only histograms), then rows are assigned by comparing with the
+cut (``key < v``, and a struct comparison on ``(key, id...)`` for the rows
+that share the cut value). ``rank_within`` (explicit ranks via range-bounded
+windows) remains for callers that need the rank itself.
 """
 
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -81,6 +85,52 @@ def rank_within(
     return j.withColumn("_rank", F.col("_off") + F.row_number().over(w)).drop("_rng", "_off")
 
 
+def _order_cols(df: DataFrame, id_cols: Sequence[str], seed: int, order_key: Column | None) -> DataFrame:
+    key = order_key if order_key is not None else hash_key(id_cols, seed)
+    return df.withColumn("_okey", key.cast("long")).withColumn("_okd", F.col("_okey").cast("double"))
+
+
+def _cuts(df: DataFrame, target: str, id_cols: Sequence[str], ranks: Mapping) -> dict:
+    """For each class ``c`` and 0-based rank ``r`` in ``ranks[c]``: the row at
+    rank ``r`` in ``(_okey, id...)`` order, as ``(v, boundary_tuple)`` with
+    ``v`` its double key. Rows before it are exactly
+    ``_okd < v or (_okd == v and struct(_okey, id...) < boundary)``."""
+    from riskline.operators.quantiles import _stats, select_ranks
+
+    long = df.select(F.col(target), F.lit("key").alias("variable"), F.col("_okd").alias("value"))
+    state = {}
+    for row in _stats(long, [target]):
+        c = row[target]
+        for r in ranks.get(c, []):
+            state[(((c,), "key"), r)] = [row["lo"], row["hi"], 0, row["n"]]
+    if not state:
+        return {}
+    vals = select_ranks(long, [target], [df.schema[target]], state)
+    # Rows sharing a cut value: a handful (the key is a 64-bit hash), collected once.
+    pairs = {(k[0][0][0], v) for k, (v, _) in vals.items()}
+    cond = None
+    for c, v in pairs:
+        one = (F.col(target) == F.lit(c)) & (F.col("_okd") == F.lit(v))
+        cond = one if cond is None else cond | one
+    ties = defaultdict(list)
+    for r in df.where(cond).select(target, "_okd", "_okey", *id_cols).collect():
+        ties[(r[target], r["_okd"])].append(tuple(r[x] for x in ["_okey", *id_cols]))
+    out = defaultdict(dict)
+    for k, (v, below) in vals.items():
+        c, rank = k[0][0][0], k[1]
+        rows = sorted(ties[(c, v)])
+        out[c][rank] = (v, rows[rank - below])
+    return out
+
+
+def _before(df: DataFrame, id_cols: Sequence[str], cut) -> Column:
+    v, boundary = cut
+    fields = ["_okey", *id_cols]
+    lits = [F.lit(x).cast(df.schema[f].dataType) for f, x in zip(fields, boundary)]
+    tie = F.struct(*[F.col(f) for f in fields]) < F.struct(*lits)
+    return (F.col("_okd") < F.lit(v)) | ((F.col("_okd") == F.lit(v)) & tie)
+
+
 def stratified_split(
     df: DataFrame,
     target: str,
@@ -89,21 +139,28 @@ def stratified_split(
     seed: int = 42,
     order_key: Column | None = None,
 ) -> DataFrame:
-    """Add ``split`` ('train' / 'test') with exact stratified quotas.
-
-    One count job for the class sizes, then one shuffle for the ranks."""
+    """Add ``split`` ('train' / 'test') with exact stratified quotas: the
+    first ``quota_c`` rows of class ``c`` in ``(key, id)`` order are the test
+    rows. No shuffle of the rows: class counts and the cut come from
+    aggregation passes, the assignment is a projection."""
+    keyed = _order_cols(df, id_cols, seed, order_key)
     counts = class_counts(df, target)
     quotas = split_quotas(counts, test_size)
-    key = order_key if order_key is not None else hash_key(id_cols, seed)
-    ranked = rank_within(df, [target], key, id_cols, n_rows=sum(counts.values()))
-    quota = F.lit(0)
-    for k, q in quotas.items():
-        quota = F.when(F.col(target) == F.lit(k), F.lit(q)).otherwise(quota)
-    return ranked.withColumn("split", F.when(F.col("_rank") <= quota, "test").otherwise("train")).drop("_key", "_rank")
+    cuts = _cuts(keyed, target, id_cols, {c: [q] for c, q in quotas.items() if 0 < q < counts[c]})
+    expr = F.lit("train")
+    for c, q in quotas.items():
+        if q >= counts[c]:
+            is_test = F.lit(True)
+        elif q <= 0:
+            is_test = F.lit(False)
+        else:
+            is_test = _before(keyed, id_cols, cuts[c][q])
+        expr = F.when((F.col(target) == F.lit(c)) & is_test, F.lit("test")).otherwise(expr)
+    return keyed.withColumn("split", expr).drop("_okey", "_okd")
 
 
 def split_data(df: DataFrame, target: str, id_cols: Sequence[str], test_size: float = 0.2, seed: int = 42):
-    """``(train, test)`` frames (the split column is materialised once)."""
+    """``(train, test)`` frames."""
     s = stratified_split(df, target, id_cols, test_size, seed)
     return s.where(F.col("split") == "train").drop("split"), s.where(F.col("split") == "test").drop("split")
 
@@ -116,11 +173,27 @@ def stratified_folds(
     seed: int = 42,
     order_key: Column | None = None,
 ) -> DataFrame:
-    """Add ``fold`` in ``0..n_splits-1`` = (rank within class - 1) mod k, so
-    fold sizes differ by at most one per class."""
-    key = order_key if order_key is not None else hash_key(id_cols, seed)
-    ranked = rank_within(df, [target], key, id_cols)
-    return ranked.withColumn("fold", ((F.col("_rank") - 1) % n_splits).cast("int")).drop("_key", "_rank")
+    """Add ``fold`` in ``0..n_splits-1``: the row of rank ``r`` (0-based,
+    ``(key, id)`` order) in a class of ``n`` rows goes to fold
+    ``floor(r * k / n)``, so per-class fold sizes differ by at most one.
+    The k-1 cuts per class come from the same selection passes as the split."""
+    keyed = _order_cols(df, id_cols, seed, order_key)
+    counts = class_counts(df, target)
+    starts = {c: sorted({-(-f * n // n_splits) for f in range(1, n_splits)} - {n}) for c, n in counts.items()}
+    starts = {c: [r for r in rs if 0 < r < counts[c]] for c, rs in starts.items()}
+    cuts = _cuts(keyed, target, id_cols, starts)
+    fold = F.lit(0)
+    for c, n in counts.items():
+        steps = None
+        for f in range(1, n_splits):
+            r = -(-f * n // n_splits)
+            if 0 < r < n:
+                inc = F.when(~_before(keyed, id_cols, cuts[c][r]), F.lit(1)).otherwise(F.lit(0))
+            else:
+                inc = F.lit(0)
+            steps = inc if steps is None else steps + inc
+        fold = F.when(F.col(target) == F.lit(c), steps if steps is not None else F.lit(0)).otherwise(fold)
+    return keyed.withColumn("fold", fold.cast("int")).drop("_okey", "_okd")
 
 
 def balanced_weights(counts: Mapping) -> dict:

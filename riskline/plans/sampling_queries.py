@@ -61,11 +61,12 @@ def i1_split_quotas(spark, sf_dir):
     "i2_stratified_folds",
     _extra(
         "x AS (SELECT 1)",
-        f"SELECT {IDS_SQL}, label, CAST((row_number() OVER (PARTITION BY label ORDER BY {KEY_SQL}, {IDS_SQL}) - 1) % 5 AS INTEGER) AS fold FROM bulk",
+        f"SELECT {IDS_SQL}, label, CAST(((row_number() OVER (PARTITION BY label ORDER BY {KEY_SQL}, {IDS_SQL}) - 1) * 5) "
+        "// count(*) OVER (PARTITION BY label) AS INTEGER) AS fold FROM bulk",
     ),
 )
 def i2_stratified_folds(spark, sf_dir):
-    """Five stratified folds (fold = rank within class mod 5)."""
+    """Five stratified folds (fold = floor(rank x 5 / class size))."""
     df = FX.bulk(spark, sf_dir)
     return SP.stratified_folds(df, "label", IDS, 5, order_key=_key()).select(*IDS, "label", "fold")
 
@@ -73,7 +74,8 @@ def i2_stratified_folds(spark, sf_dir):
 @query(
     "i2_fold_sizes",
     _extra(
-        f"fo AS (SELECT label, (row_number() OVER (PARTITION BY label ORDER BY {KEY_SQL}, {IDS_SQL}) - 1) % 5 AS fold FROM bulk)",
+        f"fo AS (SELECT label, ((row_number() OVER (PARTITION BY label ORDER BY {KEY_SQL}, {IDS_SQL}) - 1) * 5) "
+        "// count(*) OVER (PARTITION BY label) AS fold FROM bulk)",
         "SELECT label, CAST(fold AS INTEGER) AS fold, CAST(count(*) AS BIGINT) AS n FROM fo GROUP BY ALL",
     ),
 )
