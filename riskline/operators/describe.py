@@ -257,24 +257,24 @@ def _cat_counts(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame
 
 def crosstab(df: DataFrame, columns: Sequence[str], target: str, margins: bool = False) -> DataFrame:
     """``variable, category, n_0, n_1, total`` (0-filled). With
-    ``margins`` an ``All`` row per variable holds the column totals; the
-    margin is told apart from a real category by ``grouping()``, not by value."""
+    ``margins`` an ``All`` row per variable holds the column totals."""
     long = to_long(df, columns, by=[target], value_type="string").withColumnRenamed("value", "category")
-    aggs = [
+    cells = long.groupBy("variable", "category").agg(
         F.count_if(F.col(target) == 0).cast("bigint").alias("n_0"),
         F.count_if(F.col(target) == 1).cast("bigint").alias("n_1"),
         F.count(F.lit(1)).cast("bigint").alias("total"),
-    ]
+    )
     if not margins:
-        return long.groupBy("variable", "category").agg(*aggs)
-    r = long.rollup("variable", "category").agg(*aggs, F.grouping("category").alias("_m"), F.grouping("variable").alias("_v"))
-    return r.where(F.col("_v") == 0).select(
-        "variable",
-        F.when(F.col("_m") == 1, F.lit("All")).otherwise(F.col("category")).alias("category"),
-        "n_0",
-        "n_1",
-        "total",
+        return cells
+    # Margins from the aggregated cells (#variables x #categories rows), not a
+    # rollup over the raw rows (which would expand every row before aggregating).
+    totals = cells.groupBy("variable").agg(
+        F.lit("All").alias("category"),
+        F.sum("n_0").cast("bigint").alias("n_0"),
+        F.sum("n_1").cast("bigint").alias("n_1"),
+        F.sum("total").cast("bigint").alias("total"),
     )
+    return cells.unionByName(totals)
 
 
 def crosstab_row_pct(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:

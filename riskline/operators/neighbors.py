@@ -150,9 +150,12 @@ def knn_impute(
     vals = pool.select(F.col(id_col).cast("long").alias("did"), F.col(target).cast("double").alias("_y"))
     fill = nn.join(vals, "did").groupBy("qid").agg(F.avg("_y").alias("_fill"))
     mean = pool.agg(F.avg(target)).first()[0]
-    out = df.join(fill, df[id_col].cast("long") == fill["qid"], "left")
-    filled = F.coalesce(F.col(target), F.col("_fill"), F.lit(mean)).cast(df.schema[target].dataType)
-    return out.withColumn(target, filled).drop("qid", "_fill")
+    # Only the receivers meet the fill table; rows that have the target pass
+    # through without a shuffle.
+    rec = receivers.join(fill, receivers[id_col].cast("long") == fill["qid"], "left")
+    filled = F.coalesce(F.col("_fill"), F.lit(mean)).cast(df.schema[target].dataType)
+    rec = rec.withColumn(target, filled).select(*df.columns)
+    return df.where(F.col(target).isNotNull()).unionByName(rec)
 
 
 # ---------------------------------------------------------------------------
