@@ -85,49 +85,88 @@ def rank_within(
     return j.withColumn("_rank", F.col("_off") + F.row_number().over(w)).drop("_rng", "_off")
 
 
+TIE_COLLECT_LIMIT = 10_000
+
+
 def _order_cols(df: DataFrame, id_cols: Sequence[str], seed: int, order_key: Column | None) -> DataFrame:
+    """``_okey`` (primary order: the key, a hash of the ids by default) and
+    ``_okey2`` (a hash of the whole row: orders rows sharing a primary key,
+    e.g. repeated ids), with their double forms for rank selection."""
     key = order_key if order_key is not None else hash_key(id_cols, seed)
-    return df.withColumn("_okey", key.cast("long")).withColumn("_okd", F.col("_okey").cast("double"))
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.lit(seed + 1))
+    return (
+        df.withColumn("_okey", key.cast("long"))
+        .withColumn("_okd", F.col("_okey").cast("double"))
+        .withColumn("_okey2", row_hash)
+        .withColumn("_okd2", F.col("_okey2").cast("double"))
+    )
 
 
 def _cuts(df: DataFrame, target: str, id_cols: Sequence[str], ranks: Mapping) -> dict:
     """For each class ``c`` and 0-based rank ``r`` in ``ranks[c]``: the row at
-    rank ``r`` in ``(_okey, id...)`` order, as ``(v, boundary_tuple)`` with
-    ``v`` its double key. Rows before it are exactly
-    ``_okd < v or (_okd == v and struct(_okey, id...) < boundary)``."""
+    rank ``r`` in ``(_okey, id..., _okey2)`` order, as ``(v, v2, boundary)``.
+    Rows before it are exactly those that ``_before`` selects.
+
+    Level 1 selects the primary key value ``v`` at the rank; when many rows
+    share it (a hot key: with the default hash key, copies of one id), level 2
+    selects among them on the row hash, which then orders them. Only
+    the rows sharing both values are collected: exact copies, bounded by
+    ``TIE_COLLECT_LIMIT`` (beyond it the copies at the cut move together and
+    the quota may be off by less than their number)."""
     from riskline.operators.quantiles import _stats, select_ranks
 
-    long = df.select(F.col(target), F.lit("key").alias("variable"), F.col("_okd").alias("value"))
-    state = {}
-    for row in _stats(long, [target]):
-        c = row[target]
-        for r in ranks.get(c, []):
-            state[(((c,), "key"), r)] = [row["lo"], row["hi"], 0, row["n"]]
-    if not state:
+    def level(frame, value_col, wanted):
+        long = frame.select(F.col(target), F.lit("key").alias("variable"), F.col(value_col).alias("value"))
+        state = {}
+        for row in _stats(long, [target]):
+            c = row[target]
+            for r in wanted.get(c, []):
+                state[(((c,), "key"), r)] = [row["lo"], row["hi"], 0, row["n"]]
+        if not state:
+            return {}
+        res = select_ranks(long, [target], [frame.schema[target]], state)
+        return {(k[0][0][0], k[1]): vb for k, vb in res.items()}
+
+    v1 = level(df, "_okd", ranks)
+    if not v1:
         return {}
-    vals = select_ranks(long, [target], [df.schema[target]], state)
-    # Rows sharing a cut value: a handful (the key is a 64-bit hash), collected once.
-    pairs = {(k[0][0][0], v) for k, (v, _) in vals.items()}
-    cond = None
-    for c, v in pairs:
-        one = (F.col(target) == F.lit(c)) & (F.col("_okd") == F.lit(v))
-        cond = one if cond is None else cond | one
+
+    def any_of(pairs):
+        cond = None
+        for c, v in pairs:
+            one = (F.col(target) == F.lit(c)) & (F.col("_okd") == F.lit(v))
+            cond = one if cond is None else cond | one
+        return cond
+
+    pairs = {(c, v) for (c, _r), (v, _b) in v1.items()}
+    # One job for the size of every tie group, one for the small groups' rows.
+    sizes = {(r[target], r["_okd"]): r["count"] for r in df.where(any_of(pairs)).groupBy(target, "_okd").count().collect()}
+    small = [p for p in pairs if sizes.get(p, 0) <= TIE_COLLECT_LIMIT]
     ties = defaultdict(list)
-    for r in df.where(cond).select(target, "_okd", "_okey", *id_cols).collect():
-        ties[(r[target], r["_okd"])].append(tuple(r[x] for x in ["_okey", *id_cols]))
+    if small:
+        for x in df.where(any_of(small)).select(target, "_okd", "_okey", *id_cols, "_okey2").collect():
+            ties[(x[target], x["_okd"])].append(tuple(x)[2:])
     out = defaultdict(dict)
-    for k, (v, below) in vals.items():
-        c, rank = k[0][0][0], k[1]
-        rows = sorted(ties[(c, v)])
-        out[c][rank] = (v, rows[rank - below])
+    for (c, r), (v, below) in v1.items():
+        r2 = r - below
+        if (c, v) in ties or sizes.get((c, v), 0) <= TIE_COLLECT_LIMIT:
+            out[c][r] = (v, None, sorted(ties[(c, v)])[r2])
+            continue
+        tied = df.where((F.col(target) == F.lit(c)) & (F.col("_okd") == F.lit(v)))
+        (v2, below2) = level(tied, "_okd2", {c: [r2]})[(c, r2)]
+        tied2 = tied.where(F.col("_okd2") == F.lit(v2))
+        rows = sorted(tuple(x) for x in tied2.select("_okey", *id_cols, "_okey2").limit(TIE_COLLECT_LIMIT).collect())
+        out[c][r] = (v, v2, rows[min(r2 - below2, len(rows) - 1)])
     return out
 
 
 def _before(df: DataFrame, id_cols: Sequence[str], cut) -> Column:
-    v, boundary = cut
-    fields = ["_okey", *id_cols]
+    v, v2, boundary = cut
+    fields = ["_okey", *id_cols, "_okey2"]
     lits = [F.lit(x).cast(df.schema[f].dataType) for f, x in zip(fields, boundary)]
     tie = F.struct(*[F.col(f) for f in fields]) < F.struct(*lits)
+    if v2 is not None:
+        tie = (F.col("_okd2") < F.lit(v2)) | ((F.col("_okd2") == F.lit(v2)) & tie)
     return (F.col("_okd") < F.lit(v)) | ((F.col("_okd") == F.lit(v)) & tie)
 
 
@@ -156,7 +195,7 @@ def stratified_split(
         else:
             is_test = _before(keyed, id_cols, cuts[c][q])
         expr = F.when((F.col(target) == F.lit(c)) & is_test, F.lit("test")).otherwise(expr)
-    return keyed.withColumn("split", expr).drop("_okey", "_okd")
+    return keyed.withColumn("split", expr).drop("_okey", "_okd", "_okey2", "_okd2")
 
 
 def split_data(df: DataFrame, target: str, id_cols: Sequence[str], test_size: float = 0.2, seed: int = 42):
@@ -193,7 +232,7 @@ def stratified_folds(
                 inc = F.lit(0)
             steps = inc if steps is None else steps + inc
         fold = F.when(F.col(target) == F.lit(c), steps if steps is not None else F.lit(0)).otherwise(fold)
-    return keyed.withColumn("fold", fold.cast("int")).drop("_okey", "_okd")
+    return keyed.withColumn("fold", fold.cast("int")).drop("_okey", "_okd", "_okey2", "_okd2")
 
 
 def balanced_weights(counts: Mapping) -> dict:

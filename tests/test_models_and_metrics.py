@@ -222,3 +222,18 @@ def test_grid_helpers():
     from riskline.plans.experiment import run_plan
 
     assert len(run_plan()) == 54
+
+
+def test_split_with_hot_id_is_exact(spark, monkeypatch):
+    # 1/3 of the rows are copies of one id: the cut falls inside that group.
+    monkeypatch.setattr(SP, "TIE_COLLECT_LIMIT", 5)
+    rows = [(7, i, i % 2) for i in range(300)] + [(i, i, (i // 3) % 2) for i in range(1000, 1600)]
+    df = spark.createDataFrame(rows, "id long, payload long, label int")
+    s = SP.stratified_split(df, "label", ["id"], 0.5, seed=3)
+    counts = {(r["label"], r["split"]): r["count"] for r in s.groupBy("label", "split").count().collect()}
+    quotas = SP.split_quotas({0: 450, 1: 450}, 0.5)
+    assert counts[(0, "test")] == quotas[0] and counts[(1, "test")] == quotas[1]
+    folds = SP.stratified_folds(df, "label", ["id"], 4, seed=3)
+    for lab in (0, 1):
+        v = [r["count"] for r in folds.groupBy("label", "fold").count().collect() if r["label"] == lab]
+        assert max(v) - min(v) <= 1
