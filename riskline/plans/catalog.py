@@ -8,3 +8,4 @@ from riskline.plans import metrics_queries  # noqa: F401
 from riskline.plans import neighbor_queries  # noqa: F401
 from riskline.plans import model_queries  # noqa: F401
 from riskline.plans import clean_queries  # noqa: F401
+from riskline.plans import extra_fixture_queries  # noqa: F401
