@@ -163,9 +163,13 @@ def nullable_int(x: str | Column, name: str = "value") -> Column:
     )
 
 
+def round_report(x: str | Column, digits: int = 2) -> Column:
+    """Half-to-even rounding of report values (``.round(2)`` of a table)."""
+    return F.bround(_col(x), digits)
+
+
 def run_key(*parts: str | Column) -> Column:
-    """``a__b__c`` run identifier."""
-    """Strings are literals; pass ``F.col(..)`` for column parts."""
+    """``a__b__c`` run identifier (strings are literals; pass ``F.col(..)`` for column parts)."""
     return F.concat_ws("__", *[p if isinstance(p, Column) else F.lit(p) for p in parts])
 
 
