@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskline.operators.ordering import next_values, prefix_sums, rank_sums
+from riskline.operators.ordering import materialize, next_values, prefix_sums, rank_sums
 
 
 def _safe_div(a, b):
@@ -82,11 +82,9 @@ def _score_points(df: DataFrame, label: str, score: str, by: Sequence[str]) -> D
         F.count_if(F.col(label) == 1).cast("bigint").alias("tp"),
         F.count_if(F.col(label) != 1).cast("bigint").alias("fp"),
     )
+    pts = materialize(pts)  # one row per distinct score, reused by every step below
+    tot = pts.groupBy(*by).agg(F.sum("tp").cast("bigint").alias("P"), F.sum("fp").cast("bigint").alias("N"))
     cum = prefix_sums(pts, by, "threshold", ["tp", "fp"], descending=True, keep_range=True)
-    tot = base.groupBy(*by).agg(
-        F.count_if(F.col(label) == 1).cast("bigint").alias("P"),
-        F.count_if(F.col(label) != 1).cast("bigint").alias("N"),
-    )
     cum = cum.withColumns({"tps": F.col("tp_before") + F.col("tp"), "fps": F.col("fp_before") + F.col("fp")})
     # #keys rows: bounded, broadcast.
     return cum.join(F.broadcast(tot), by)

@@ -27,6 +27,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable checkpoint in the session's shared folder."""
+    from riskline.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def with_ranges(
     df: DataFrame,
     partition_cols: Sequence[str],
@@ -139,6 +147,10 @@ def rank_sums(
         F.count_if(F.col(label) == positive).cast("bigint").alias("_pos"),
         F.count_if(F.col(label) != positive).cast("bigint").alias("_neg"),
     ).withColumn("_t", F.col("_pos") + F.col("_neg"))
+    # The distinct-value table feeds three steps (cut points, range totals,
+    # windows): materialise it once (reliable checkpoint) instead of
+    # re-aggregating the raw rows three times.
+    per_value = materialize(per_value)
     ranked = prefix_sums(per_value, by, "_v", ["_t"], buckets=buckets)
     avg_rank = F.col("_t_before") + (F.col("_t") + 1) / 2.0
     return ranked.groupBy(*by).agg(

@@ -42,7 +42,11 @@ def scored_runs(spark, sf_dir) -> DataFrame:
 
 def results(spark, sf_dir) -> DataFrame:
     """The run result table (one row per run), as the experiment matrix emits."""
-    ev = M.evaluate_predictions(scored_runs(spark, sf_dir), "label", "prediction", "score", by=["model_name", "threshold"])
+    # Confusion counts per run; the AUC does not depend on the threshold, so it
+    # is ranked once per scorer and joined to its runs.
+    ev = M.evaluate_predictions(scored_runs(spark, sf_dir), "label", "prediction", None, by=["model_name", "threshold"]).drop("roc_auc")
+    auc = M.roc_auc(scored(spark, sf_dir), "label", "score", by=["model_name"])
+    ev = ev.join(auc, "model_name")
     return ev.select(
         run_key(F.col("model_name"), F.col("threshold")).alias("run_key"),
         "model_name",
