@@ -55,8 +55,8 @@ def select_ranks(
 ) -> dict:
     """Resolve ``state[(key, rank)] = [lo, hi, below, inside]`` (``key`` =
     (group tuple, variable); ranks 0-based over non-NULL values) to
-    ``{(key, rank): (value, n_below)}`` where ``n_below`` counts the values
-    strictly smaller than ``value``."""
+    ``{(key, rank): (value, n_below, n_equal)}`` where ``n_below`` counts the
+    values strictly smaller than ``value`` and ``n_equal`` those equal to it."""
     spark = long.sparkSession
     by = list(by)
     state = {k: list(v) for k, v in state.items()}
@@ -64,7 +64,7 @@ def select_ranks(
     for _ in range(_MAX_PASSES):
         for k, (lo, hi, below, inside) in list(state.items()):
             if lo == hi:
-                values[k] = (lo, below)
+                values[k] = (lo, below, inside)
                 del state[k]
         if not state:
             break
@@ -103,7 +103,7 @@ def select_ranks(
                     acc = 0
                     for v, c in vals:
                         if acc + c > target:
-                            values[k] = (v, below + acc)
+                            values[k] = (v, below + acc, c)
                             break
                         acc += c
             break

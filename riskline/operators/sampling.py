@@ -102,7 +102,7 @@ def _order_cols(df: DataFrame, id_cols: Sequence[str], seed: int, order_key: Col
     )
 
 
-def _cuts(df: DataFrame, target: str, id_cols: Sequence[str], ranks: Mapping) -> dict:
+def _cuts(df: DataFrame, target: str, id_cols: Sequence[str], ranks: Mapping, stats=None) -> dict:
     """For each class ``c`` and 0-based rank ``r`` in ``ranks[c]``: the row at
     rank ``r`` in ``(_okey, id..., _okey2)`` order, as ``(v, v2, boundary)``.
     Rows before it are exactly those that ``_before`` selects.
@@ -115,10 +115,10 @@ def _cuts(df: DataFrame, target: str, id_cols: Sequence[str], ranks: Mapping) ->
     the quota may be off by less than their number)."""
     from riskline.operators.quantiles import _stats, select_ranks
 
-    def level(frame, value_col, wanted):
+    def level(frame, value_col, wanted, stats=None):
         long = frame.select(F.col(target), F.lit("key").alias("variable"), F.col(value_col).alias("value"))
         state = {}
-        for row in _stats(long, [target]):
+        for row in stats if stats is not None else _stats(long, [target]):
             c = row[target]
             for r in wanted.get(c, []):
                 state[(((c,), "key"), r)] = [row["lo"], row["hi"], 0, row["n"]]
@@ -127,7 +127,7 @@ def _cuts(df: DataFrame, target: str, id_cols: Sequence[str], ranks: Mapping) ->
         res = select_ranks(long, [target], [frame.schema[target]], state)
         return {(k[0][0][0], k[1]): vb for k, vb in res.items()}
 
-    v1 = level(df, "_okd", ranks)
+    v1 = level(df, "_okd", ranks, stats)
     if not v1:
         return {}
 
@@ -138,28 +138,37 @@ def _cuts(df: DataFrame, target: str, id_cols: Sequence[str], ranks: Mapping) ->
             cond = one if cond is None else cond | one
         return cond
 
-    pairs = {(c, v) for (c, _r), (v, _b) in v1.items()}
-    # One job for the size of every tie group, one for the small groups' rows.
-    sizes = {(r[target], r["_okd"]): r["count"] for r in df.where(any_of(pairs)).groupBy(target, "_okd").count().collect()}
-    small = [p for p in pairs if sizes.get(p, 0) <= TIE_COLLECT_LIMIT]
+    # The selection already knows how many rows share each cut value.
+    sizes = {(c, v): n_eq for (c, _r), (v, _b, n_eq) in v1.items()}
+    small = [p for p, n in sizes.items() if n <= TIE_COLLECT_LIMIT]
     ties = defaultdict(list)
     if small:
         for x in df.where(any_of(small)).select(target, "_okd", "_okey", *id_cols, "_okey2").collect():
             ties[(x[target], x["_okd"])].append(tuple(x)[2:])
     out = defaultdict(dict)
-    for (c, r), (v, below) in v1.items():
+    for (c, r), (v, below, _n) in v1.items():
         r2 = r - below
-        if (c, v) in ties or sizes.get((c, v), 0) <= TIE_COLLECT_LIMIT:
+        if sizes[(c, v)] <= TIE_COLLECT_LIMIT:
             out[c][r] = (v, None, sorted(ties[(c, v)])[r2])
             continue
         tied = df.where((F.col(target) == F.lit(c)) & (F.col("_okd") == F.lit(v)))
-        (v2, below2) = level(tied, "_okd2", {c: [r2]})[(c, r2)]
+        (v2, below2, _n2) = level(tied, "_okd2", {c: [r2]})[(c, r2)]
         tied2 = tied.where(F.col("_okd2") == F.lit(v2))
         rows = sorted(tuple(x) for x in tied2.select("_okey", *id_cols, "_okey2").limit(TIE_COLLECT_LIMIT).collect())
         out[c][r] = (v, v2, rows[min(r2 - below2, len(rows) - 1)])
     return out
 
 
+def _key_stats(keyed: DataFrame, target: str):
+    """One pass: per class ``n, min, max`` of the order key (the class sizes
+    and the selection's starting ranges)."""
+    from riskline.operators.quantiles import _stats
+
+    long = keyed.select(F.col(target), F.lit("key").alias("variable"), F.col("_okd").alias("value"))
+    stats = _stats(long, [target])
+    return stats, {r[target]: r["n"] for r in stats}
+
+
 def _before(df: DataFrame, id_cols: Sequence[str], cut) -> Column:
     v, v2, boundary = cut
     fields = ["_okey", *id_cols, "_okey2"]
@@ -183,9 +192,9 @@ def stratified_split(
     rows. No shuffle of the rows: class counts and the cut come from
     aggregation passes, the assignment is a projection."""
     keyed = _order_cols(df, id_cols, seed, order_key)
-    counts = class_counts(df, target)
+    stats, counts = _key_stats(keyed, target)
     quotas = split_quotas(counts, test_size)
-    cuts = _cuts(keyed, target, id_cols, {c: [q] for c, q in quotas.items() if 0 < q < counts[c]})
+    cuts = _cuts(keyed, target, id_cols, {c: [q] for c, q in quotas.items() if 0 < q < counts[c]}, stats)
     expr = F.lit("train")
     for c, q in quotas.items():
         if q >= counts[c]:
@@ -217,10 +226,10 @@ def stratified_folds(
     ``floor(r * k / n)``, so per-class fold sizes differ by at most one.
     The k-1 cuts per class come from the same selection passes as the split."""
     keyed = _order_cols(df, id_cols, seed, order_key)
-    counts = class_counts(df, target)
+    stats, counts = _key_stats(keyed, target)
     starts = {c: sorted({-(-f * n // n_splits) for f in range(1, n_splits)} - {n}) for c, n in counts.items()}
     starts = {c: [r for r in rs if 0 < r < counts[c]] for c, rs in starts.items()}
-    cuts = _cuts(keyed, target, id_cols, starts)
+    cuts = _cuts(keyed, target, id_cols, starts, stats)
     fold = F.lit(0)
     for c, n in counts.items():
         steps = None
