@@ -26,25 +26,34 @@ from riskline.operators.ordering import rank_sums
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str], full: bool = False) -> DataFrame:
-    """Pairwise-complete Pearson r of every column pair in ONE aggregate.
+    """Pairwise-complete Pearson r of every column pair in ONE job.
 
     ``variable_1, variable_2, correlation, abs_correlation, strength``; the
     upper triangle (i < j) by default, the full symmetric matrix with ``full``.
-    """
+    Each row is exploded in-stage into one (pair, x, y) row per pair and a
+    single ``groupBy(pair).agg(corr)`` runs with partial aggregation: one small
+    aggregate stays inside whole-stage codegen, where k(k-1)/2 separate
+    ``corr`` columns in one aggregate do not."""
     cols = list(columns)
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    row = df.agg(*[F.corr(cols[i], cols[j]).alias(f"c_{i}_{j}") for i, j in pairs])
-    structs = []
-    for i, j in pairs:
-        r = F.col(f"c_{i}_{j}")
-        structs.append(F.struct(F.lit(cols[i]).alias("variable_1"), F.lit(cols[j]).alias("variable_2"), r.alias("correlation")))
-        if full:
-            structs.append(F.struct(F.lit(cols[j]).alias("variable_1"), F.lit(cols[i]).alias("variable_2"), r.alias("correlation")))
-    if full:
-        structs += [
-            F.struct(F.lit(c).alias("variable_1"), F.lit(c).alias("variable_2"), F.lit(1.0).alias("correlation")) for c in cols
+    arr = F.array(
+        *[
+            F.struct(F.lit(p).alias("p"), F.col(cols[i]).cast("double").alias("x"), F.col(cols[j]).cast("double").alias("y"))
+            for p, (i, j) in enumerate(pairs)
         ]
-    out = row.select(F.explode(F.array(*structs)).alias("p")).select("p.*")
+    )
+    r = df.select(F.explode(arr).alias("s")).groupBy(F.col("s.p").alias("p")).agg(F.corr("s.x", "s.y").alias("correlation"))
+    first = F.array(*[F.lit(cols[i]) for i, _ in pairs])
+    second = F.array(*[F.lit(cols[j]) for _, j in pairs])
+    out = r.select(
+        F.element_at(first, F.col("p") + 1).alias("variable_1"),
+        F.element_at(second, F.col("p") + 1).alias("variable_2"),
+        "correlation",
+    )
+    if full:
+        spark = df.sparkSession
+        diag = spark.createDataFrame([(c, c, 1.0) for c in cols], "variable_1 string, variable_2 string, correlation double")
+        out = out.unionByName(out.select(F.col("variable_2").alias("variable_1"), F.col("variable_1").alias("variable_2"), "correlation")).unionByName(diag)
     return out.withColumns(
         {"abs_correlation": F.abs("correlation"), "strength": X.corr_strength(F.col("correlation"))}
     )
