@@ -51,3 +51,19 @@ def test_reference_flow_end_to_end(spark):
     assert all(abs(m[c]) < 1e-9 for c in R.MODEL_FEATURES)
     back = spark.read.option("header", True).csv(os.path.join(d, "test_unscaled.csv"))
     assert back.count() == 60
+
+
+REFERENCE_FUNCTIONS = """load_data rename_columns convert_dtypes missing_value_summary get_column_types simple_imputation
+knn_impute_glucose outliers_iqr iqr_outlier_summary zscore_outlier_summary split_data create_unscaled_sets standard_scale
+robust_scale build_scaled_dataframe standardize_target derive_features compute_vif feature_selection build_final_dataset
+save_final_dataset load_dataset prepare_features make_preprocessor get_estimators build_pipeline get_search_spaces get_cv
+tune_model predict_proba_positive evaluate_predictions compute_roc_curve compute_pr_curve cramers_v cohens_d
+calculate_importance_score classify_usefulness run_one_experiment""".split()
+
+
+def test_api_names_cover_the_reference_functions():
+    from riskline import api
+
+    missing = [n for n in REFERENCE_FUNCTIONS if not callable(getattr(api, n, None))]
+    assert not missing
+    assert api.cramers_v(5.4, 60, 2, 2) == pytest.approx((5.4 / 60) ** 0.5)
