@@ -50,14 +50,24 @@ def norm_sf(z: float) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2.0))
 
 
+SMALLEST_NORMAL = 2.2250738585072014e-308
+
+
+def flush(p: float) -> float:
+    """Tails below the smallest normal double are reported as 0 (their
+    logarithm would depend on subnormal rounding); the importance score then
+    applies its 1e-300 floor."""
+    return 0.0 if p < SMALLEST_NORMAL else p
+
+
 @pandas_udf(DoubleType())
 def _chi2_sf_udf(x: pd.Series, dof: pd.Series) -> pd.Series:
-    return pd.Series([chi2_sf(float(a), int(b)) if pd.notna(a) and pd.notna(b) else None for a, b in zip(x, dof)])
+    return pd.Series([flush(chi2_sf(float(a), int(b))) if pd.notna(a) and pd.notna(b) else None for a, b in zip(x, dof)])
 
 
 @pandas_udf(DoubleType())
 def _two_sided_normal_udf(z: pd.Series) -> pd.Series:
-    return pd.Series([min(1.0, 2.0 * norm_sf(abs(float(a)))) if pd.notna(a) else None for a in z])
+    return pd.Series([flush(min(1.0, 2.0 * norm_sf(abs(float(a))))) if pd.notna(a) else None for a in z])
 
 
 def chi2_pvalue(x: Column | str, dof: Column | str) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from riskline.operators import stats as S
 from riskline.plans.describe_queries import _extra, long_sql
+from riskline.plans.pvalue_sql import chi2_sf_sql, two_sided_normal_sql
 from riskline.plans.registry import query
 from riskline.sources import fixtures as FX
 from riskline.sources.fixtures import with_fixtures
@@ -111,6 +112,19 @@ def d18_expected_frequencies(spark, sf_dir):
     return S.expected_frequencies(FX.bulk(spark, sf_dir), CAT, "label")
 
 
+_CHI_STATS = (
+    "cs AS (SELECT variable, chi2, dof, n, n_categories, n_classes, min_expected, "
+    "sqrt(chi2 / (n * least(n_classes - 1, n_categories - 1))) AS cramers_v, sqrt(chi2 / 2.0) AS x1 FROM ("
+    "SELECT variable, sum(CASE WHEN (r-1)*(k-1) = 1 THEN (abs(observed-expected) - least(0.5, abs(observed-expected)))^2 "
+    "ELSE (observed-expected)^2 END / expected) AS chi2, CAST(any_value((r-1)*(k-1)) AS INTEGER) AS dof, "
+    "CAST(any_value(n) AS BIGINT) AS n, CAST(any_value(r) AS INTEGER) AS n_categories, CAST(any_value(k) AS INTEGER) AS n_classes, "
+    "min(expected) AS min_expected FROM e GROUP BY variable)), "
+    f"cp AS (SELECT *, {chi2_sf_sql('chi2', 'dof', 'x1')} AS p_value FROM cs)"
+)
+_STARS = "CASE WHEN p_value < 0.001 THEN '***' WHEN p_value < 0.01 THEN '**' WHEN p_value < 0.05 THEN '*' ELSE 'ns' END"
+_EFFECT = "CASE WHEN cramers_v < 0.1 THEN 'negligible' WHEN cramers_v < 0.3 THEN 'small' WHEN cramers_v < 0.5 THEN 'moderate' ELSE 'large' END"
+
+
 @query(
     "d17_chi_square_stats",
     _extra(
@@ -128,7 +142,16 @@ def d17_chi_square_stats(spark, sf_dir):
     return S.chi_square_stats(FX.bulk(spark, sf_dir), CAT, "label")
 
 
-@query("d22_chi_square_report")
+@query(
+    "d22_chi_square_report",
+    _extra(
+        _CELLS + ", " + _CHI_STATS,
+        f"SELECT variable, round(chi2, 6) AS chi2, round(p_value, 6) AS p_value, {_STARS} AS significance, "
+        f"round(cramers_v, 6) AS cramers_v, {_EFFECT} AS effect_size, dof, round(min_expected, 6) AS min_expected, "
+        "CASE WHEN min_expected >= 5 THEN 'Yes' ELSE 'No' END AS valid_test, "
+        "CASE WHEN p_value < 0.05 AND cramers_v >= 0.1 THEN 'Yes' ELSE 'No' END AS useful FROM cp",
+    ),
+)
 def d22_chi_square_report(spark, sf_dir):
     """The full chi-square report with p-values, stars and flags."""
     return S.chi_square_report(FX.bulk(spark, sf_dir), CAT, "label")
@@ -154,11 +177,11 @@ def d19_cohens_d(spark, sf_dir):
 
 
 _MWU = (
-    f"l AS ({long_sql(NUM, by=['label'])}), "
-    "v AS (SELECT variable, value, count_if(label = 0) AS c0, count(*) AS t FROM l WHERE value IS NOT NULL GROUP BY ALL), "
-    "rk AS (SELECT *, coalesce(sum(t) OVER (PARTITION BY variable ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) "
+    f"lm AS ({long_sql(NUM, by=['label'])}), "
+    "v AS (SELECT variable, value, count_if(label = 0) AS c0, count(*) AS t FROM lm WHERE value IS NOT NULL GROUP BY ALL), "
+    "rkm AS (SELECT *, coalesce(sum(t) OVER (PARTITION BY variable ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) "
     "+ (t + 1) / 2.0 AS avg_rank FROM v), "
-    "s AS (SELECT variable, sum(c0) AS n0, sum(t) - sum(c0) AS n1, sum(c0 * avg_rank) AS r0, sum(t*t*t - t) AS tie FROM rk GROUP BY variable)"
+    "s AS (SELECT variable, sum(c0) AS n0, sum(t) - sum(c0) AS n1, sum(c0 * avg_rank) AS r0, sum(t*t*t - t) AS tie FROM rkm GROUP BY variable)"
 )
 
 
@@ -176,19 +199,65 @@ def d20_mann_whitney_u(spark, sf_dir):
     return S.mann_whitney(FX.bulk(spark, sf_dir), NUM, "label").drop("p_value")
 
 
-@query("d20_mann_whitney_test")
+_MWU_Z = (
+    "mz AS (SELECT variable, n0, n1, r0 - n0 * (n0 + 1) / 2.0 AS u0, "
+    "CASE WHEN n0 * n1 / 12.0 * ((n0 + n1 + 1) - tie / ((n0 + n1) * (n0 + n1 - 1))) > 0 THEN "
+    "(greatest(r0 - n0 * (n0 + 1) / 2.0, n0 * n1 - (r0 - n0 * (n0 + 1) / 2.0)) - n0 * n1 / 2.0 - 0.5) / "
+    "sqrt(n0 * n1 / 12.0 * ((n0 + n1 + 1) - tie / ((n0 + n1) * (n0 + n1 - 1)))) END AS z FROM s), "
+    "mx AS (SELECT *, abs(z) / sqrt(2.0) AS x2 FROM mz), "
+    f"mp AS (SELECT *, CASE WHEN z IS NULL THEN 1.0 ELSE {two_sided_normal_sql('x2')} END AS p_value FROM mx)"
+)
+
+
+@query(
+    "d20_mann_whitney_test",
+    _extra(
+        _MWU + ", " + _MWU_Z,
+        "SELECT variable, CAST(n0 AS BIGINT) AS n_0, CAST(n1 AS BIGINT) AS n_1, round(u0, 6) AS u_statistic, round(z, 6) AS z, "
+        "round(p_value, 6) AS p_value FROM mp",
+    ),
+)
 def d20_mann_whitney_test(spark, sf_dir):
     """U, z and the two-sided p-value."""
     return S.mann_whitney(FX.bulk(spark, sf_dir), NUM, "label")
 
 
-@query("d20_importance_ranking")
+_COHEN_ABS = " UNION ALL ".join(f"SELECT '{c}' AS variable, abs((avg({c}) FILTER (WHERE label = 0) - avg({c}) FILTER (WHERE label = 1)) / " f"sqrt(((count({c}) FILTER (WHERE label = 0) - 1) * var_samp({c}) FILTER (WHERE label = 0) + " f"(count({c}) FILTER (WHERE label = 1) - 1) * var_samp({c}) FILTER (WHERE label = 1)) / " f"(count({c}) FILTER (WHERE label = 0) + count({c}) FILTER (WHERE label = 1) - 2))) AS effect FROM bulk" for c in NUM)
+_RANKING = (
+    _CELLS + ", " + _CHI_STATS + ", " + _MWU + ", " + _MWU_Z + f", cd AS ({_COHEN_ABS}), "
+    "u AS (SELECT mp.variable, 'Continuous' AS type, cd.effect AS effect_size, 'Cohen''s d' AS effect_metric, p_value "
+    "FROM mp JOIN cd ON mp.variable = cd.variable UNION ALL "
+    "SELECT variable, 'Categorical', cramers_v, 'Cramér''s V', p_value FROM cp), "
+    "sc AS (SELECT *, CASE WHEN p_value < 0.05 THEN effect_size * -log10(CASE WHEN p_value <= 0 THEN 1e-300 ELSE p_value END) "
+    "ELSE 0.0 END AS importance_score FROM u), "
+    "rk AS (SELECT CAST(row_number() OVER (ORDER BY importance_score DESC, variable) AS INTEGER) AS rank, *, "
+    "CASE WHEN p_value >= 0.05 THEN 'Non-Significant' WHEN effect_size < 0.1 THEN 'Insignificant' WHEN effect_size < 0.2 "
+    "THEN 'Small Significance' WHEN effect_size < 0.5 THEN 'Moderate Significance' ELSE 'Strong Significance' END AS usefulness FROM sc)"
+)
+
+
+@query(
+    "d20_importance_ranking",
+    _extra(
+        _RANKING,
+        "SELECT rank, variable, type, round(effect_size, 6) AS effect_size, effect_metric, round(p_value, 6) AS p_value, "
+        "round(importance_score, 6) AS importance_score, usefulness FROM rk",
+    ),
+)
 def d20_importance_ranking(spark, sf_dir):
     """Combined continuous + categorical importance ranking."""
     return S.importance_ranking(FX.bulk(spark, sf_dir), NUM, CAT, "label")
 
 
-@query("d21_segments")
+@query(
+    "d21_segments",
+    _extra(
+        _RANKING + ", sg AS (SELECT *, CASE WHEN p_value >= 0.05 THEN 'not_significant' WHEN effect_size >= 0.2 THEN 'high' "
+        "WHEN effect_size >= 0.1 THEN 'moderate' ELSE 'low' END AS segment FROM rk)",
+        "SELECT segment, CAST(count(*) AS BIGINT) AS n_variables, string_agg(variable, ',' ORDER BY variable) AS variables, "
+        "CASE segment WHEN 'high' THEN 'include' WHEN 'moderate' THEN 'consider' ELSE 'exclude' END AS action FROM sg GROUP BY segment",
+    ),
+)
 def d21_segments(spark, sf_dir):
     """Variables per usefulness segment with the recommended action."""
     return S.segments(S.importance_ranking(FX.bulk(spark, sf_dir), NUM, CAT, "label"))
