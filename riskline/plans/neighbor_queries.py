@@ -84,7 +84,16 @@ def k2_knn_classifier_distance(spark, sf_dir):
     return _knn_clf(spark, sf_dir, "distance")
 
 
-@query("i4_smote_balance")
+@query(
+    "i4_smote_balance",
+    _extra(
+        split_cte("cohort", COHORT_KEY_SQL, "id")
+        + ", tr AS (SELECT label, count(*) AS n FROM s WHERE split = 'train' GROUP BY label), "
+        "mn AS (SELECT label AS minority, n AS n_min FROM tr ORDER BY n, label LIMIT 1), mj AS (SELECT max(n) AS n_maj FROM tr)",
+        "SELECT label, false AS is_synthetic, CAST(n AS BIGINT) AS n FROM tr UNION ALL "
+        "SELECT minority, true, CAST(n_maj - n_min AS BIGINT) FROM mn, mj WHERE n_maj > n_min",
+    ),
+)
 def i4_smote_balance(spark, sf_dir):
     """I4: class sizes after SMOTE on the F-COHORT train split (parity expected)."""
     df = SP.stratified_split(FX.cohort(spark, sf_dir), "label", ["id"], 0.2, order_key=_cohort_key())

@@ -145,3 +145,45 @@ def a1_fixture_bulk(spark, sf_dir):
 def a1_fixture_cohort(spark, sf_dir):
     """A1: scan + pre-aggregated left join -> F-COHORT."""
     return FX.cohort(spark, sf_dir)
+
+
+@query(
+    "d3_zscore_outlier_summary_skewed",
+    _with_extra(
+        "m AS (SELECT avg(value) AS mu, stddev_pop(value) AS sd FROM events)",
+        "SELECT 'value' AS column, CAST(count_if(sd > 0 AND abs(value - mu) / sd > 3) AS BIGINT) AS count, "
+        "round(count_if(sd > 0 AND abs(value - mu) / sd > 3) / count(*) * 100, 6) AS percentage FROM events CROSS JOIN m",
+    ),
+)
+def d3_zscore_outlier_summary_skewed(spark, sf_dir):
+    """D3 on the skewed ``events.value`` fixture."""
+    from riskline.sources.readers import table
+
+    return outliers.zscore_outlier_summary(table(spark, sf_dir, "events"), ["value"])
+
+
+@query(
+    "d5_continuous_summary_skewed",
+    _with_extra(
+        "x AS (SELECT 1)",
+        "SELECT event_type AS variable, CAST(count(value) AS BIGINT) AS n, round(avg(value), 6) AS mean, "
+        "round(quantile_cont(value, 0.5), 6) AS median, round(quantile_cont(value, 0.99), 6) AS p99, round(max(value), 6) AS max "
+        "FROM events GROUP BY event_type",
+    ),
+)
+def d5_continuous_summary_skewed(spark, sf_dir):
+    """D5 per event type on the skewed fixture: exact median and 99th percentile
+    per group from one set of selection passes (all groups together)."""
+    from riskline.operators.quantiles import exact_quantiles
+    from riskline.sources.readers import table
+
+    ev = table(spark, sf_dir, "events")
+    q, _ = exact_quantiles(ev, ["value"], [0.5, 0.99], by=["event_type"])
+    qs = spark.createDataFrame(
+        [(g[0], q[(g, "value", 0.5)], q[(g, "value", 0.99)]) for (g, v, p) in q if p == 0.5],
+        "variable string, median double, p99 double",
+    )
+    mom = ev.groupBy(F.col("event_type").alias("variable")).agg(
+        F.count("value").cast("bigint").alias("n"), F.avg("value").alias("mean"), F.max("value").alias("max")
+    )
+    return mom.join(qs, "variable").select("variable", "n", "mean", "median", "p99", "max")
