@@ -17,7 +17,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     LinearSVC,
@@ -458,7 +458,6 @@ def load_model(spark, path: str) -> FittedModel:
 
 
 __all__ = [
-    "Pipeline",
     "Preprocessor",
     "SEARCH_SPACES",
     "build_estimator",

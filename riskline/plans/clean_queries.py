@@ -8,7 +8,6 @@ import uuid
 from pyspark.sql import functions as F
 
 from riskline.operators import clean as C
-from riskline.plans.describe_queries import _extra
 from riskline.plans.registry import query
 from riskline.session import ensure_checkpoint_dir
 from riskline.sources import fixtures as FX

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import functions as F
-
 from riskline.operators import describe as D
 from riskline.plans.registry import query
 from riskline.sources import fixtures as FX
