@@ -184,14 +184,11 @@ def describe(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str])
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``variable, value, count, percentage`` (percentage of all rows), NULL excluded."""
-    long = to_long(df, columns, value_type="string", drop_nulls=False)
+    long = to_long(df, columns, value_type="string")
     counts = long.groupBy("variable", "value").agg(F.count(F.lit(1)).cast("bigint").alias("count"))
-    # Totals over the small aggregated table (NULL group included: percent of all rows).
-    total = F.sum("count").over(Window.partitionBy("variable"))
-    return (
-        counts.select("variable", "value", "count", (F.col("count") / total * 100).alias("percentage"))
-        .where(F.col("value").isNotNull())
-    )
+    # Percent of all rows (NULLs included): one row count, applied as a literal.
+    n = df.count()
+    return counts.select("variable", "value", "count", (F.col("count") / F.lit(float(n)) * 100).alias("percentage"))
 
 
 def class_balance(df: DataFrame, target: str, by: Sequence[str] = ()) -> DataFrame:

@@ -20,6 +20,7 @@ value is a single row.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -35,33 +36,55 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+TARGET_RANGE_ROWS = 1_000_000
+MAX_RANGES = 1 << 20
+
+
+def range_layout(n_rows: int, buckets: int | None = None) -> tuple[int, int]:
+    """``(coarse, fine)`` with ``coarse * fine`` ranges: enough that a range
+    holds about ``TARGET_RANGE_ROWS`` rows (at least 64, at most 2^20)."""
+    b = buckets if buckets else max(64, min(MAX_RANGES, math.ceil(n_rows / TARGET_RANGE_ROWS)))
+    fine = max(1, math.ceil(math.sqrt(b)))
+    return max(1, math.ceil(b / fine)), fine
+
+
 def with_ranges(
     df: DataFrame,
     partition_cols: Sequence[str],
     order_col: str,
-    buckets: int = 64,
+    buckets: int | None = None,
     descending: bool = False,
-    accuracy: int = 10_000,
 ) -> DataFrame:
     """Add ``_rng``: the index of the value range holding ``order_col``
-    (ranges follow the requested order)."""
+    (ranges follow the requested order).
+
+    The number of ranges grows with the data (``range_layout``); a row finds
+    its range with a two-level lookup (coarse cut points, then the fine cut
+    points of that coarse range), so it costs ~2 sqrt(#ranges) comparisons."""
     parts = list(partition_cols)
+    extra = []
+    if not parts:
+        df = df.withColumn("_all", F.lit(0))
+        parts, extra = ["_all"], ["_all"]
+    coarse, fine = range_layout(df.count() if not buckets else 0, buckets)
+    total = coarse * fine
     key = F.col(order_col)
-    probs = [i / buckets for i in range(1, buckets)]
+    probs = [i / total for i in range(1, total)]
+    accuracy = max(10_000, 10 * total)
     cuts = df.groupBy(*parts).agg(F.percentile_approx(key, probs, accuracy).alias("_cuts"))
-    if parts:
-        # #keys rows, each with an array of buckets-1 values: bounded, broadcast.
-        j = df.join(F.broadcast(cuts), parts)
-        cut_arr = F.col("_cuts")
-    else:
-        row = cuts.first()
-        vals = row["_cuts"] if row and row["_cuts"] else []
-        j = df
-        cut_arr = F.array(*[F.lit(x) for x in vals]) if vals else F.array().cast("array<double>")
-    rng = F.size(F.filter(cut_arr, lambda c: c < key))
+    cuts = cuts.withColumn(
+        "_coarse", F.transform(F.sequence(F.lit(1), F.lit(max(coarse - 1, 1))), lambda k: F.element_at("_cuts", k * fine))
+    )
+    if coarse == 1:
+        cuts = cuts.withColumn("_coarse", F.slice("_cuts", 1, 0))
+    # #keys rows, each with the cut arrays (bounded by MAX_RANGES): broadcast.
+    j = df.join(F.broadcast(cuts), parts)
+    i = F.size(F.filter(F.col("_coarse"), lambda c: c < key))
+    fine_cuts = F.slice(F.col("_cuts"), i * fine + 1, fine - 1) if fine > 1 else F.slice(F.col("_cuts"), 1, 0)
+    rng = i * fine + F.size(F.filter(fine_cuts, lambda c: c < key))
     if descending:
-        rng = F.lit(buckets) - rng
-    return j.withColumn("_rng", rng.cast("int")).drop("_cuts")
+        rng = F.lit(total) - rng
+    return j.withColumn("_rng", rng.cast("int")).drop("_cuts", "_coarse", *extra)
 
 
 def prefix_sums(
@@ -69,7 +92,7 @@ def prefix_sums(
     partition_cols: Sequence[str],
     order_col: str,
     sum_cols: Sequence[str],
-    buckets: int = 64,
+    buckets: int | None = None,
     descending: bool = False,
     keep_range: bool = False,
 ) -> DataFrame:
@@ -132,7 +155,7 @@ def rank_sums(
     label: str,
     by: Sequence[str] = (),
     positive=1,
-    buckets: int = 64,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Tie-averaged rank statistics of a binary split, per ``by`` key.
 

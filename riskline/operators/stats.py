@@ -103,16 +103,20 @@ def expected_frequencies(df: DataFrame, columns: Sequence[str], target: str) ->
 
 def _cells(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     obs = contingency(df, columns, target)
-    cats = obs.select("variable", "category").distinct()
-    clss = obs.select("variable", "cls").distinct()
-    # Per variable: #categories x #classes cells, a small grid.
-    grid = cats.join(clss, "variable")
+    # Per-variable and per-class totals are small (#variables x #classes): broadcast.
+    col_t = obs.groupBy("variable", "cls").agg(F.sum("observed").alias("_col"))
+    per_var = obs.groupBy("variable").agg(
+        F.sum("observed").alias("_n"),
+        F.count_distinct("category").alias("_r"),
+        F.count_distinct("cls").alias("_k"),
+    )
+    # Row totals: one row per (variable, category), joined back distributed
+    # (a high-cardinality category column never lands in one task).
+    row_t = obs.groupBy("variable", "category").agg(F.sum("observed").alias("_row"))
+    grid = row_t.join(F.broadcast(col_t), "variable")
     cells = grid.join(obs, ["variable", "category", "cls"], "left").fillna(0, subset=["observed"])
-    w_var = Window.partitionBy("variable")
-    row_t = F.sum("observed").over(Window.partitionBy("variable", "category"))
-    col_t = F.sum("observed").over(Window.partitionBy("variable", "cls"))
-    n = F.sum("observed").over(w_var)
-    e = row_t * col_t / n
+    cells = cells.join(F.broadcast(per_var), "variable")
+    e = F.col("_row") * F.col("_col") / F.col("_n")
     return cells.select(
         "variable",
         "category",
@@ -120,9 +124,9 @@ def _cells(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
         "observed",
         e.alias("expected"),
         (F.col("observed") - e).alias("residual"),
-        F.size(F.collect_set("category").over(w_var)).alias("_r"),
-        F.size(F.collect_set("cls").over(w_var)).alias("_k"),
-        n.alias("_n"),
+        F.col("_r").cast("int").alias("_r"),
+        F.col("_k").cast("int").alias("_k"),
+        "_n",
     )
 
 

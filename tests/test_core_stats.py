@@ -167,3 +167,17 @@ def test_correlation_pairwise_complete(spark):
     x = np.array([1.0, 3.0, 4.0])
     y = np.array([2.0, 6.5, 8.0])
     assert r["correlation"] == pytest.approx(float(np.corrcoef(x, y)[0, 1]))
+
+
+def test_two_level_ranges_match_flat_count(spark, monkeypatch):
+    from riskline.operators import ordering
+
+    monkeypatch.setattr(ordering, "TARGET_RANGE_ROWS", 3)  # forces many ranges on a small frame
+    rows = [(float(v),) for v in random.Random(4).sample(range(5000), 900)]
+    df = spark.createDataFrame(rows, "v double")
+    out = ordering.prefix_sums(df.withColumn("w", F.lit(1)), [], "v", ["w"], keep_range=True).collect()
+    ranks = sorted((r["v"], r["w_before"]) for r in out)
+    assert [b for _, b in ranks] == list(range(len(rows)))
+    rng = sorted((r["v"], r["_rng"]) for r in out)
+    assert all(a[1] <= b[1] for a, b in zip(rng, rng[1:]))
+    assert len({r for _, r in rng}) > 64
