@@ -176,8 +176,22 @@ def exact_quantiles(
     return out, counts
 
 
-def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], **kw) -> dict[str, dict[float, float | None]]:
-    """Ungrouped form: ``{column: {p: value}}`` (None for an all-NULL column)."""
+def approx_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], accuracy: int = 10_000) -> dict[str, dict[float, float | None]]:
+    """One-pass ``percentile_approx`` (rank error <= n / accuracy): only on
+    request, e.g. for a first look at a very large table."""
+    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), list(probs), accuracy).alias(c) for c in columns]).first()
+    return {c: ({p: None for p in probs} if row[c] is None else dict(zip(probs, row[c]))) for c in columns}
+
+
+def column_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], method: str = "exact", **kw
+) -> dict[str, dict[float, float | None]]:
+    """Ungrouped form: ``{column: {p: value}}`` (None for an all-NULL column).
+
+    ``method="exact"`` (default) selects ranks and interpolates linearly;
+    ``method="approx"`` runs one ``percentile_approx`` pass instead."""
+    if method == "approx":
+        return approx_quantiles(df, columns, probs, kw.get("accuracy", 10_000))
     q, _ = exact_quantiles(df, columns, probs, **kw)
     res: dict[str, dict[float, float | None]] = {c: {p: None for p in probs} for c in columns}
     for ((), var, p), v in q.items():

@@ -181,3 +181,14 @@ def test_two_level_ranges_match_flat_count(spark, monkeypatch):
     rng = sorted((r["v"], r["_rng"]) for r in out)
     assert all(a[1] <= b[1] for a, b in zip(rng, rng[1:]))
     assert len({r for _, r in rng}) > 64
+
+
+def test_approx_quantiles_on_request(spark):
+    from riskline.operators.quantiles import column_quantiles
+
+    rows = [(float(i),) for i in range(1001)]
+    df = spark.createDataFrame(rows, "x double")
+    exact = column_quantiles(df, ["x"], [0.5, 0.9])["x"]
+    approx = column_quantiles(df, ["x"], [0.5, 0.9], method="approx")["x"]
+    assert exact == {0.5: 500.0, 0.9: 900.0}
+    assert abs(approx[0.5] - 500.0) <= 1 and abs(approx[0.9] - 900.0) <= 1
