@@ -46,14 +46,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     is. Only when it is unset (tests, local runs) a fresh scratch folder is
     created.
     """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (Spark Connect: no SparkContext, the conf is enough)
+        sc = None
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    if not current and sc is not None:
+        current = sc.getCheckpointDir()
     if current:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
+        if sc is not None and not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
         return current
     path = tempfile.mkdtemp(prefix="riskline-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if sc is not None:
+        sc.setCheckpointDir(path)
     return path
