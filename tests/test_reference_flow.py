@@ -67,3 +67,18 @@ def test_api_names_cover_the_reference_functions():
     missing = [n for n in REFERENCE_FUNCTIONS if not callable(getattr(api, n, None))]
     assert not missing
     assert api.cramers_v(5.4, 60, 2, 2) == pytest.approx((5.4 / 60) ** 0.5)
+
+
+def test_api_calls_run(spark):
+    from riskline import api
+
+    df = spark.createDataFrame(
+        [(i, float(i % 7), None if i % 9 == 0 else float(i % 5), i % 2) for i in range(60)], "row_id long, a double, b double, y int"
+    )
+    miss = {r["column"]: r["missing_values"] for r in api.missing_value_summary(df, ["a", "b"]).collect()}
+    assert miss == {"a": 0, "b": 7}
+    filled = api.simple_imputation(df, ["a", "b"], [])  # b is 11.7% null: left as is
+    assert filled.where("b IS NULL").count() == 7
+    train, test = api.split_data(df, ["a"], "y", "row_id")
+    assert train.count() == 48 and test.count() == 12
+    assert api.compute_vif(df.fillna(0.0), ["a", "b"]).count() == 2
