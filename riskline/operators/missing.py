@@ -62,20 +62,25 @@ def imputable(rates: Mapping[str, float], threshold: float = 0.05) -> list[str]:
     return [c for c, r in rates.items() if r < threshold]
 
 
-def column_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
+def column_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
     """Most frequent value per column, ties -> smallest value.
 
     ``groupBy(variable, value).count()`` (partial aggregation map-side), then a
-    ``max_by`` over (count, -value) per variable: no per-column scan, and no
-    per-group buffer of distinct values in one task.
-    """
-    long = to_long(df, columns)
-    counts = long.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("c"))
-    best = counts.groupBy("variable").agg(
-        F.max_by("value", F.struct(F.col("c"), -F.col("value"))).alias("mode")
-    ).collect()
-    out: dict[str, float | None] = {c: None for c in columns}
-    out.update({r["variable"]: r["mode"] for r in best})
+    ``min_by`` over (-count, value) per variable: no per-column scan, and no
+    per-group buffer of distinct values in one task. Numeric and string
+    columns are handled in their own type."""
+    from pyspark.sql import types as T
+
+    numeric = [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
+    other = [c for c in columns if c not in numeric]
+    out: dict[str, object] = {c: None for c in columns}
+    for cols, vtype in ((numeric, "double"), (other, "string")):
+        if not cols:
+            continue
+        long = to_long(df, cols, value_type=vtype)
+        counts = long.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("c"))
+        best = counts.groupBy("variable").agg(F.min_by("value", F.struct(-F.col("c"), F.col("value"))).alias("mode")).collect()
+        out.update({r["variable"]: r["mode"] for r in best})
     return out
 
 
@@ -96,8 +101,8 @@ class SimpleImputerModel:
         return df.withColumns(cols) if cols else df
 
     def as_frame(self, spark):
-        rows = [(c, None if v is None else float(v), float(self.rates.get(c, 0.0))) for c, v in self.fills.items()]
-        return spark.createDataFrame(rows, "column string, fill_value double, missing_rate double")
+        rows = [(c, None if v is None else str(v), float(self.rates.get(c, 0.0))) for c, v in self.fills.items()]
+        return spark.createDataFrame(rows, "column string, fill_value string, missing_rate double")
 
 
 def fit_simple_imputer(

@@ -192,3 +192,10 @@ def test_approx_quantiles_on_request(spark):
     approx = column_quantiles(df, ["x"], [0.5, 0.9], method="approx")["x"]
     assert exact == {0.5: 500.0, 0.9: 900.0}
     assert abs(approx[0.5] - 500.0) <= 1 and abs(approx[0.9] - 900.0) <= 1
+
+
+def test_mode_of_string_column(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), (None,), ("c",)], "s string")
+    assert missing.column_modes(df, ["s"]) == {"s": "a"}
+    out = missing.simple_imputation(df, [], ["s"], threshold=0.5).collect()
+    assert sorted(r["s"] for r in out) == ["a", "a", "a", "b", "b", "c"]
