@@ -11,6 +11,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from riskline.llm import quality_rules
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -24,6 +26,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of every document, and the verdict of the rule cascade."""
+    from riskline.llm.quality_rules import judge
+
+    return judge(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op2_quality_rules"] = quality_rules.ORACLE_SQL
+
+
+@query
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by the interpolated bigram model of the training split (files read the same twice: stable)."""
+    from riskline.llm.lm_scoring import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"), stable=True)
+
+
 @query
 def op7_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded with the byte-level BPE vocabulary of 50k tokens."""
@@ -32,6 +53,14 @@ def op7_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by naive Bayes support vectors fitted on ``labels.quality``."""
+    from riskline.llm.quality_classifier import score_quality
+
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 5-word shingle sets are 80 % alike or more."""
