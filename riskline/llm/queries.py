@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskline.llm import quality_rules
+from riskline.llm import decontamination, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -45,6 +45,17 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), stable=True)
 
 
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact benchmark windows in every document, by the positional inverted index."""
+    from riskline.llm.decontamination import decontaminate
+
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op5_decontamination"] = decontamination.ORACLE_SQL
+
+
 @query
 def op7_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded with the byte-level BPE vocabulary of 50k tokens."""
