@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskline.llm import chat_format, decontamination, quality_rules
+from riskline.llm import chat_format, decontamination, quality_rules, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -45,6 +45,17 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), stable=True)
 
 
+@query
+def op4_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives, read back and assembled."""
+    from riskline.llm.warc import archive_digest
+
+    return archive_digest(table(spark, sf_dir, "pages"))
+
+
+ORACLE["op4_warc_captures"] = warc.ORACLE_SQL
+
+
 @query
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact benchmark windows in every document, by the positional inverted index."""
