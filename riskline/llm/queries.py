@@ -67,6 +67,14 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op5_decontamination"] = decontamination.ORACLE_SQL
 
 
+@query
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    from riskline.llm.html_extraction import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op7_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded with the byte-level BPE vocabulary of 50k tokens."""
