@@ -26,6 +26,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document."""
+    from riskline.llm.license_scan import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures of every document, and the verdict of the rule cascade."""
