@@ -1,7 +1,7 @@
 """License scans by conditional compression (operator 1).
 
 Candidate blocks are the lines of a text with a word that license notices use (found by Spark before any Python
-runs), and runs of neighbouring candidate lines. Each block is compressed alone and with every template as a raw
+runs), and runs of such lines with their neighbours. Each block is compressed alone and with every template as a raw
 zstandard dictionary. Templates are ranked by how many bytes they save; the best of them that saves at
 least ``LEAST_SHARE`` of the block or of the template wins, if its wording confirms it: the template's words are
 aligned with the block's, and the words that differ are counted exactly. All words that name the license must be there, and the
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 LEAST_SHARE, MOST_DIFFERENT, SPAN, LEVEL = 0.2, 0.25, 600, 3
 #: Templates whose wording is looked at, the best first.
 RANKED = 6
+AROUND = 2
 
 # What makes a line a candidate (lower case).
 TRIGGERS = (
@@ -91,11 +92,17 @@ TEMPLATES: list[tuple[str, str, str]] = [
     ("CC-BY-NC-4.0", "creative commons attribution-noncommercial 4.0", _CC.format(name="Attribution-NonCommercial", version="4.0")),
 ]
 
+TEMPLATES += [("All-Rights-Reserved", "all rights reserved", "All rights reserved.")]
+TEMPLATES += [
+    (name, f"spdx-license-identifier {name.lower()}", f"SPDX-License-Identifier: {name}")
+    for name in sorted({t[0] for t in TEMPLATES} - {"All-Rights-Reserved"})
+]
+
 _WORD = re.compile(r"[a-z0-9]+(?:[.\-][a-z0-9]+)*")
 
 
 def words(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    return _WORD.findall(text.lower().replace("licence", "license"))
 
 
 def is_candidate(text: Column) -> Column:
@@ -107,17 +114,20 @@ def is_candidate(text: Column) -> Column:
 
 
 def blocks_of(text: str) -> list[tuple[int, str]]:
-    """(first line, block): runs of neighbouring candidate lines, and each line of a run of several on its own."""
-    out, run, lines = [], [], text.split("\n")
-    for i, line in enumerate([*lines, ""]):
-        if i < len(lines) and any(t in line.lower() for t in TRIGGERS):
-            run.append(i)
-            continue
-        if run:
-            out += [(k, lines[k]) for k in run]
-            if len(run) > 1:
-                out.append((run[0], "\n".join(lines[run[0] : run[-1] + 1])))
-            run = []
+    """(first line, block): each candidate line, and each run of them with the ``AROUND`` lines before, between and after."""
+    out, runs, lines = [], [], text.split("\n")
+    for i, line in enumerate(lines):
+        low = line.lower()
+        if any(t in low for t in TRIGGERS):
+            out.append((i, line))
+            if runs and i - runs[-1][1] <= 2 * AROUND + 1:
+                runs[-1][1] = i
+            else:
+                runs.append([i, i])
+    for a, b in runs:
+        first, last = max(0, a - AROUND), min(len(lines), b + AROUND + 1)
+        if last - first > 1:
+            out.append((first, "\n".join(lines[first:last])))
     return out
 
 
