@@ -49,6 +49,8 @@ LEADING = 0.3
 FRAGMENTS = 4
 #: N-grams counted in one task; frequent n-grams at most (as 1/x of all entries).
 BUCKET_GRAMS = 2_000_000
+#: Sets whose counts are summed in one task.
+SLICE_SETS = 200_000
 FREQUENT = 100_000
 #: N-grams held in a task before they are sent on.
 FLUSH_GRAMS = 4_000_000
@@ -146,8 +148,8 @@ def _joined(rows: pd.Series, kind) -> np.ndarray:
     return np.frombuffer(b"".join(rows), kind)
 
 
-def _count_bucket(frequent_from: int | None):
-    """Reducer of one bucket: lone n-grams per set; and the frequent n-grams with their number of sets."""
+def _count_bucket(slices: int, frequent_from: int | None):
+    """Reducer of one bucket: lone n-grams per set, by slices of the sets; and the frequent n-grams with their number of sets."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         one, sets = _joined(rows["one"], np.uint64), _joined(rows["sets"], np.int64)
@@ -160,7 +162,12 @@ def _count_bucket(frequent_from: int | None):
         times = np.diff(np.append(at, len(one)))
         lone = at[(times == 1) & ~np.isin(one[at], more)] if len(at) else at
         fp, n = np.unique(sets[lone], return_counts=True)
-        out = pd.DataFrame({"fp": fp, "lone": n.astype(np.int64), "gram": pd.NA, "df": pd.NA})
+        part = ((fp.view(np.uint64) >> _U(32)) * _U(slices) >> _U(32)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        fp, n, part = fp[order], n[order].astype(np.int32), part[order]
+        cuts = run_starts(part)
+        ends = np.append(cuts[1:], len(part))
+        rows = [(int(part[x]), fp[x:y].tobytes(), n[x:y].tobytes(), None, None) for x, y in zip(cuts, ends, strict=True)]
         if frequent_from is not None:
             every, weight = np.concatenate([one[at], more]), np.concatenate([times, counts])
             order = np.argsort(every, kind="stable")
@@ -169,15 +176,28 @@ def _count_bucket(frequent_from: int | None):
             if len(at):
                 df = np.add.reduceat(weight, at)
                 hot = df >= frequent_from
-                top = pd.DataFrame({"fp": pd.NA, "lone": pd.NA, "gram": every[at][hot].view(np.int64), "df": df[hot].astype(np.int64)})
-                out = pd.concat([out, top]) if len(out) else top
-        return out.astype({"fp": "Int64", "lone": "Int64", "gram": "Int64", "df": "Int64"})
+                rows += [(-1, None, None, g, d) for g, d in zip(every[at][hot].view(np.int64).tolist(), df[hot].tolist(), strict=True)]
+        return pd.DataFrame(rows, columns=["slice", "fps", "lone", "gram", "df"]).astype({"gram": "Int64", "df": "Int64"})
 
     return run
 
 
-def _counts(entries: DataFrame, frequent_from: int | None) -> DataFrame:
-    return entries.groupBy("bucket").applyInPandas(_count_bucket(frequent_from), "fp long, lone long, gram long, df long")
+def _sum_slice(rows: pd.DataFrame) -> pd.DataFrame:
+    """Lone n-grams per set of one slice, over all buckets."""
+    fp, which = np.unique(_joined(rows["fps"], np.int64), return_inverse=True)
+    total = np.bincount(which, weights=_joined(rows["lone"], np.int32), minlength=len(fp))
+    return pd.DataFrame({"fp": fp, "lone": total.astype(np.int64)})
+
+
+def _counts(entries: DataFrame, sets: int, frequent_from: int | None) -> DataFrame:
+    """Counts of all buckets, still by slice; the frequent n-grams in rows of their own (slice -1)."""
+    slices = parts(entries.sparkSession, sets, SLICE_SETS)
+    return entries.groupBy("bucket").applyInPandas(_count_bucket(slices, frequent_from), "slice int, fps binary, lone binary, gram long, df long")
+
+
+def _lone(counted: DataFrame) -> DataFrame:
+    """(fp, lone) for the sets that have lone n-grams."""
+    return counted.filter("slice >= 0").groupBy("slice").applyInPandas(_sum_slice, "fp long, lone long")
 
 
 def leading_entries(docs: DataFrame, k: int, part: float, buckets: int) -> DataFrame:
@@ -315,8 +335,7 @@ def linked_classes(docs: DataFrame, classes: DataFrame, k: int, similar: int) ->
     if not total[0]:
         return None
     spare = F.col("n") - F.floor((similar * F.col("n") + 99) / 100).cast("long")
-    lone = _counts(leading_entries(docs, k, LEADING, parts(spark, total[0] * LEADING, BUCKET_GRAMS)), None)
-    lone = lone.groupBy("fp").agg(F.sum("lone").alias("lone"))
+    lone = _lone(_counts(leading_entries(docs, k, LEADING, parts(spark, total[0] * LEADING, BUCKET_GRAMS)), total[1], None))
     left = classes.join(lone, "fp", "left").filter(F.coalesce("lone", F.lit(0)) <= spare)
     left = cut(left.select("fp", "n", "_key"))
     rows, grams = left.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
@@ -328,9 +347,9 @@ def linked_classes(docs: DataFrame, classes: DataFrame, k: int, similar: int) ->
     sets = cut(sets.join(small(left.select("fp"), rows), "fp", "left_semi"))
 
     # all fragments, over the sets that are left
-    counted = cut(_counts(set_entries(sets, parts(spark, grams, BUCKET_GRAMS)), max(3, grams // FREQUENT)))
+    counted = cut(_counts(set_entries(sets, parts(spark, grams, BUCKET_GRAMS)), rows, max(3, grams // FREQUENT)))
     hot = counted.filter("gram is not null").orderBy("df", "gram").select("gram").toPandas()["gram"].to_numpy(np.int64).view(np.uint64)
-    lone = counted.filter("fp is not null").groupBy("fp").agg(F.sum("lone").alias("lone"))
+    lone = cut(_lone(counted))
     sets = sets.join(lone, "fp", "left").withColumn("s", F.col("n") - F.coalesce("lone", F.lit(0))).drop("lone")
     sets = cut(sets.filter(F.col("n") - F.col("s") <= spare))
     segments = fragments(sets, FRAGMENTS)
