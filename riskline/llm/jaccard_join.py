@@ -306,11 +306,13 @@ def fragments(sets: DataFrame, pieces: int) -> DataFrame:
     return sets.select("fp", "grams").mapInArrow(run, "fp long, fragment int, part array<long>")
 
 
-def overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-    """(a, b, overlap): partial overlaps counted in each fragment, summed per pair (pairs without any are missing)."""
-    left = segments.select(F.col("fp").alias("a"), "fragment", F.col("part").alias("part_a"))
-    right = segments.select(F.col("fp").alias("b"), "fragment", F.col("part").alias("part_b"))
-    partial = pairs.select("a", "b").join(left, "a").join(right, ["b", "fragment"])
+def overlaps(pairs: DataFrame, segments: DataFrame, rows: int) -> DataFrame:
+    """(a, b, overlap): partial overlaps counted in each fragment, summed per pair (pairs without any are missing).
+    The members' segments (b) travel to the centres' (a), which are fewer; few pairs are sent to the segments."""
+    centres = small(pairs.select("a").distinct(), rows)
+    left = segments.join(centres, segments.fp == centres.a, "left_semi").select(F.col("fp").alias("a"), "fragment", F.col("part").alias("part_a"))
+    right = segments.join(small(pairs.select("a", "b"), rows), segments.fp == F.col("b")).select("a", "b", "fragment", F.col("part").alias("part_b"))
+    partial = right.join(left, ["a", "fragment"])
     return partial.groupBy("a", "b").agg(F.sum(F.size(F.array_intersect("part_a", "part_b"))).cast("long").alias("overlap"))
 
 
@@ -350,7 +352,7 @@ def linked_classes(docs: DataFrame, classes: DataFrame, k: int, similar: int) ->
     counted = cut(_counts(set_entries(sets, parts(spark, grams, BUCKET_GRAMS)), rows, max(3, grams // FREQUENT)))
     hot = counted.filter("gram is not null").orderBy("df", "gram").select("gram").toPandas()["gram"].to_numpy(np.int64).view(np.uint64)
     lone = cut(_lone(counted))
-    sets = sets.join(lone, "fp", "left").withColumn("s", F.col("n") - F.coalesce("lone", F.lit(0))).drop("lone")
+    sets = sets.join(small(lone, rows), "fp", "left").withColumn("s", F.col("n") - F.coalesce("lone", F.lit(0))).drop("lone")
     sets = cut(sets.filter(F.col("n") - F.col("s") <= spare))
     segments = fragments(sets, FRAGMENTS)
 
@@ -358,14 +360,15 @@ def linked_classes(docs: DataFrame, classes: DataFrame, k: int, similar: int) ->
     lists = prefixes(sets, similar, hot)
     best = F.max(F.struct((F.col("s") / F.col("n")).alias("r"), "n", "fp", "s"))
     centre = lists.groupBy("gram").agg(best.alias("c"), F.count("*").alias("m")).filter("m > 1").select("gram", F.col("c.fp").alias("a"))
-    star = lists.join(centre, "gram").filter("fp != a").select("a", F.col("fp").alias("b")).distinct()
+    star = lists.select("gram", "fp").join(centre, "gram").filter("fp != a").select("a", F.col("fp").alias("b")).distinct()
     star = cut(star)
     sizes = sets.select("fp", "n", "s")
     size_a = sizes.select(F.col("fp").alias("a"), F.col("n").alias("n_a"), F.col("s").alias("s_a"))
     size_b = sizes.select(F.col("fp").alias("b"), F.col("n").alias("n_b"), F.col("s").alias("s_b"))
 
     def links(pairs: DataFrame) -> DataFrame:
-        return cut(overlaps(pairs, segments).join(size_a, "a").join(size_b, "b"))
+        met = overlaps(pairs, segments, pairs.count())
+        return cut(met.join(small(size_a, rows), "a").join(small(size_b, rows), "b"))
 
     enough = (100 + similar) * F.col("overlap") >= similar * (F.col("n_a") + F.col("n_b"))
     counted = links(star)
