@@ -164,9 +164,13 @@ def decontaminate(
 
 def clean_rows(df: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents without any benchmark window, with their own columns."""
-    found = hits(df, benchmark, text_col, "item_id", "text", WINDOW, RAREST).select("key")
+    name = "_key"
+    while name in df.columns:
+        name += "_"
+    found = hits(df, benchmark, text_col, "item_id", "text", WINDOW, RAREST).select(F.col("key").alias(name))
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    return df.withColumn("_key", F.xxhash64(text)).join(small(found.withColumnRenamed("key", "_key")), "_key", "left_anti").drop("_key")
+    clean = df.withColumn(name, F.xxhash64(text)).join(small(found), name, "left_anti")
+    return clean.select([F.col(f"`{c}`") for c in df.columns])
 
 
 def proximity_matches(

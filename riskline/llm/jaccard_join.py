@@ -392,25 +392,54 @@ def linked_classes(docs: DataFrame, classes: DataFrame, k: int, similar: int) ->
     return components(edges.union(more))
 
 
-def near_duplicate_components(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, similar: int = 80
-) -> DataFrame:
-    """One row per input row: ``doc_id``, ``n_shingles``, ``component_id`` (smallest id reachable by links, its own
-    included; a null id has its class's component). See the module's text for the method and for odd input."""
-    docs = as_docs(df, id_col, text_col)
+def _grouped(docs: DataFrame, k: int, similar: int) -> tuple[DataFrame, DataFrame]:
+    """The texts' profiles, and (fp, root, low) of every class: the class its component is named by, and the smallest id in it."""
     rows = cut(profile(docs, k))
     classes = cut(
         rows.filter("fp is not null").groupBy("fp").agg(F.first("n").alias("n"), F.min("_key").alias("_key"), F.min("_id").alias("low"))
     )
     roots = linked_classes(docs, classes, k, similar)
-    if roots is not None:
-        wide = classes.join(roots.withColumnRenamed("node", "fp"), "fp").select("fp", "root", "low")
-        lowest = wide.groupBy("root").agg(F.min("low").alias("lowest"))
-        wide = cut(wide.join(lowest, "root").select("fp", "lowest"))
-        classes = classes.join(wide, "fp", "left").withColumn("low", F.coalesce("lowest", "low"))
-    classes = classes.select("fp", "low")
+    if roots is None:
+        return rows, classes.select("fp", F.col("fp").alias("root"), "low")
+    wide = classes.join(roots.withColumnRenamed("node", "fp"), "fp").select("fp", "root", "low")
+    lowest = wide.groupBy("root").agg(F.min("low").alias("lowest"))
+    wide = cut(wide.join(lowest, "root").select("fp", "root", "lowest"))
+    every = classes.join(wide, "fp", "left")
+    return rows, every.select("fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("root").isNull(), F.col("low")).otherwise(F.col("lowest")).alias("low"))
+
+
+def near_duplicate_components(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, similar: int = 80
+) -> DataFrame:
+    """One row per input row: ``doc_id``, ``n_shingles``, ``component_id`` (smallest id reachable by links, its own
+    included; a null id has its class's component). See the module's text for the method and for odd input."""
+    rows, classes = _grouped(as_docs(df, id_col, text_col), k, similar)
     return rows.join(classes, "fp", "left").select(
         F.col("_id").alias("doc_id"),
         F.col("n").alias("n_shingles"),
         F.when(F.col("fp").isNull(), F.col("_id")).otherwise(F.col("low")).alias("component_id"),
     )
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, similar: int = 80) -> DataFrame:
+    """The rows of ``df``, one of each component: that with the smallest id (null ids last), of repeated rows one.
+    Rows without words are all kept."""
+    docs = as_docs(df, id_col, text_col)
+    rows, classes = _grouped(docs, k, similar)
+    row = lambda i, t: F.xxhash64(i.cast("string"), t)  # noqa: E731  names a row by its id and text
+    rows = rows.filter("fp is not null").join(classes.select("fp", "root"), "fp")
+    rows = cut(rows.groupBy("root", "_id", "_key").agg(F.count("*").alias("times")).withColumn("_row", row(F.col("_id"), F.col("_key"))))
+    first = rows.groupBy("root").agg(F.min(F.struct(F.col("_id").isNull().alias("x"), "_id", "_key", "_row", "times")).alias("m"))
+    first = cut(first.select("m._row", "m.times"))
+    dropped = cut(rows.select("_row").distinct().join(first.select("_row"), "_row", "left_anti"))
+    name = "_row"
+    while name in df.columns:
+        name += "_"
+    text = F.col(f"`{text_col}`").cast("string")
+    named = df.withColumn(name, row(F.col(f"`{id_col}`"), F.xxhash64(text)))
+    kept = named.join(small(dropped.withColumnRenamed("_row", name)), name, "left_anti")
+    again = first.filter("times > 1").select(F.col("_row").alias(name))
+    if again.head(1):
+        again = small(again)
+        kept = kept.join(again, name, "left_anti").unionByName(kept.join(again, name, "left_semi").dropDuplicates([name]))
+    return kept.select([F.col(f"`{c}`") for c in df.columns])

@@ -209,32 +209,36 @@ def probabilities(column: pa.Array, model) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(slope * out + offset, -35, 35)))
 
 
-def score_quality(
-    df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold: int = 5, sample_rows: int = SAMPLE_ROWS, keep: bool = False
-) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` per row; with ``keep``, the input's own columns followed by ``_score``."""
-    spark = df.sparkSession
+def _model(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, fold: int, sample_rows: int):
+    """The fitted model, broadcast (two vectors of ``DIMENSIONS``)."""
     docs = df.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text"))
-    model = train(labelled(docs, labels, fold, sample_rows))
-    shared = spark.sparkContext.broadcast(model)
-
-    if keep:
-        place, names = df.schema.fieldNames().index(text_col), [*df.schema.fieldNames(), "_score"]
+    return docs, df.sparkSession.sparkContext.broadcast(train(labelled(docs, labels, fold, sample_rows)))
 
-        def rows(batches):
-            for batch in batches:
-                score = pa.array(probabilities(batch.column(place), shared.value))
-                yield pa.RecordBatch.from_arrays([*batch.columns, score], names=names)
 
-        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-        return df.mapInArrow(rows, f"{fields}, _score double")
+def score_quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold: int = 5, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """``doc_id, held_out, score, predicted``, one row per input row."""
+    docs, model = _model(df, labels, id_col, text_col, fold, sample_rows)
 
     def run(batches):
         for batch in batches:
-            score = probabilities(batch.column(1), shared.value)
+            score = probabilities(batch.column(1), model.value)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], names=["doc_id", "score"])
 
     kind = docs.schema["_id"].dataType.simpleString()
     remainder = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % fold
     out = docs.mapInArrow(run, f"doc_id {kind}, score double")
     return out.select("doc_id", (remainder == 0).alias("held_out"), "score", F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
+def keep_good(
+    df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold: int = 5, sample_rows: int = SAMPLE_ROWS, least: float = THRESHOLD
+) -> DataFrame:
+    """The rows whose texts score ``least`` or more, with their own columns."""
+    _, model = _model(df, labels, id_col, text_col, fold, sample_rows)
+    place = df.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(probabilities(batch.column(place), model.value) >= least))
+
+    return df.mapInArrow(run, df.schema)
