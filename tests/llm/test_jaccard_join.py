@@ -9,8 +9,8 @@ def shingles(text, k=5):
     return {" ".join(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {" ".join(w)} if w else set()
 
 
-def brute(rows):
-    """Every pair compared; the smallest id of each component, for every row."""
+def roots(rows):
+    """Every pair compared: the set of each row, and a row that names its component."""
     sets = [shingles(t) for _, t in rows]
     root = list(range(len(rows)))
 
@@ -24,11 +24,22 @@ def brute(rows):
             both = len(sets[i] & sets[j])
             if both and 100 * both >= 80 * len(sets[i] | sets[j]):
                 root[find(i)] = find(j)
-    lowest = {}
-    for i, (d, _) in enumerate(rows):
-        if d is not None:
-            lowest[find(i)] = min(lowest.get(find(i), d), d)
-    return [(d, len(s), lowest.get(find(i)) if s else d) for i, ((d, _), s) in enumerate(zip(rows, sets, strict=True))]
+    return sets, [find(i) for i in range(len(rows))]
+
+
+def lowest_ids(rows, root):
+    low = {r: None for r in root}
+    for (d, _), r in zip(rows, root, strict=True):
+        if d is not None and (low[r] is None or d < low[r]):
+            low[r] = d
+    return low
+
+
+def brute(rows):
+    """(id, set size, smallest id of the component) of every row."""
+    sets, root = roots(rows)
+    low = lowest_ids(rows, root)
+    return [(d, len(s), low[r] if s else d) for (d, _), s, r in zip(rows, sets, root, strict=True)]
 
 
 def edited(text, seed, times):
@@ -66,10 +77,12 @@ def test_components_and_keepers(spark):
     kept = keep_one(frame(spark, every))
     assert kept.columns == frame(spark, every).columns
     kept = Counter((r.doc_id, r.text) for r in kept.collect())
-    blank = Counter((d, t) for d, t in every if not shingles(t))
+    sets, root = roots(every)
+    blank = Counter(x for x, s in zip(every, sets, strict=True) if not s)
     assert all(kept[r] == n for r, n in blank.items())
-    ids = sorted(c for c in {c for _, n, c in want if n} if c is not None)
-    assert sorted(d for (d, t), n in kept.items() for _ in range(n) if d is not None and shingles(t)) == ids
+    low = lowest_ids(every, root)
+    first = Counter(low[r] for r in {r for r, s in zip(root, sets, strict=True) if s})
+    assert Counter(d for (d, t), n in kept.items() if shingles(t) for _ in range(n)) == first
 
 
 def test_empty_tables(spark):
