@@ -6,17 +6,21 @@ column at scale. Here every requested quantile is found by narrowing a value
 range around the target rank:
 
 1. one pass: ``count, min, max`` per (group, variable);
-2. repeated passes: rows inside the current range are counted per equal-width
-   bucket (``groupBy(probe, bucket)`` with map-side partial aggregation, so
-   the shuffle carries at most #probes x #buckets rows); the bucket that holds
-   the target rank becomes the new range (its exact min/max);
-3. once a range holds at most ``collect_limit`` rows, its distinct values with
-   their counts are brought back and the rank is read off exactly.
-
-All columns, groups and probabilities are searched together, so the number of
-scans is ~3 for any realistic data (each pass shrinks the range by a factor of
-``buckets``). Linear interpolation between the two neighbouring ranks, as
-``quantile_cont`` / numpy ``linear``; NULLs are skipped.
+2. repeated passes: rows inside the current range are counted per bucket
+   (``groupBy(probe, bucket)`` with map-side partial aggregation, so the
+   shuffle carries at most #probes x #buckets rows); the bucket that holds
+   the target rank becomes the new range (its exact min/max), until it is one value;
+3. once all open ranges together hold ``FEW_ROWS`` rows at most, their
+   distinct values are counted in one last pass instead (the answer is the same).
+
+Buckets are equal in width if the range's ends are of one sign and magnitude,
+else by sign and exponent. The ends of a range always fall into different
+buckets, so each pass narrows it; a double has 2^11 exponents and 2^52 steps
+in each, so six passes of 2,048 buckets reach one value. Infinities have
+buckets of their own.
+
+All columns, groups and probabilities are searched together. Linear interpolation
+between the two neighbouring ranks, as ``quantile_cont`` / numpy ``linear``; NULLs are skipped.
 """
 
 from __future__ import annotations
@@ -25,13 +29,14 @@ import math
 from collections import defaultdict
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskline.operators.long import to_long
 
-_MAX_PASSES = 64
+#: Rows, over all open ranges together, whose distinct values may be counted one by one.
+FEW_ROWS = 4_096
 
 
 def _key_of(row, by):
@@ -45,13 +50,31 @@ def _stats(long: DataFrame, by: Sequence[str]):
     ).collect()
 
 
+def _bucket(x: Column, lo: Column, hi: Column, buckets: int) -> Column:
+    """Bucket of a value in ``lo..hi`` (``lo < hi``): monotone, and different for the two ends."""
+    infinite = float("inf")
+
+    def magnitude(v: Column) -> Column:
+        # sign and exponent: monotone over all finite doubles
+        size = F.floor(F.log2(F.greatest(F.abs(v), F.lit(5e-324)))) + 1076
+        return F.when(v > 0, size).when(v < 0, -size).otherwise(F.lit(0))
+
+    near = ((lo > 0) & (hi / 4 <= lo)) | ((hi < 0) & (lo / 4 >= hi))
+    linear = F.least(F.floor((x - lo) / (hi - lo) * buckets), F.lit(buckets - 1))
+    span = magnitude(hi) - magnitude(lo)
+    coarse = F.when(span > 0, F.floor((magnitude(x) - magnitude(lo)) * (buckets - 1) / span)).otherwise(linear)
+    inner = F.when(near | (magnitude(lo) == magnitude(hi)), linear).otherwise(coarse)
+    ends = F.when(x == -infinite, F.lit(-(1 << 20))).when(x == infinite, F.lit(1 << 20))
+    return ends.when((lo == -infinite) | (hi == infinite), magnitude(x)).otherwise(inner).cast("int")
+
+
 def select_ranks(
     long: DataFrame,
     by: Sequence[str],
     by_fields: Sequence[T.StructField],
     state: dict,
     buckets: int = 2048,
-    collect_limit: int = 100_000,
+    few_rows: int = FEW_ROWS,
 ) -> dict:
     """Resolve ``state[(key, rank)] = [lo, hi, below, inside]`` (``key`` =
     (group tuple, variable); ranks 0-based over non-NULL values) to
@@ -61,20 +84,19 @@ def select_ranks(
     by = list(by)
     state = {k: list(v) for k, v in state.items()}
     values: dict = {}
-    for _ in range(_MAX_PASSES):
+    while True:
         for k, (lo, hi, below, inside) in list(state.items()):
             if lo == hi:
                 values[k] = (lo, below, inside)
                 del state[k]
         if not state:
             break
-        narrow = {k: s for k, s in state.items() if s[3] > collect_limit}
-        final = not narrow
-        probes_src = state if final else narrow
+        ranges = {(k[0], lo, hi): inside for k, (lo, hi, _below, inside) in state.items()}
+        final = sum(ranges.values()) <= few_rows
         # One probe per distinct (key, lo, hi): two ranks in the same range share it.
         probe_ids: dict = {}
         members = defaultdict(list)
-        for k, (lo, hi, below, inside) in probes_src.items():
+        for k, (lo, hi, below, inside) in state.items():
             pk = (k[0], lo, hi)
             pid = probe_ids.setdefault(pk, len(probe_ids))
             members[pid].append(k)
@@ -107,9 +129,7 @@ def select_ranks(
                             break
                         acc += c
             break
-        b = F.least(
-            F.floor((F.col("value") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * buckets), F.lit(buckets - 1)
-        ).cast("int")
+        b = _bucket(F.col("value"), F.col("_lo"), F.col("_hi"), buckets)
         hist = (
             joined.groupBy("_pid", b.alias("_b"))
             .agg(F.count(F.lit(1)).alias("c"), F.min("value").alias("mn"), F.max("value").alias("mx"))
@@ -137,7 +157,7 @@ def exact_quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     buckets: int = 2048,
-    collect_limit: int = 100_000,
+    few_rows: int = FEW_ROWS,
 ) -> tuple[dict, dict]:
     """Return ``(quantiles, counts)``.
 
@@ -148,6 +168,7 @@ def exact_quantiles(
     """
     by = list(by)
     long = to_long(df, columns, by)
+    long = long.withColumn("value", F.when(~F.isnan("value"), F.col("value")))
     counts = {}
     state = {}
     wanted = {}
@@ -164,7 +185,7 @@ def exact_quantiles(
             wanted[(key, p)] = (r0, r1, h - r0)
             for r in (r0, r1):
                 state.setdefault((key, r), [row["lo"], row["hi"], 0, n])
-    values = select_ranks(long, by, [df.schema[b] for b in by], state, buckets, collect_limit)
+    values = select_ranks(long, by, [df.schema[b] for b in by], state, buckets, few_rows)
     out = {}
     for (key, p), (r0, r1, frac) in wanted.items():
         v0, v1 = values[(key, r0)][0], values[(key, r1)][0]

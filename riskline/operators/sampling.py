@@ -6,12 +6,12 @@ Class quotas are exact (largest remainder, as a stratified shuffle split
 allocates them); the rows inside a class are the ones with the smallest
 ``(hash, id)``.
 
-Split and folds never shuffle the rows: for each class the order key at
+Split and folds never shuffle the rows: for each class the row at
 the quota rank (the "cut") is found with the range-narrowing selection of
 ``quantiles.select_ranks`` (a few aggregation passes over (class, key) whose
-shuffles carry only histograms), then rows are assigned by comparing with the
-cut (``key < v``, and a struct comparison on ``(key, id...)`` for the rows
-that share the cut value). ``rank_within`` (explicit ranks via range-bounded
+shuffles carry only histograms), level by level of one total order
+``(key, ids, row hash)`` at every size, then rows are assigned by comparing with the
+cut. ``rank_within`` (explicit ranks via range-bounded
 windows) remains for callers that need the rank itself.
 """
 
@@ -23,6 +23,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 TARGET_RANGE_ROWS = 1_000_000
@@ -85,98 +86,112 @@ def rank_within(
     return j.withColumn("_rank", F.col("_off") + F.row_number().over(w)).drop("_rng", "_off")
 
 
-TIE_COLLECT_LIMIT = 10_000
-
-
-def _order_cols(df: DataFrame, id_cols: Sequence[str], seed: int, order_key: Column | None) -> DataFrame:
-    """``_okey`` (primary order: the key, a hash of the ids by default) and
-    ``_okey2`` (a hash of the whole row: orders rows sharing a primary key,
-    e.g. repeated ids), with their double forms for rank selection."""
+def _order_cols(df: DataFrame, id_cols: Sequence[str], seed: int, order_key: Column | None) -> tuple[DataFrame, list[str]]:
+    """The rows with the levels of their total order: the key (a hash of the ids by default), the ids, and a
+    hash of the whole row. A 64-bit value makes two levels (its upper and lower 32 bits), each exact as a double."""
     key = order_key if order_key is not None else hash_key(id_cols, seed)
+    exact = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
+    ids = [F.col(f"`{c}`") if isinstance(df.schema[c].dataType, exact) else F.xxhash64(F.col(f"`{c}`")) for c in id_cols]
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.lit(seed + 1))
-    return (
-        df.withColumn("_okey", key.cast("long"))
-        .withColumn("_okd", F.col("_okey").cast("double"))
-        .withColumn("_okey2", row_hash)
-        .withColumn("_okd2", F.col("_okey2").cast("double"))
-    )
-
-
-def _cuts(df: DataFrame, target: str, id_cols: Sequence[str], ranks: Mapping, stats=None) -> dict:
-    """For each class ``c`` and 0-based rank ``r`` in ``ranks[c]``: the row at
-    rank ``r`` in ``(_okey, id..., _okey2)`` order, as ``(v, v2, boundary)``.
-    Rows before it are exactly those that ``_before`` selects.
-
-    Level 1 selects the primary key value ``v`` at the rank; when many rows
-    share it (a hot key: with the default hash key, copies of one id), level 2
-    selects among them on the row hash, which then orders them. Only
-    the rows sharing both values are collected: exact copies, bounded by
-    ``TIE_COLLECT_LIMIT`` (beyond it the copies at the cut move together and
-    the quota may be off by less than their number)."""
-    from riskline.operators.quantiles import _stats, select_ranks
+    levels = {}
+    for i, x in enumerate([key, *ids, row_hash]):
+        x = F.coalesce(x.cast("long"), F.lit(-(1 << 63)))
+        levels[f"_o{i}h"] = F.shiftright(x, 32).cast("double")
+        levels[f"_o{i}l"] = x.bitwiseAND(F.lit(0xFFFFFFFF)).cast("double")
+    return df.withColumns(levels), list(levels)
+
+
+def _is_class(target: str, c) -> Column:
+    return F.col(f"`{target}`").eqNullSafe(F.lit(c))
 
-    def level(frame, value_col, wanted, stats=None):
-        long = frame.select(F.col(target), F.lit("key").alias("variable"), F.col(value_col).alias("value"))
-        state = {}
-        for row in stats if stats is not None else _stats(long, [target]):
-            c = row[target]
-            for r in wanted.get(c, []):
-                state[(((c,), "key"), r)] = [row["lo"], row["hi"], 0, row["n"]]
-        if not state:
-            return {}
-        res = select_ranks(long, [target], [frame.schema[target]], state)
-        return {(k[0][0][0], k[1]): vb for k, vb in res.items()}
-
-    v1 = level(df, "_okd", ranks, stats)
-    if not v1:
-        return {}
-
-    def any_of(pairs):
-        cond = None
-        for c, v in pairs:
-            one = (F.col(target) == F.lit(c)) & (F.col("_okd") == F.lit(v))
-            cond = one if cond is None else cond | one
-        return cond
-
-    # The selection already knows how many rows share each cut value.
-    sizes = {(c, v): n_eq for (c, _r), (v, _b, n_eq) in v1.items()}
-    small = [p for p, n in sizes.items() if n <= TIE_COLLECT_LIMIT]
-    ties = defaultdict(list)
-    if small:
-        for x in df.where(any_of(small)).select(target, "_okd", "_okey", *id_cols, "_okey2").collect():
-            ties[(x[target], x["_okd"])].append(tuple(x)[2:])
-    out = defaultdict(dict)
-    for (c, r), (v, below, _n) in v1.items():
-        r2 = r - below
-        if sizes[(c, v)] <= TIE_COLLECT_LIMIT:
-            out[c][r] = (v, None, sorted(ties[(c, v)])[r2])
-            continue
-        tied = df.where((F.col(target) == F.lit(c)) & (F.col("_okd") == F.lit(v)))
-        (v2, below2, _n2) = level(tied, "_okd2", {c: [r2]})[(c, r2)]
-        tied2 = tied.where(F.col("_okd2") == F.lit(v2))
-        rows = sorted(tuple(x) for x in tied2.select("_okey", *id_cols, "_okey2").limit(TIE_COLLECT_LIMIT).collect())
-        out[c][r] = (v, v2, rows[min(r2 - below2, len(rows) - 1)])
-    return out
 
+def _tied(target: str, c, levels: Sequence[str], values: Sequence[float]) -> Column:
+    """The rows of a class that have these values on the first levels."""
+    cond = _is_class(target, c)
+    for name, v in zip(levels, values):
+        cond = cond & (F.col(name) == F.lit(v))
+    return cond
 
-def _key_stats(keyed: DataFrame, target: str):
-    """One pass: per class ``n, min, max`` of the order key (the class sizes
+
+def _cuts(keyed: DataFrame, levels: list[str], target: str, ranks: Mapping, stats) -> dict:
+    """``{(class, rank): (values, left, equal)}``: the row at a 0-based rank has ``values`` on the first levels of the
+    order; ``left`` of the ``equal`` rows with the same values come before the cut. ``left`` is 0 unless all levels
+    are used up, which is so for exact copies only.
+
+    Each level narrows all open ranks together (``select_ranks``); rows are never collected."""
+    from riskline.operators.quantiles import _stats, select_ranks
+
+    found, open_ranks = {}, {(c, ()): [(r, r) for r in rs] for c, rs in ranks.items() if rs}
+    for depth, name in enumerate(levels):
+        if not open_ranks:
+            break
+        groups = list(open_ranks)
+        number = F.lit(None).cast("int")
+        for g, (c, values) in enumerate(groups):
+            number = F.when(_tied(target, c, levels, values), F.lit(g)).otherwise(number)
+        long = keyed.select(number.alias("_g"), F.lit("key").alias("variable"), F.col(name).alias("value")).where("_g is not null")
+        if depth == 0:
+            first = [(groups.index((row[target], ())), row) for row in stats if (row[target], ()) in open_ranks]
+        else:
+            first = [(row["_g"], row) for row in _stats(long, ["_g"])]
+        state = {(((g,), "key"), r): [row["lo"], row["hi"], 0, row["n"]] for g, row in first for _, r in open_ranks[groups[g]]}
+        met = select_ranks(long, ["_g"], [T.StructField("_g", T.IntegerType())], state)
+        after = defaultdict(list)
+        for g, key in enumerate(groups):
+            c, values = key
+            for rank, r in open_ranks[key]:
+                v, below, equal = met[(((g,), "key"), r)]
+                here = (*values, v)
+                if r == below or depth == len(levels) - 1:
+                    found[(c, rank)] = (here, r - below, equal)
+                else:
+                    after[(c, here)].append((rank, r - below))
+        open_ranks = after
+    return found
+
+
+def _key_stats(keyed: DataFrame, levels: list[str], target: str):
+    """One pass: per class ``n, min, max`` of the first level (the class sizes
     and the selection's starting ranges)."""
     from riskline.operators.quantiles import _stats
 
-    long = keyed.select(F.col(target), F.lit("key").alias("variable"), F.col("_okd").alias("value"))
+    long = keyed.select(F.col(target), F.lit("key").alias("variable"), F.col(levels[0]).alias("value"))
     stats = _stats(long, [target])
     return stats, {r[target]: r["n"] for r in stats}
 
 
-def _before(df: DataFrame, id_cols: Sequence[str], cut) -> Column:
-    v, v2, boundary = cut
-    fields = ["_okey", *id_cols, "_okey2"]
-    lits = [F.lit(x).cast(df.schema[f].dataType) for f, x in zip(fields, boundary)]
-    tie = F.struct(*[F.col(f) for f in fields]) < F.struct(*lits)
-    if v2 is not None:
-        tie = (F.col("_okd2") < F.lit(v2)) | ((F.col("_okd2") == F.lit(v2)) & tie)
-    return (F.col("_okd") < F.lit(v)) | ((F.col("_okd") == F.lit(v)) & tie)
+def _before(levels: list[str], values: Sequence[float]) -> Column:
+    """Whether a row comes before the rows with these values on the first levels."""
+    used = levels[: len(values)]
+    return F.struct(*[F.col(x) for x in used]) < F.struct(*[F.lit(float(v)).alias(x) for x, v in zip(used, values)])
+
+
+def _assign(keyed: DataFrame, levels: list[str], target: str, name: str, cuts: dict, steps: Mapping) -> DataFrame:
+    """Add ``name``: how many cuts of its class a row is not before. ``steps[c]`` are the class's ranks in ascending order.
+
+    Rows are compared with the cuts in a projection. Where a cut falls among exact copies, the copies are equal in every
+    column: their one row is repeated as often as it occurs and the copies are numbered, so the quota is exact."""
+    value, copies = F.lit(0), []
+    for c, ranks in steps.items():
+        count = F.lit(0)
+        for r in ranks:
+            values, left, equal = cuts[(c, r)]
+            count = count + F.when(_before(levels, values), 0).otherwise(1)
+            if left:
+                copies.append((c, values, equal))
+        value = F.when(_is_class(target, c), count).otherwise(value)
+    out = keyed.withColumn(name, value.cast("int"))
+    for c, values, equal in dict.fromkeys(copies):
+        same = _tied(target, c, levels, values)
+        passed = F.lit(0)
+        for r in steps[c]:
+            at, left, _ = cuts[(c, r)]
+            here = (F.col("_copy") >= F.lit(left)) if at == values else ~_before(levels, at)
+            passed = passed + F.when(here, 1).otherwise(0)
+        one = keyed.where(same).limit(1).withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(equal - 1))))
+        numbered = one.withColumn(name, passed.cast("int")).drop("_copy")
+        out = out.where(~same).unionByName(numbered)
+    return out.drop(*levels)
 
 
 def stratified_split(
@@ -188,23 +203,22 @@ def stratified_split(
     order_key: Column | None = None,
 ) -> DataFrame:
     """Add ``split`` ('train' / 'test') with exact stratified quotas: the
-    first ``quota_c`` rows of class ``c`` in ``(key, id)`` order are the test
-    rows. No shuffle of the rows: class counts and the cut come from
+    first ``quota_c`` rows of class ``c`` in ``(key, ids, row hash)`` order are the test
+    rows, whatever the number of ties. No shuffle of the rows: class counts and the cut come from
     aggregation passes, the assignment is a projection."""
-    keyed = _order_cols(df, id_cols, seed, order_key)
-    stats, counts = _key_stats(keyed, target)
+    keyed, levels = _order_cols(df, id_cols, seed, order_key)
+    stats, counts = _key_stats(keyed, levels, target)
     quotas = split_quotas(counts, test_size)
-    cuts = _cuts(keyed, target, id_cols, {c: [q] for c, q in quotas.items() if 0 < q < counts[c]}, stats)
-    expr = F.lit("train")
-    for c, q in quotas.items():
-        if q >= counts[c]:
-            is_test = F.lit(True)
-        elif q <= 0:
-            is_test = F.lit(False)
-        else:
-            is_test = _before(keyed, id_cols, cuts[c][q])
-        expr = F.when((F.col(target) == F.lit(c)) & is_test, F.lit("test")).otherwise(expr)
-    return keyed.withColumn("split", expr).drop("_okey", "_okd", "_okey2", "_okd2")
+    steps = {c: [q] for c, q in quotas.items() if 0 < q < counts[c]}
+    out = _assign(keyed, levels, target, "_passed", _cuts(keyed, levels, target, steps, stats), steps)
+    whole = [c for c, q in quotas.items() if q >= counts[c]]
+    none = [c for c, q in quotas.items() if q <= 0]
+    test = F.col("_passed") == 0
+    for c in whole:
+        test = test | _is_class(target, c)
+    for c in none:
+        test = test & ~_is_class(target, c)
+    return out.withColumn("split", F.when(test, "test").otherwise("train")).drop("_passed")
 
 
 def split_data(df: DataFrame, target: str, id_cols: Sequence[str], test_size: float = 0.2, seed: int = 42):
@@ -222,26 +236,21 @@ def stratified_folds(
     order_key: Column | None = None,
 ) -> DataFrame:
     """Add ``fold`` in ``0..n_splits-1``: the row of rank ``r`` (0-based,
-    ``(key, id)`` order) in a class of ``n`` rows goes to fold
+    ``(key, ids, row hash)`` order) in a class of ``n`` rows goes to fold
     ``floor(r * k / n)``, so per-class fold sizes differ by at most one.
     The k-1 cuts per class come from the same selection passes as the split."""
-    keyed = _order_cols(df, id_cols, seed, order_key)
-    stats, counts = _key_stats(keyed, target)
-    starts = {c: sorted({-(-f * n // n_splits) for f in range(1, n_splits)} - {n}) for c, n in counts.items()}
-    starts = {c: [r for r in rs if 0 < r < counts[c]] for c, rs in starts.items()}
-    cuts = _cuts(keyed, target, id_cols, starts, stats)
-    fold = F.lit(0)
-    for c, n in counts.items():
-        steps = None
-        for f in range(1, n_splits):
-            r = -(-f * n // n_splits)
-            if 0 < r < n:
-                inc = F.when(~_before(keyed, id_cols, cuts[c][r]), F.lit(1)).otherwise(F.lit(0))
-            else:
-                inc = F.lit(0)
-            steps = inc if steps is None else steps + inc
-        fold = F.when(F.col(target) == F.lit(c), steps if steps is not None else F.lit(0)).otherwise(fold)
-    return keyed.withColumn("fold", fold.cast("int")).drop("_okey", "_okd", "_okey2", "_okd2")
+    keyed, levels = _order_cols(df, id_cols, seed, order_key)
+    stats, counts = _key_stats(keyed, levels, target)
+    # a class of fewer rows than folds passes several cuts at one rank
+    starts = {c: [-(-f * n // n_splits) for f in range(1, n_splits)] for c, n in counts.items()}
+    steps = {c: [r for r in rs if 0 < r < counts[c]] for c, rs in starts.items()}
+    zero = {c: sum(r <= 0 for r in rs) for c, rs in starts.items()}
+    cuts = _cuts(keyed, levels, target, {c: sorted(set(rs)) for c, rs in steps.items()}, stats)
+    out = _assign(keyed, levels, target, "fold", cuts, steps)
+    for c, n in zero.items():
+        if n:
+            out = out.withColumn("fold", F.when(_is_class(target, c), F.col("fold") + n).otherwise(F.col("fold")))
+    return out.withColumn("fold", F.col("fold").cast("int"))
 
 
 def balanced_weights(counts: Mapping) -> dict:

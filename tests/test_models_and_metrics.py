@@ -224,9 +224,21 @@ def test_grid_helpers():
     assert len(run_plan()) == 54
 
 
-def test_split_with_hot_id_is_exact(spark, monkeypatch):
+def test_split_of_exact_copies_is_exact(spark):
+    df = spark.range(100_000).selectExpr("7L as id", "1 as label", "'x' as s").repartition(4)
+    df = df.unionByName(spark.range(50).selectExpr("id + 100 as id", "cast(id % 2 as int) as label", "'y' as s"))
+    s = SP.stratified_split(df, "label", ["id"], 0.2, seed=3)
+    counts = {(r["label"], r["split"]): r["count"] for r in s.groupBy("label", "split").count().collect()}
+    assert counts[(1, "test")] + counts.get((0, "test"), 0) == 20_010 and sum(counts.values()) == 100_050
+    folds = SP.stratified_folds(df, "label", ["id"], 5, seed=3)
+    sizes = [r["count"] for r in folds.where("label = 1").groupBy("fold").count().collect()]
+    assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
+    few = SP.stratified_folds(df.where("label = 0").limit(3), "label", ["id"], 5, seed=3)
+    assert sorted(r["fold"] for r in few.collect()) == [0, 1, 3]
+
+
+def test_split_with_hot_id_is_exact(spark):
     # 1/3 of the rows are copies of one id: the cut falls inside that group.
-    monkeypatch.setattr(SP, "TIE_COLLECT_LIMIT", 5)
     rows = [(7, i, i % 2) for i in range(300)] + [(i, i, (i // 3) % 2) for i in range(1000, 1600)]
     df = spark.createDataFrame(rows, "id long, payload long, label int")
     s = SP.stratified_split(df, "label", ["id"], 0.5, seed=3)
