@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,15 +18,21 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
 
+#: Half the statistic up to which the closed form neither overflows nor underflows.
+_PLAIN_LIMIT = 600.0
+
+
 def chi2_sf(x: float, dof: int) -> float:
-    """Upper tail of the chi-square distribution, integer ``dof`` >= 1."""
-    if x is None or dof is None or (isinstance(x, float) and math.isnan(x)):
-        return float("nan")
-    if dof < 1:
+    """Upper tail of the chi-square distribution, integer ``dof`` >= 0 (no freedom: 1, as the statistic is 0)."""
+    if x is None or dof is None or (isinstance(x, float) and math.isnan(x)) or dof < 0:
         return float("nan")
-    if x <= 0:
+    if dof == 0 or x <= 0:
         return 1.0
+    if math.isinf(x):
+        return 0.0
     h = x / 2.0
+    if h > _PLAIN_LIMIT or dof > 2 * _PLAIN_LIMIT:
+        return _chi2_sf_by_logs(h, dof)
     if dof % 2 == 0:
         # Q(m, h) = exp(-h) * sum_{i<m} h^i / i!
         term, total = 1.0, 1.0
@@ -45,6 +52,20 @@ def chi2_sf(x: float, dof: int) -> float:
     return min(1.0, total)
 
 
+def _chi2_sf_by_logs(h: float, dof: int) -> float:
+    """The same sums by logarithms of their terms, for statistics or degrees of freedom that leave the range of a double."""
+    half = 0.5 if dof % 2 else 0.0
+    i = np.arange((dof - 1) // 2 if dof % 2 else dof // 2)
+    steps = np.log(np.maximum(i, 1) + half)
+    steps[:1] = 0.0
+    logs = (i + half) * math.log(h) - np.cumsum(steps) - math.lgamma(1.0 + half) - h
+    first = math.erfc(math.sqrt(h)) if dof % 2 else 0.0
+    if not len(logs):
+        return first
+    top = float(logs.max())
+    return min(1.0, first + math.exp(top) * math.fsum(np.exp(logs - top))) if top > -745 else first
+
+
 def norm_sf(z: float) -> float:
     """Upper tail of the standard normal."""
     return 0.5 * math.erfc(z / math.sqrt(2.0))

@@ -370,6 +370,7 @@ def kde_density(df: DataFrame, column: str, by: str, grid_points: int = 100) ->
     step = (F.col("_mx") - F.col("_mn")) / F.lit(grid_points - 1)
     ex = j.select(by, F.col(column).alias("_v"), "_n", "_h", "_mn", step.alias("_step"), F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))).alias("point"))
     x = F.col("_mn") + F.col("_step") * F.col("point")
-    z = (x - F.col("_v")) / F.col("_h")
-    k = F.exp(-0.5 * z * z) / (F.col("_n") * F.col("_h") * F.lit(math.sqrt(2 * math.pi)))
+    # a group of one value has no bandwidth: its density is NULL
+    z = F.try_divide(x - F.col("_v"), F.col("_h"))
+    k = F.try_divide(F.exp(-0.5 * z * z), F.col("_n") * F.col("_h") * F.lit(math.sqrt(2 * math.pi)))
     return ex.groupBy(by, "point").agg(F.first(x).alias("x"), F.sum(k).alias("density"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -25,6 +25,13 @@ from riskline.operators.ordering import rank_sums
 # ---------------------------------------------------------------------------
 
 
+def pearson(x: Column, y: Column) -> Column:
+    """Pearson r over the rows that have both values; NULL if one of them is constant (no error in ANSI mode)."""
+    x = F.when(y.isNotNull(), x.cast("double"))
+    y = F.when(x.isNotNull(), y.cast("double"))
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def correlation_pairs(df: DataFrame, columns: Sequence[str], full: bool = False) -> DataFrame:
     """Pairwise-complete Pearson r of every column pair in ONE job.
 
@@ -42,7 +49,7 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str], full: bool = False)
             for p, (i, j) in enumerate(pairs)
         ]
     )
-    r = df.select(F.explode(arr).alias("s")).groupBy(F.col("s.p").alias("p")).agg(F.corr("s.x", "s.y").alias("correlation"))
+    r = df.select(F.explode(arr).alias("s")).groupBy(F.col("s.p").alias("p")).agg(pearson(F.col("s.x"), F.col("s.y")).alias("correlation"))
     first = F.array(*[F.lit(cols[i]) for i, _ in pairs])
     second = F.array(*[F.lit(cols[j]) for _, j in pairs])
     out = r.select(
@@ -73,10 +80,10 @@ def target_correlation(df: DataFrame, columns: Sequence[str], target: str, compl
     in the listed columns (otherwise pairwise-complete)."""
     cols = list(columns)
     base = df.dropna(subset=[*cols, target]) if complete_cases else df
-    row = base.agg(*[F.corr(c, target).alias(c) for c in cols])
+    row = base.agg(*[pearson(F.col(c), F.col(target)).alias(c) for c in cols])
     out = row.unpivot([], cols, "variable", "correlation")
     if absolute:
-        self_row = base.agg(F.lit(target).alias("variable"), F.corr(target, target).alias("correlation"))
+        self_row = base.agg(F.lit(target).alias("variable"), pearson(F.col(target), F.col(target)).alias("correlation"))
         out = out.unionByName(self_row).withColumn("correlation", F.abs("correlation"))
     return out
 
@@ -147,7 +154,8 @@ def chi_square_stats(df: DataFrame, columns: Sequence[str], target: str, correct
         F.first("_k").cast("int").alias("n_classes"),
         F.min("expected").alias("min_expected"),
     )
-    v = F.sqrt(F.col("chi2") / (F.col("n") * F.least(F.col("n_classes") - 1, F.col("n_categories") - 1)))
+    # a variable or target of one value has no freedom: NULL, and the other variables keep theirs
+    v = F.sqrt(F.try_divide(F.col("chi2"), F.col("n") * F.least(F.col("n_classes") - 1, F.col("n_categories") - 1)))
     return g.withColumn("cramers_v", v)
 
 
@@ -187,8 +195,9 @@ def cohens_d(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     structs = []
     for c in columns:
         n0, n1 = F.col(f"{c}__n0"), F.col(f"{c}__n1")
-        pooled = F.sqrt(((n0 - 1) * F.col(f"{c}__v0") + (n1 - 1) * F.col(f"{c}__v1")) / (n0 + n1 - 2))
-        structs.append(F.struct(F.lit(c).alias("variable"), ((F.col(f"{c}__m0") - F.col(f"{c}__m1")) / pooled).alias("cohens_d")))
+        pooled = F.sqrt(F.try_divide((n0 - 1) * F.col(f"{c}__v0") + (n1 - 1) * F.col(f"{c}__v1"), n0 + n1 - 2))
+        d = F.try_divide(F.col(f"{c}__m0") - F.col(f"{c}__m1"), pooled)
+        structs.append(F.struct(F.lit(c).alias("variable"), d.alias("cohens_d")))
     return row.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
 
 
@@ -206,7 +215,7 @@ def mann_whitney(df: DataFrame, columns: Sequence[str], target: str, continuity:
     u0 = F.col("rank_sum_neg") - n0 * (n0 + 1) / 2.0
     mu = n0 * n1 / 2.0
     big_u = F.greatest(u0, n0 * n1 - u0)
-    sigma = F.sqrt(n0 * n1 / 12.0 * ((n + 1) - F.col("tie_term") / (n * (n - 1))))
+    sigma = F.sqrt(n0 * n1 / 12.0 * ((n + 1) - F.try_divide(F.col("tie_term"), n * (n - 1))))
     z = (big_u - mu - (0.5 if continuity else 0.0)) / sigma
     out = rs.select(
         "variable", n0.alias("n_0"), n1.alias("n_1"), u0.alias("u_statistic"), F.when(sigma > 0, z).alias("z")

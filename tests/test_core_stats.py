@@ -213,3 +213,14 @@ def test_mode_of_string_column(spark):
     assert missing.column_modes(df, ["s"]) == {"s": "a"}
     out = missing.simple_imputation(df, [], ["s"], threshold=0.5).collect()
     assert sorted(r["s"] for r in out) == ["a", "a", "a", "b", "b", "c"]
+
+
+@pytest.mark.parametrize(
+    "x,dof,p", [(1600, 1000, 1.742039824e-30), (2000, 1002, 8.303834067e-69), (1500, 1001, 1.283254812e-22), (1600, 100, 1.145859577e-268), (7.0, 0, 1.0)]
+)
+def test_chi_square_tail_at_large_freedom(x, dof, p):
+    from riskline.functions.pvalues import chi2_sf
+
+    assert chi2_sf(x, dof) == pytest.approx(p, rel=1e-9)
+    if dof:
+        assert chi2_sf(1201.0, 1199) == pytest.approx(chi2_sf(1200.9999999, 1199), rel=1e-6)
