@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskline.operators.long import to_long, wide_agg_to_long
 from riskline.operators.quantiles import medians
@@ -69,8 +70,6 @@ def column_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
     ``min_by`` over (-count, value) per variable: no per-column scan, and no
     per-group buffer of distinct values in one task. Numeric and string
     columns are handled in their own type."""
-    from pyspark.sql import types as T
-
     numeric = [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
     other = [c for c in columns if c not in numeric]
     out: dict[str, object] = {c: None for c in columns}
@@ -97,7 +96,9 @@ class SimpleImputerModel:
             if v is None:
                 continue
             dt = df.schema[c].dataType
-            cols[c] = F.coalesce(F.col(c), F.lit(v).cast(dt))
+            if isinstance(dt, T.IntegralType) and float(v) != int(v):
+                dt = T.DoubleType()  # a median between two integers widens the column
+            cols[c] = F.coalesce(F.col(c).cast(dt), F.lit(v).cast(dt))
         return df.withColumns(cols) if cols else df
 
     def as_frame(self, spark):

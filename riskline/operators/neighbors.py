@@ -31,23 +31,45 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from riskline.session import ensure_checkpoint_dir
+
 BLOCK_ROWS = 20_000
 QUERY_CHUNK = 1024
+#: Rows below which a block is not cut further for the sake of parallelism.
+SMALL_BLOCK = 512
+#: Donor blocks whose candidates for one query are merged at a time.
+MERGE_BLOCKS = 32
+
+
+def block_counts(nq: int, nd: int, cores: int, block_rows: int) -> tuple[int, int]:
+    """Query and donor blocks: no block over ``block_rows``, and a task for every core if there are rows enough."""
+    qb, db = max(1, math.ceil(nq / block_rows)), max(1, math.ceil(nd / block_rows))
+    most_q, most_d = max(1, nq // SMALL_BLOCK), max(1, nd // SMALL_BLOCK)
+    qb = max(qb, min(most_q, math.ceil(cores / db)))
+    return qb, max(db, min(most_d, math.ceil(cores / qb)))
 
 
-def _blocks(n: int, block_rows: int) -> int:
-    return max(1, math.ceil(n / block_rows))
+def _nearest(dist: np.ndarray, k: int) -> np.ndarray:
+    """Columns of the k smallest distances per row, nearest first, equal distances in column order."""
+    if k < dist.shape[1]:
+        kth = np.partition(dist, k - 1, axis=1)[:, k - 1 : k]
+        chosen = dist < kth
+        tied = dist == kth
+        chosen |= tied & (np.cumsum(tied, axis=1) <= k - chosen.sum(axis=1, keepdims=True))
+        columns = np.nonzero(chosen)[1].reshape(dist.shape[0], k)
+    else:
+        columns = np.tile(np.arange(dist.shape[1]), (dist.shape[0], 1))
+    order = np.argsort(np.take_along_axis(dist, columns, axis=1), axis=1, kind="stable")
+    return np.take_along_axis(columns, order, axis=1)
 
 
 def _local_topk(qids, Q, dids, D, k, exclude_self):
-    """Top-k donors per query row: returns (qid, did, dist) arrays."""
+    """Top-k donors per query row: (query row, donor row, distance) arrays."""
     p = Q.shape[1]
     out_q, out_d, out_dist = [], [], []
-    if len(dids) == 0 or len(qids) == 0:
-        return np.array([], dtype=np.int64), np.array([], dtype=np.int64), np.array([], dtype=np.float64)
-    # Donors sorted by id: a stable sort on distance then breaks ties by id.
+    # Donors sorted by id, so that equal distances are taken in the order of ids.
     order = np.argsort(dids, kind="stable")
-    dids, D = dids[order], D[order]
+    sorted_ids, D = dids[order], D[order]
     Dm = ~np.isnan(D)
     D0 = np.where(Dm, D, 0.0)
     kk = min(k, len(dids))
@@ -66,13 +88,12 @@ def _local_topk(qids, Q, dids, D, k, exclude_self):
             dist = np.sqrt(acc * p / cnt)
         dist[cnt == 0] = np.inf
         if exclude_self:
-            dist[qids[s : s + QUERY_CHUNK, None] == dids[None, :]] = np.inf
-        idx = np.argsort(dist, axis=1, kind="stable")[:, :kk]
-        rows = np.arange(q.shape[0])[:, None]
-        dsel = dist[rows, idx]
+            dist[qids[s : s + QUERY_CHUNK, None] == sorted_ids[None, :]] = np.inf
+        idx = _nearest(dist, kk)
+        dsel = np.take_along_axis(dist, idx, axis=1)
         ok = np.isfinite(dsel)
-        out_q.append(np.repeat(qids[s : s + QUERY_CHUNK], kk).reshape(-1, kk)[ok])
-        out_d.append(dids[idx][ok])
+        out_q.append(np.repeat(np.arange(s, s + q.shape[0]), kk).reshape(-1, kk)[ok])
+        out_d.append(order[idx[ok]])
         out_dist.append(dsel[ok])
     return np.concatenate(out_q), np.concatenate(out_d), np.concatenate(out_dist)
 
@@ -87,39 +108,56 @@ def knn_join(
     exclude_self: bool = False,
     block_rows: int = BLOCK_ROWS,
     counts: tuple[int, int] | None = None,
+    payload: Sequence[str] = (),
 ) -> DataFrame:
-    """``qid, did, dist, rank`` for the ``k`` nearest donors of every query
-    (fewer when fewer donors have a defined distance). Ids must be integral."""
-    coords = list(coords)
+    """``qid, did, dist, rank, *payload`` for the ``k`` nearest donors of every query
+    (fewer when fewer donors have a defined distance). Ids may be of any type that has an order;
+    ``payload`` columns of the donors (as doubles) travel through the kernel, so no join by donor follows."""
+    coords, payload = list(coords), list(payload)
     nq, nd = counts if counts else (queries.count(), donors.count())
-    qb, db = _blocks(nq, block_rows), _blocks(nd, block_rows)
+    qb, db = block_counts(nq, nd, queries.sparkSession.sparkContext.defaultParallelism, block_rows)
     q = queries.select(
-        F.col(query_id).cast("long").alias("qid"),
+        F.col(query_id).alias("qid"),
         *[F.col(c).cast("double").alias(f"q{i}") for i, c in enumerate(coords)],
     ).withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(qb)).cast("int"))
     d = donors.select(
-        F.col(donor_id).cast("long").alias("did"),
+        F.col(donor_id).alias("did"),
         *[F.col(c).cast("double").alias(f"d{i}") for i, c in enumerate(coords)],
+        *[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(payload)],
     ).withColumn("db", F.pmod(F.xxhash64("did"), F.lit(db)).cast("int"))
     q = q.withColumn("db", F.explode(F.sequence(F.lit(0), F.lit(db - 1))))
     d = d.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1))))
     p = len(coords)
+    values = [f"v{i}" for i in range(len(payload))]
     schema = T.StructType(
-        [T.StructField("qid", T.LongType()), T.StructField("did", T.LongType()), T.StructField("dist", T.DoubleType())]
+        [
+            T.StructField("qid", q.schema["qid"].dataType),
+            T.StructField("did", d.schema["did"].dataType),
+            T.StructField("dist", T.DoubleType()),
+            T.StructField("part", T.IntegerType()),
+            *[T.StructField(v, T.DoubleType()) for v in values],
+        ]
     )
 
     def kernel(qpdf: pd.DataFrame, dpdf: pd.DataFrame) -> pd.DataFrame:
         if len(qpdf) == 0 or len(dpdf) == 0:
-            return pd.DataFrame({"qid": pd.Series([], dtype="int64"), "did": pd.Series([], dtype="int64"), "dist": pd.Series([], dtype="float64")})
+            return pd.DataFrame({f.name: [] for f in schema.fields})
         Q = qpdf[[f"q{i}" for i in range(p)]].to_numpy(dtype=np.float64, na_value=np.nan)
         D = dpdf[[f"d{i}" for i in range(p)]].to_numpy(dtype=np.float64, na_value=np.nan)
-        a, b, c = _local_topk(qpdf["qid"].to_numpy(np.int64), Q, dpdf["did"].to_numpy(np.int64), D, k, exclude_self)
-        return pd.DataFrame({"qid": a, "did": b, "dist": c})
+        a, b, c = _local_topk(qpdf["qid"].to_numpy(), Q, dpdf["did"].to_numpy(), D, k, exclude_self)
+        met = {"qid": qpdf["qid"].to_numpy()[a], "did": dpdf["did"].to_numpy()[b], "dist": c, "part": int(dpdf["db"].iloc[0])}
+        return pd.DataFrame(met | {v: dpdf[v].to_numpy()[b] for v in values})
 
     local = q.groupBy("qb", "db").cogroup(d.groupBy("qb", "db")).applyInPandas(kernel, schema)
-    # At most k x #donor-blocks candidates per query: bounded window.
-    w = Window.partitionBy("qid").orderBy("dist", "did")
-    return local.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    best = F.slice(F.sort_array(F.collect_list(F.struct("dist", "did", *values))), 1, k)
+    # At most MERGE_BLOCKS * k candidates of a query meet at once, whatever the number of donor blocks.
+    while db > MERGE_BLOCKS:
+        db = math.ceil(db / MERGE_BLOCKS)
+        local = local.withColumn("part", F.floor(F.col("part") / MERGE_BLOCKS).cast("int"))
+        local = local.groupBy("qid", "part").agg(best.alias("x")).select("qid", "part", F.explode("x").alias("x")).select("qid", "part", "x.*")
+    merged = local.groupBy("qid").agg(best.alias("x")).select("qid", F.posexplode("x").alias("rank", "x"))
+    named = [F.col(f"x.{v}").alias(c) for v, c in zip(values, payload)]
+    return merged.select("qid", "x.did", "x.dist", (F.col("rank") + 1).alias("rank"), *named)
 
 
 # ---------------------------------------------------------------------------
@@ -146,16 +184,16 @@ def knn_impute(
     coords = [target, *[c for c in predictors if c != target]]
     pool = (donors if donors is not None else df).where(F.col(target).isNotNull())
     receivers = df.where(F.col(target).isNull())
-    nn = knn_join(receivers, pool, id_col, id_col, coords, k, block_rows=block_rows)
-    vals = pool.select(F.col(id_col).cast("long").alias("did"), F.col(target).cast("double").alias("_y"))
-    fill = nn.join(vals, "did").groupBy("qid").agg(F.avg("_y").alias("_fill"))
+    pool = pool.withColumn("_y", F.col(target))
+    nn = knn_join(receivers, pool, id_col, id_col, coords, k, block_rows=block_rows, payload=["_y"])
+    fill = nn.groupBy("qid").agg(F.avg("_y").alias("_fill"))
     mean = pool.agg(F.avg(target)).first()[0]
     # Only the receivers meet the fill table; rows that have the target pass
     # through without a shuffle.
-    rec = receivers.join(fill, receivers[id_col].cast("long") == fill["qid"], "left")
-    filled = F.coalesce(F.col("_fill"), F.lit(mean)).cast(df.schema[target].dataType)
-    rec = rec.withColumn(target, filled).select(*df.columns)
-    return df.where(F.col(target).isNotNull()).unionByName(rec)
+    rec = receivers.join(fill, receivers[id_col] == fill["qid"], "left")
+    # a mean is a double: an integer target is widened, not cut
+    rec = rec.withColumn(target, F.coalesce(F.col("_fill"), F.lit(mean))).select(*df.columns)
+    return df.where(F.col(target).isNotNull()).withColumn(target, F.col(target).cast("double")).unionByName(rec)
 
 
 # ---------------------------------------------------------------------------
@@ -178,9 +216,8 @@ def knn_predict(
     ``probability`` = weighted share of positive neighbours (``distance``
     weights 1/d; neighbours at distance 0, when present, take all the weight);
     ``prediction`` = 1 when the probability exceeds 0.5 (a tie votes 0)."""
-    nn = knn_join(test, train, id_col, id_col, features, k, block_rows=block_rows)
-    y = train.select(F.col(id_col).cast("long").alias("did"), F.col(label).cast("double").alias("_y"))
-    j = nn.join(y, "did")
+    donors = train.withColumn("_y", F.col(label).cast("double"))
+    j = knn_join(test, donors, id_col, id_col, features, k, block_rows=block_rows, payload=["_y"])
     if weights == "distance":
         zero = F.max((F.col("dist") == 0).cast("int")).over(Window.partitionBy("qid"))
         w = F.when(zero == 1, (F.col("dist") == 0).cast("double")).otherwise(1.0 / F.col("dist"))
@@ -207,13 +244,17 @@ def smote(
     seed: int = 42,
     minority=None,
     block_rows: int = BLOCK_ROWS,
+    trace: bool = False,
 ) -> DataFrame:
     """I4: oversample the minority class to parity with synthetic rows
     ``x + u (nn - x)`` where ``nn`` is one of the ``k`` nearest minority
     neighbours of a minority row ``x`` and ``u`` in [0, 1) (Chawla et al.,
     2002). Base row, neighbour and gap come from hashes of the synthetic
-    row number and the seed. Returns the training rows plus the synthetic
-    ones (``is_synthetic``; synthetic ids are negative)."""
+    row number and the seed; bases are the minority rows that have a neighbour at a defined
+    distance. Returns the training rows plus the synthetic
+    ones (``is_synthetic``; synthetic ids are negative). Features come back as doubles, as the
+    points between two rows of an integer feature are no integers. ``trace`` adds ``base_id``,
+    ``neighbour_id`` and ``gap`` of the synthetic rows."""
     from riskline.operators.sampling import class_counts, rank_within
 
     counts = class_counts(train, label)
@@ -222,36 +263,38 @@ def smote(
     majority_n = max(v for c, v in counts.items() if c != minority)
     n_min = counts[minority]
     n_new = majority_n - n_min
-    base = train.withColumn("is_synthetic", F.lit(False))
+    ids = train.schema[id_col].dataType
+    wide = [F.col(c).cast("double").alias(c) for c in features]
+    traced = {"base_id": F.lit(None).cast(ids), "neighbour_id": F.lit(None).cast(ids), "gap": F.lit(None).cast("double")} if trace else {}
+    base = train.select(id_col, *wide, label, F.lit(False).alias("is_synthetic")).withColumns(traced)
     if n_new <= 0 or n_min < 2:
         return base
     mins = train.where(F.col(label) == minority)
-    nn = knn_join(mins, mins, id_col, id_col, features, k, exclude_self=True, block_rows=block_rows, counts=(n_min, n_min))
-    kk = min(k, n_min - 1)
-    # Index minority rows 0..n_min-1 in hash order (distributed ranking).
-    idx = rank_within(mins, [label], F.xxhash64(F.col(id_col), F.lit(seed)), [id_col], n_rows=n_min).select(
-        (F.col("_rank") - 1).alias("_idx"), F.col(id_col).cast("long").alias("_base")
-    )
+    points = [f"_n_{c}" for c in features]
+    donors = mins.withColumns({n: F.col(c).cast("double") for n, c in zip(points, features)})
+    nn = knn_join(mins, donors, id_col, id_col, features, k, exclude_self=True, block_rows=block_rows, counts=(n_min, n_min), payload=points)
+    near = nn.groupBy("qid").agg(F.sort_array(F.collect_list(F.struct("rank", "did", *points))).alias("_nn"))
+    own = mins.select(F.col(id_col).alias("qid"), *[F.col(c).cast("double").alias(f"_b_{c}") for c in features])
+    ensure_checkpoint_dir(train.sparkSession)  # the lineage is cut: counted, ranked and joined below
+    with_nn = own.join(near, "qid").checkpoint(eager=True)
+    n_base = with_nn.count()
+    if n_base == 0:
+        raise ValueError("no minority row has a neighbour at a defined distance")
+    # Index the base rows 0..n_base-1 in hash order (distributed ranking).
+    ranked = rank_within(with_nn.withColumn("_all", F.lit(1)), ["_all"], F.xxhash64("qid", F.lit(seed)), ["qid"], n_rows=n_base)
+    ranked = ranked.withColumn("_idx", F.col("_rank") - 1)
     s = train.sparkSession.range(n_new).withColumnRenamed("id", "_s")
-    h1 = F.xxhash64(F.col("_s"), F.lit(seed), F.lit(1))
-    h2 = F.xxhash64(F.col("_s"), F.lit(seed), F.lit(2))
-    h3 = F.xxhash64(F.col("_s"), F.lit(seed), F.lit(3))
-    s = s.select(
-        "_s",
-        F.pmod(h1, F.lit(n_min)).alias("_idx"),
-        (F.pmod(h2, F.lit(kk)) + 1).cast("int").alias("rank"),
-        (F.pmod(h3, F.lit(1 << 30)) / float(1 << 30)).alias("_u"),
-    )
-    s = s.join(idx, "_idx").join(nn.select(F.col("qid").alias("_base"), "rank", "did"), ["_base", "rank"])
-    xb = mins.select(F.col(id_col).cast("long").alias("_base"), *[F.col(c).cast("double").alias(f"_b_{c}") for c in features])
-    xn = mins.select(F.col(id_col).cast("long").alias("did"), *[F.col(c).cast("double").alias(f"_n_{c}") for c in features])
-    syn = s.join(xb, "_base").join(xn, "did")
-    cols = {c: F.col(f"_b_{c}") + F.col("_u") * (F.col(f"_n_{c}") - F.col(f"_b_{c}")) for c in features}
+    h1, h2, h3 = (F.xxhash64(F.col("_s"), F.lit(seed), F.lit(i)) for i in (1, 2, 3))
+    s = s.select("_s", F.pmod(h1, F.lit(n_base)).alias("_idx"), h2.alias("_h2"), (F.pmod(h3, F.lit(1 << 30)) / float(1 << 30)).alias("_u"))
+    syn = s.join(ranked, "_idx").withColumn("_x", F.element_at("_nn", (F.pmod("_h2", F.size("_nn")) + 1).cast("int")))
+    point = {c: F.col(f"_b_{c}") + F.col("_u") * (F.col(f"_x._n_{c}") - F.col(f"_b_{c}")) for c in features}
+    # an id of the rows' own type: negative numbers, or text
+    new_id = -(F.col("_s") + 1) if isinstance(ids, T.NumericType) else F.concat(F.lit("synthetic-"), F.col("_s").cast("string"))
     syn = syn.select(
-        (-(F.col("_s") + 1)).cast(train.schema[id_col].dataType).alias(id_col),
-        *[cols[c].cast(train.schema[c].dataType).alias(c) for c in features],
+        new_id.cast(ids).alias(id_col),
+        *[point[c].alias(c) for c in features],
         F.lit(minority).cast(train.schema[label].dataType).alias(label),
         F.lit(True).alias("is_synthetic"),
+        *([F.col("qid").alias("base_id"), F.col("_x.did").alias("neighbour_id"), F.col("_u").alias("gap")] if trace else []),
     )
-    keep = [id_col, *features, label, "is_synthetic"]
-    return base.select(*keep).unionByName(syn)
+    return base.unionByName(syn)

@@ -169,6 +169,50 @@ def test_knn_join_matches_brute_force_across_blocks(spark):
         assert [m[0] for m in mine] == pytest.approx([e[0] for e in lst])
 
 
+def test_smote_rows_lie_between_their_base_and_neighbour(spark):
+    # integer features, string ids, one minority row without any value
+    rows = [(f"r{i}", i % 7, (i * i) % 11, 1.5 * i, 1 if i % 5 == 0 else 0) for i in range(100)] + [("none", None, None, None, 1)]
+    df = spark.createDataFrame(rows, "id string, a int, b int, c double, label int")
+    out = N.smote(df, "id", ["a", "b", "c"], "label", k=3, seed=4, trace=True)
+    counts = {r["label"]: r["count"] for r in out.groupBy("label").count().collect()}
+    assert counts[0] == counts[1] == 80
+    at = {r[0]: r[1:4] for r in rows}
+    made = out.where("is_synthetic").collect()
+    assert len(made) == 59
+    for r in made:
+        x, y = at[r.base_id], at[r.neighbour_id]
+        assert r.base_id != r.neighbour_id and 0 <= r.gap < 1
+        assert [r.a, r.b, r.c] == pytest.approx([p + r.gap * (q - p) for p, q in zip(x, y)])
+        near = sorted((sum((p - q) ** 2 for p, q in zip(x, v)), i) for i, v in at.items() if i != r.base_id and i != "none" and dict((z[0], z[4]) for z in rows)[i] == 1)
+        assert r.neighbour_id in [i for _, i in near[:3]]
+    with pytest.raises(ValueError):
+        N.smote(df.where("label = 0 or id = 'none'").unionByName(df.where("id = 'none'")), "id", ["a"], "label")
+
+
+def test_neighbours_in_many_blocks_and_levels(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(N, "MERGE_BLOCKS", 2)
+    r = random.Random(1)
+    pts = [(f"p{i:03d}", float(r.randint(0, 9)), float(r.randint(0, 9))) for i in range(90)]
+    df = spark.createDataFrame(pts, "id string, x double, y double")
+    got = N.knn_join(df, df, "id", "id", ["x", "y"], 4, exclude_self=True, block_rows=13, payload=["x"]).collect()
+    want = {}
+    for i, x, y in pts:
+        near = sorted(((x - u) ** 2 + (y - v) ** 2, j) for j, u, v in pts if j != i)[:4]
+        want.update({(i, n + 1): j for n, (_, j) in enumerate(near)})
+    assert {(g.qid, g["rank"]): g.did for g in got} == want
+    assert all(g.x == dict((i, x) for i, x, _ in pts)[g.did] for g in got)
+
+
+def test_median_between_integers_widens_the_column(spark):
+    from riskline.operators import missing
+
+    df = spark.createDataFrame([(i, None if i == 24 else i + 1) for i in range(25)], "id int, a int")
+    out = missing.simple_imputation(df, ["a"], [])
+    assert dict(out.dtypes)["a"] == "double" and out.where("id = 24").first()["a"] == 12.5
+
+
 def test_smote_parity_and_segments(spark):
     rng = random.Random(8)
     rows = [(i, rng.random(), rng.random(), 1 if i % 6 == 0 else 0) for i in range(240)]
