@@ -22,14 +22,10 @@ STAR_ELSE = "ns"
 # Cramer's V effect category: < 0.1 negligible, < 0.3 small, < 0.5 moderate, else large.
 CRAMER_CUTS = [(0.1, "negligible"), (0.3, "small"), (0.5, "moderate")]
 CRAMER_ELSE = "large"
-# Usefulness label of the importance ranking.
-USEFULNESS_LABELS = {
-    "high": "Strong Significance",
-    "moderate": "Moderate Significance",
-    "low": "Small Significance",
-    "insignificant": "Insignificant",
-    "non_sig": "Non-Significant",
-}
+# Importance label: p >= .05 Non-Significant; else by effect: < .1 Insignificant, < .2 Small, < .5 Moderate, else Strong Significance.
+NOT_SIGNIFICANT = "Non-Significant"
+IMPORTANCE_CUTS = [(0.1, "Insignificant"), (0.2, "Small Significance"), (0.5, "Moderate Significance")]
+IMPORTANCE_ELSE = "Strong Significance"
 # Correlation strength bands on |r|: < .2 Very Weak, < .4 Weak, < .6 Moderate, < .8 Strong, else Very Strong.
 CORR_STRENGTH_CUTS = [(0.2, "Very Weak"), (0.4, "Weak"), (0.6, "Moderate"), (0.8, "Strong")]
 CORR_STRENGTH_ELSE = "Very Strong"
@@ -71,14 +67,7 @@ def corr_strength(r: str | Column) -> Column:
 def usefulness_label(p: str | Column, effect: str | Column) -> Column:
     """P >= .05 Non-Significant; else effect < .1 / .2 / .5 bands."""
     p, e = _col(p), _col(effect)
-    L = USEFULNESS_LABELS
-    return (
-        F.when(p >= 0.05, L["non_sig"])
-        .when(e < 0.1, L["insignificant"])
-        .when(e < 0.2, L["low"])
-        .when(e < 0.5, L["moderate"])
-        .otherwise(L["high"])
-    )
+    return F.when(p >= 0.05, NOT_SIGNIFICANT).otherwise(threshold_label(e, IMPORTANCE_CUTS, IMPORTANCE_ELSE))
 
 
 def useful_flag(p: str | Column, v: str | Column) -> Column:

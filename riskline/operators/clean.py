@@ -35,7 +35,7 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
     """Fail fast listing every missing column."""
     missing = [c for c in columns if c not in df.columns]
     if missing:
-        raise ValueError(f"Missing columns in dataframe: {missing}")
+        raise ValueError(f"the table lacks {missing}")
 
 
 def rename_columns(df: DataFrame, mapping: Mapping[str, str] = REFERENCE_RENAMES) -> DataFrame:
@@ -84,7 +84,7 @@ def standardize_target(df: DataFrame, canonical: str = "label", aliases: Sequenc
         if a in df.columns and canonical not in df.columns:
             df = df.withColumnRenamed(a, canonical)
     if canonical not in df.columns:
-        raise ValueError(f"Target column '{canonical}' not found in dataset")
+        raise ValueError(f"no column is named {canonical!r} or one of {list(aliases)}")
     return df
 
 

@@ -183,12 +183,13 @@ def describe(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str])
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``variable, value, count, percentage`` (percentage of all rows), NULL excluded."""
+    """``variable, value, count, percentage`` (percentage of all rows), NULL excluded, the most frequent first."""
     long = to_long(df, columns, value_type="string")
     counts = long.groupBy("variable", "value").agg(F.count(F.lit(1)).cast("bigint").alias("count"))
     # Percent of all rows (NULLs included): one row count, applied as a literal.
     n = df.count()
-    return counts.select("variable", "value", "count", (F.col("count") / F.lit(float(n)) * 100).alias("percentage"))
+    out = counts.select("variable", "value", "count", (F.col("count") / F.lit(float(n)) * 100).alias("percentage"))
+    return out.orderBy("variable", F.desc("count"), "value")
 
 
 def class_balance(df: DataFrame, target: str, by: Sequence[str] = ()) -> DataFrame:

@@ -188,7 +188,7 @@ def top_runs(results: DataFrame, metric: str = "test_roc_auc", n: int = 10, tie:
 
 def best_run(results: DataFrame, order: Sequence[str] = LEADERBOARD_ORDER, tie: Sequence[str] = ("run_key",)) -> DataFrame:
     """E5: the first row of the leaderboard."""
-    return leaderboard(results, order, tie).where(F.col("rank") == 1).drop("rank")
+    return results.orderBy(*[F.desc(c) for c in order], *tie).limit(1)
 
 
 def metric_summary(results: DataFrame, by: str, metrics: Sequence[str]) -> DataFrame:

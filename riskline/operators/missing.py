@@ -20,7 +20,7 @@ from riskline.operators.quantiles import medians
 
 
 def missing_value_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row per column: ``column, missing_values, percentage`` (of all rows).
+    """One row per column: ``column, missing_values, percentage`` (of all rows), the most missing first, ties by name.
 
     One scan: ``count(*)`` and a null count per column in a single ``agg``;
     the transposition runs on the one-row result.
@@ -37,7 +37,7 @@ def missing_value_summary(df: DataFrame, columns: Sequence[str] | None = None) -
         F.col("variable").alias("column"),
         F.col("missing").cast("bigint").alias("missing_values"),
         F.when(F.col("n") > 0, F.col("missing") / F.col("n") * 100).otherwise(F.lit(0.0)).alias("percentage"),
-    )
+    ).orderBy(F.desc("missing_values"), "column")
 
 
 def missing_by_version(frames: Mapping[str, DataFrame], columns: Sequence[str]) -> DataFrame:

@@ -45,7 +45,7 @@ SEARCH_SPACES = {
     "knn": {"search_type": "grid", "params": {"n_neighbors": [3, 5, 7], "weights": ["uniform", "distance"], "p": [2]}},
     "decision_tree": {
         "search_type": "grid",
-        "params": {"max_depth": [None, 10], "min_samples_split": [2, 5], "min_samples_leaf": [1], "criterion": ["gini", "entropy"]},
+        "params": {"max_depth": [None, 10], "min_samples_leaf": [1], "criterion": ["gini", "entropy"]},
     },
     "random_forest": {
         "search_type": "random",
@@ -53,7 +53,6 @@ SEARCH_SPACES = {
         "params": {
             "n_estimators": [200, 300],
             "max_depth": [None, 10],
-            "min_samples_split": [2, 5],
             "min_samples_leaf": [1, 2],
             "max_features": ["sqrt"],
         },
@@ -125,7 +124,7 @@ def build_estimator(model_name: str, params: Mapping, total_weight: float, weigh
 
     ``C`` maps to ``regParam = 1 / (C * total_weight)`` (the penalised
     objectives agree up to a constant factor); depth None maps to the MLlib
-    maximum; ``min_samples_split`` has no MLlib counterpart and is ignored."""
+    maximum. Splits have no minimum size of their own in MLlib, so none is searched."""
     common = {"featuresCol": FEATURES, "labelCol": label}
     if weight_col:
         common["weightCol"] = weight_col
@@ -149,7 +148,7 @@ def build_estimator(model_name: str, params: Mapping, total_weight: float, weigh
         )
     if model_name == "random_forest":
         return RandomForestClassifier(
-            numTrees=int(params.get("n_estimators", 100)),
+            numTrees=int(params.get("n_estimators", 300)),
             maxDepth=depth(params.get("max_depth")),
             minInstancesPerNode=int(params.get("min_samples_leaf", 1)),
             featureSubsetStrategy=params.get("max_features", "sqrt"),
@@ -360,7 +359,8 @@ def tune_model(
             vals = [aucs.get((gi, f)) for f in range(n_splits)]
             vals = [float("nan") if v is None else v for v in vals]
             scores.append((dict(params), sum(vals) / len(vals)))
-        best_i = max(range(len(scores)), key=lambda i: (scores[i][1], -i))
+        # a candidate without a score (a fold of one class) is ranked last
+        best_i = max(range(len(scores)), key=lambda i: (scores[i][1] == scores[i][1], scores[i][1], -i))
         best = scores[best_i]
         model = fit_model(model_name, best[0], train, features, label, id_col, imbalance, seed)
         return TuningResult(best[0], best[1], scores, model)

@@ -64,7 +64,7 @@ def _count_summary(df: DataFrame, conds: dict[str, Column]) -> DataFrame:
         F.col("variable").alias("column"),
         F.col("count").cast("bigint").alias("count"),
         F.when(F.col("n") > 0, F.col("count") / F.col("n") * 100).otherwise(F.lit(0.0)).alias("percentage"),
-    )
+    ).orderBy(F.desc("count"), "column")  # a report of one row per column
 
 
 def iqr_outlier_summary(df: DataFrame, columns: Sequence[str], bounds: dict[str, IqrBounds] | None = None) -> DataFrame:

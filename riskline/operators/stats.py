@@ -85,7 +85,7 @@ def target_correlation(df: DataFrame, columns: Sequence[str], target: str, compl
     if absolute:
         self_row = base.agg(F.lit(target).alias("variable"), pearson(F.col(target), F.col(target)).alias("correlation"))
         out = out.unionByName(self_row).withColumn("correlation", F.abs("correlation"))
-    return out
+    return out.orderBy(F.desc_nulls_last("correlation"), "variable")
 
 
 # ---------------------------------------------------------------------------

@@ -15,7 +15,7 @@ import itertools
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,13 +62,14 @@ def cohort_model_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_versions(
-    df: DataFrame, features: Sequence[str], label: str, id_col: str, versions: Sequence[str] = DATASET_VERSIONS, seed: int = 42
+    df: DataFrame, features: Sequence[str], label: str, id_col: str, versions: Sequence[str] = DATASET_VERSIONS, seed: int = 42,
+    order_key: Column | None = None,
 ) -> dict[str, tuple[DataFrame, DataFrame]]:
     """One stratified split, then each version's scaler fitted on its train part."""
     # Reliable checkpoint in the shared folder: cuts the imputation / k-NN lineage
     # once, so the many fits and scores below never recompute it.
     ensure_checkpoint_dir(df.sparkSession)
-    s = SP.stratified_split(df, label, [id_col], 0.2, seed).checkpoint(eager=True)
+    s = SP.stratified_split(df, label, [id_col], 0.2, seed, order_key).checkpoint(eager=True)
     train, test = s.where(F.col("split") == "train").drop("split"), s.where(F.col("split") == "test").drop("split")
     out = {}
     for v in versions:
@@ -80,7 +81,7 @@ def split_versions(
     return out
 
 
-def dataset_shapes(frames: Mapping[str, tuple[DataFrame, DataFrame]], label: str, n_features: int) -> DataFrame:
+def dataset_shapes(frames: Mapping[str, tuple[DataFrame, DataFrame]], label: str, features: Sequence[str]) -> DataFrame:
     """``dataset_version, split, n_rows, n_features, positives, positive_rate`` in one union plan."""
     parts = []
     for v, (tr, te) in frames.items():
@@ -90,7 +91,7 @@ def dataset_shapes(frames: Mapping[str, tuple[DataFrame, DataFrame]], label: str
                     F.count(F.lit(1)).cast("bigint").alias("n_rows"),
                     F.sum(label).cast("bigint").alias("positives"),
                     F.avg(F.col(label).cast("double")).alias("positive_rate"),
-                ).select(F.lit(v).alias("dataset_version"), F.lit(name).alias("split"), "n_rows", F.lit(n_features).alias("n_features"), "positives", "positive_rate")
+                ).select(F.lit(v).alias("dataset_version"), F.lit(name).alias("split"), "n_rows", F.lit(len([c for c in features if c in f.columns])).alias("n_features"), "positives", "positive_rate")
             )
     out = parts[0]
     for p in parts[1:]:

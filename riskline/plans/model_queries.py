@@ -17,6 +17,7 @@ from riskline.operators import metrics as M
 from riskline.operators import missing as MS
 from riskline.operators import models as MD
 from riskline.operators import sampling as SP
+from riskline.operators.quantiles import medians
 from riskline.plans import experiment as X
 from riskline.plans.describe_queries import _extra
 from riskline.plans.registry import query
@@ -127,7 +128,7 @@ def k16_tree_importance(spark, sf_dir):
 def k17_feature_selection(spark, sf_dir):
     """|r| with the target, RFE rank and forest importance per feature, joined."""
     df = X.cohort_model_input(spark, sf_dir)
-    corr, rf, imp = MD.feature_selection(df, FEAT, "label", n_select=2, n_trees=100)
+    corr, rf, imp = MD.feature_selection(df, FEAT, "label", n_select=2, n_trees=300)
     return rf.join(imp, "feature", "left").join(corr.withColumnRenamed("variable", "feature"), "feature", "left")
 
 
@@ -142,9 +143,8 @@ def j3_preprocessor(spark, sf_dir):
     from pyspark.ml.functions import vector_to_array
 
     arr = out.select(vector_to_array("features").alias("v"))
-    return arr.select(*[F.col("v")[i].alias(c) for i, c in enumerate(FEAT)]).agg(
-        *[F.median(c).alias(f"{c}_median") for c in FEAT]
-    )
+    middle = medians(arr.select(*[F.col("v")[i].alias(c) for i, c in enumerate(FEAT)]), FEAT)
+    return spark.createDataFrame([tuple(middle[c] for c in FEAT)], ", ".join(f"{c}_median double" for c in FEAT))
 
 
 # --- experiment matrix -------------------------------------------------------------
@@ -193,6 +193,14 @@ def a4_model_roundtrip(spark, sf_dir):
     return a.join(b, "id").agg(F.count(F.lit(1)).cast("bigint").alias("n"), F.max(F.abs(F.col("a") - F.col("b"))).alias("max_abs_diff"))
 
 
+_RAW = ["acctbal", "n_orders", "avg_total", "max_total"]
+
+
+def _raw_versions(spark, sf_dir):
+    """The three dataset versions of the raw cohort, each scaler fitted on the train part."""
+    return X.split_versions(FX.cohort(spark, sf_dir), _RAW, "label", "id", order_key=(F.col("id") * 7919) % 1000003)
+
+
 _COHORT_SPLIT = split_cte("cohort", "(id * 7919) % 1000003", "id")
 
 
@@ -207,13 +215,7 @@ _COHORT_SPLIT = split_cte("cohort", "(id * 7919) % 1000003", "id")
 )
 def a6_dataset_shapes(spark, sf_dir):
     """Rows, features and label rate per dataset version and split."""
-    df = FX.cohort(spark, sf_dir)
-    s = SP.stratified_split(df, "label", ["id"], 0.2, order_key=(F.col("id") * 7919) % 1000003)
-    tr, te = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
-    frames = {}
-    for v in ("unscaled", "standard_scaled", "robust_scaled"):
-        frames[v] = (tr, te)
-    return X.dataset_shapes(frames, "label", 4)
+    return X.dataset_shapes(_raw_versions(spark, sf_dir), "label", _RAW)
 
 
 @query(
@@ -221,15 +223,14 @@ def a6_dataset_shapes(spark, sf_dir):
     _extra(
         _COHORT_SPLIT,
         " UNION ALL ".join(
-            f"SELECT split AS dataset_version, '{c}' AS column, CAST(count_if({c} IS NULL) AS BIGINT) AS missing_values, "
-            f"round(count_if({c} IS NULL) / count(*) * 100, 6) AS percentage FROM s GROUP BY split"
-            for c in ["acctbal", "n_orders", "avg_total", "max_total"]
+            f"SELECT v.dataset_version || '_' || split AS dataset_version, '{c}' AS column, CAST(count_if({c} IS NULL) AS BIGINT) AS missing_values, "
+            f"round(count_if({c} IS NULL) / count(*) * 100, 6) AS percentage FROM s, "
+            "(VALUES ('unscaled'), ('standard_scaled'), ('robust_scaled')) v(dataset_version) GROUP BY v.dataset_version, split"
+            for c in _RAW
         ),
     ),
 )
 def c2_missing_by_version(spark, sf_dir):
-    """Missing summary per split of the raw cohort (before imputation)."""
-    df = FX.cohort(spark, sf_dir)
-    s = SP.stratified_split(df, "label", ["id"], 0.2, order_key=(F.col("id") * 7919) % 1000003)
-    frames = {k: s.where(F.col("split") == k) for k in ("train", "test")}
-    return MS.missing_by_version(frames, ["acctbal", "n_orders", "avg_total", "max_total"])
+    """Missing summary per dataset version and split of the raw cohort (before imputation; scaling keeps the NULLs)."""
+    frames = {f"{v}_{part}": df for v, pair in _raw_versions(spark, sf_dir).items() for part, df in zip(("train", "test"), pair)}
+    return MS.missing_by_version(frames, _RAW)

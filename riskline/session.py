@@ -43,8 +43,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only when it is unset (tests, local runs) a fresh scratch folder is
-    created.
+    is. Only when it is unset and the master is local (tests, local runs) a fresh scratch
+    folder is created; on a cluster that is an error, as a machine's own folder is not shared.
     """
     try:
         sc = spark.sparkContext
@@ -57,6 +57,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="riskline-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     if sc is not None:
