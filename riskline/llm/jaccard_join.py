@@ -375,15 +375,22 @@ def linked_classes(docs: DataFrame, classes: DataFrame, k: int, similar: int) ->
     edges = counted.filter(enough).select("a", "b")
     root = components(edges)
 
-    # between components, around a common centre
+    # between components, around a common centre: only members outside the centre's component can have such
+    # a link, and of those the ones that the bound leaves against the best that the list offers
     x = counted.select("a", "b", F.col("n_b").alias("n"), F.col("s_b").alias("s"), F.col("overlap").alias("o"))
-    x = x.join(root.select(F.col("node").alias("b"), "root"), "b", "left").withColumn("root", F.coalesce("root", "b"))
-    mixed = x.groupBy("a").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("a")
-    x = x.join(mixed, "a", "left_semi")
+    named = root.select("node", "root")
+    x = x.join(named.withColumnRenamed("node", "b"), "b", "left").withColumn("root", F.coalesce("root", "b"))
+    x = cut(x.select("a", "b", "n", "s", "o", "root"))
+    centres = named.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
+    best = x.groupBy("a").agg(F.max(F.col("s") - F.col("o")).alias("most_own"), F.min("n").alias("least_n")).join(centres, "a", "left")
+    outside = x.join(best, "a").filter(F.col("root") != F.coalesce("root_a", "a"))
+    hope = F.col("o") + F.least(F.col("s") - F.col("o"), "most_own")
+    outside = outside.filter((100 + similar) * hope >= similar * (F.col("n") + F.col("least_n"))).select(x.columns)
     y = x.select("a", *(F.col(c).alias(f"{c}2") for c in ("b", "n", "s", "o", "root")))
     most = F.least("o", "o2") + F.least(F.col("s") - F.col("o"), F.col("s2") - F.col("o2"))
     may = (100 + similar) * F.least(most, "s", "s2") >= similar * (F.col("n") + F.col("n2"))
-    near = x.join(y, (x.a == y.a) & (F.col("b") < F.col("b2")) & (F.col("root") != F.col("root2")) & may).select(F.col("b").alias("a"), F.col("b2").alias("b"))
+    near = outside.join(y, "a").filter((F.col("root") != F.col("root2")) & may)
+    near = near.select(F.least("b", "b2").alias("a"), F.greatest("b", "b2").alias("b"))
     near = cut(near.distinct())
     more = links(near).filter(enough).select("a", "b")
     more = cut(more)
