@@ -14,7 +14,7 @@ and ids each give their row. Tags that are cut off or never closed are taken as
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import Counter, deque
 from html import unescape
 
 import pyarrow as pa
@@ -88,6 +88,7 @@ def marks(attributes: str) -> bool:
 def blocks_of(html: str) -> tuple[list[Block], bool]:
     """The text blocks of a page in order, and whether it has an article or main element."""
     stack: list[tuple[str, bool, bool, int, bool]] = [("", False, False, 0, False)]  # tag, marked, in article, number, in a link
+    opened: Counter[str] = Counter()  # open elements by name: an end tag without any is passed over at once
     out: list[Block] = []
     run: list[str] = []
     linked, number, has_article, at, end = 0, 0, False, 0, len(html)
@@ -105,14 +106,19 @@ def blocks_of(html: str) -> tuple[list[Block], bool]:
         if run:
             text = " ".join("".join(run).split())
             if text:
-                holder = next((x for x in reversed(stack) if x[0] in BLOCK or not x[0]), stack[0])
-                tag, marked, article, own, _ = holder
-                place = stack.index(holder)
+                place = len(stack) - 1
+                while place and stack[place][0] not in BLOCK:
+                    place -= 1
+                tag, marked, article, own, _ = stack[place]
                 parent = stack[place - 1][3] if place else own
                 out.append(Block(text, linked, marked or stack[-1][1], article, parent, tag))
             run.clear()
         linked = 0
 
+    def leave(i: int) -> None:
+        opened.subtract(x[0] for x in stack[i:])
+        del stack[i:]
+
     while at < end:
         open_at = html.find("<", at)
         if open_at < 0:
@@ -132,14 +138,12 @@ def blocks_of(html: str) -> tuple[list[Block], bool]:
         if m[1]:  # an end tag
             if tag in BLOCK:
                 close()
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if opened[tag] else ():
                 if stack[i][0] == tag:
-                    del stack[i:]
+                    leave(i)
                     break
                 if stack[i][0] in BLOCK and tag not in BLOCK:
                     break
-            if tag == "p":
-                close()
             continue
         if tag in RAW:
             stop = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(html, at) if not m[3].rstrip().endswith("/") else None
@@ -151,10 +155,10 @@ def blocks_of(html: str) -> tuple[list[Block], bool]:
             continue
         if tag in BLOCK:
             close()
-            if any(x[0] == "p" for x in stack):
+            if opened["p"]:
                 for i in range(len(stack) - 1, 0, -1):
                     if stack[i][0] == "p":
-                        del stack[i:]
+                        leave(i)
                         break
                     if stack[i][0] in BLOCK:
                         break
@@ -162,7 +166,7 @@ def blocks_of(html: str) -> tuple[list[Block], bool]:
                 ended, limit = ENDS[tag]
                 for i in range(len(stack) - 1, 0, -1):
                     if stack[i][0] in ended:
-                        del stack[i:]
+                        leave(i)
                         break
                     if stack[i][0] in limit:
                         break
@@ -175,6 +179,7 @@ def blocks_of(html: str) -> tuple[list[Block], bool]:
         marked = top[1] or tag in LANDMARK or (tag not in ROOTS and bool(m[3]) and m[3] != "/" and marks(m[3]))
         if not m[3].endswith("/"):
             stack.append((tag, marked, top[2] or article, number, top[4] or tag == "a"))
+            opened[tag] += 1
     close()
     return out, has_article
 
