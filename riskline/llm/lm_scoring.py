@@ -6,17 +6,14 @@ expectation-maximisation on held-out counts: each training token in turn is dele
 that predict it (every count less 1), over one chunk in
 ``DELETED_EVERY`` of each partition, the first one included.
 
-How it runs: a task cuts its texts into chunks of about ``CHUNK_BYTES``. A chunk asks for the
+How it runs: texts are cut into chunks of about ``CHUNK_BYTES``, written once (zstandard-compressed) to the shared
+checkpoint folder, so that a chunk stays the same whatever becomes of executors or partitions. A chunk asks for the
 counts of its distinct words and pairs (64-bit hashes, 48 bits for pairs) and brings its own
 training counts; the requests are shuffled by hash range, summed, and answered in the order asked.
 Then a chunk's texts and answers meet by chunk number, and each text is scored. A frequent word is
 one request per chunk, so no key is hot; nothing is collected but N, V and the cells of a
 fixed grid for the weights (``GRID`` steps per power of two of both probabilities).
 
-Requests and texts are made by two reads of the input, which must give the same rows in the same
-partitions, as files do; any other input is written to the shared checkpoint folder first
-(``stable=False``). A chunk whose answers don't match its requests raises an error.
-
 Null texts are empty: their only token is the end. Null ids count as the text '' for the training split.
 Repeated rows and ids each give a row and count each time. An empty table gives no rows.
 """
@@ -28,6 +25,7 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -76,28 +74,51 @@ def _split(h: np.ndarray, bits: int, buckets: int) -> np.ndarray:
     return ((h >> _U(bits - 32)) * _U(buckets) >> _U(32)).astype(np.int64)
 
 
-def _chunked(batches, ordinal_base: int):
-    """Chunks of a task's rows: (number, ids, held out, bytes, offsets)."""
-    at = 0
-    for batch in batches:
-        data, offsets = text_buffers(batch.column(2))
-        for a, b in chunks(offsets, CHUNK_BYTES):
-            part, o = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-            yield ordinal_base + at, batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), part, o
-            at += 1
-
+CHUNK = "chunk long, data binary, offsets binary, held binary, ids array<string>"
 
-def _number() -> int:
-    return TaskContext.get().partitionId() << 32
 
+def chunk_texts(docs: DataFrame) -> DataFrame:
+    """One row per chunk: its number, texts end to end, their offsets, split flags and ids."""
 
-def requests(docs: DataFrame, buckets: tuple[int, int]) -> DataFrame:
+    def run(batches):
+        number, pack = TaskContext.get().partitionId() << 32, zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            data, offsets = text_buffers(batch.column(2))
+            held = batch.column(1).to_numpy(zero_copy_only=False).astype(np.uint8)
+            for a, b in chunks(offsets, CHUNK_BYTES):
+                row = {
+                    "chunk": pa.array([number], pa.int64()),
+                    "data": pa.array([pack.compress(data[offsets[a] : offsets[b]].tobytes())], pa.binary()),
+                    "offsets": pa.array([pack.compress((offsets[a : b + 1] - offsets[a]).tobytes())], pa.binary()),
+                    "held": pa.array([held[a:b].tobytes()], pa.binary()),
+                    "ids": pa.array([batch.column(0).slice(a, b - a).to_pylist()], pa.list_(pa.string())),
+                }
+                yield pa.RecordBatch.from_pydict(row)
+                number += 1
+
+    return docs.mapInArrow(run, CHUNK)
+
+
+def opened(data: bytes, offsets: bytes, held: bytes) -> tuple[Asked, np.ndarray]:
+    """A chunk's words and pairs, and which texts are held out."""
+    unpack = zstandard.ZstdDecompressor()
+    offsets = np.frombuffer(unpack.decompress(offsets), np.int64)
+    raw = unpack.decompress(data) if offsets[-1] else b""
+    return Asked(Words(np.frombuffer(raw, np.uint8), offsets)), np.frombuffer(held, np.uint8).astype(bool)
+
+
+def requests(texts: DataFrame, buckets: tuple[int, int]) -> DataFrame:
     """(bucket, chunk, asked, own): hashes and their training counts, by hash range; pairs follow after the words' buckets."""
 
+    def chunk_rows(batches):
+        for batch in batches:
+            for row in zip(*batch.columns, strict=True):
+                yield [x.as_py() for x in row]
+
     def run(batches):
-        for chunk, _, held, data, offsets in _chunked(batches, _number()):
-            a = Asked(Words(data, offsets))
-            train = ~held.to_numpy(zero_copy_only=False)[a.doc]
+        for chunk, *packed in chunk_rows(batches):
+            a, held = opened(*packed)
+            train = ~held[a.doc]
             out = {"bucket": [], "chunk": [], "asked": [], "own": []}
             for base, n, bits, distinct, which in ((0, buckets[0], 64, a.words, a.word), (buckets[0], buckets[1], 48, a.pairs, a.pair)):
                 own = np.bincount(which[train], minlength=len(distinct)).astype(np.int32)
@@ -114,7 +135,7 @@ def requests(docs: DataFrame, buckets: tuple[int, int]) -> DataFrame:
                 | {k: pa.array(out[k], pa.binary()) for k in ("asked", "own")}
             )
 
-    return docs.mapInArrow(run, "bucket int, chunk long, asked binary, own binary")
+    return texts.select("chunk", "data", "offsets", "held").mapInArrow(run, "bucket int, chunk long, asked binary, own binary")
 
 
 def answers(asked: DataFrame, word_buckets: int) -> DataFrame:
@@ -139,34 +160,12 @@ def answers(asked: DataFrame, word_buckets: int) -> DataFrame:
     return asked.groupBy("bucket").applyInPandas(run, "chunk long, bucket int, counts binary, n long, v long")
 
 
-def chunk_texts(docs: DataFrame, every: int = 1) -> DataFrame:
-    """One row per chunk (of every ``every``-th): its texts end to end, their offsets, ids and split."""
-
-    def run(batches):
-        for chunk, ids, held, data, offsets in _chunked(batches, _number()):
-            if chunk % every == 0:
-                flags = held.to_numpy(zero_copy_only=False).astype(np.uint8)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([chunk], pa.int64()),
-                        pa.array([data.tobytes()], pa.binary()),
-                        pa.array([offsets.tobytes()], pa.binary()),
-                        pa.array([flags.tobytes()], pa.binary()),
-                        pa.array([ids.to_pylist()], pa.list_(pa.string())),
-                    ],
-                    names=["chunk", "data", "offsets", "held", "ids"],
-                )
-
-    return docs.mapInArrow(run, "chunk long, data binary, offsets binary, held binary, ids array<string>")
-
-
 def _counts(row: pd.Series, replies: pd.DataFrame) -> tuple[Asked, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of each token of a chunk: c(w), c(v), c(v,w); and which tokens are held out."""
-    offsets = np.frombuffer(row["offsets"], np.int64)
-    a = Asked(Words(np.frombuffer(row["data"], np.uint8), offsets))
+    a, held = opened(row["data"], row["offsets"], row["held"])
     reply = np.frombuffer(b"".join(replies.sort_values("bucket")["counts"]), np.int64)
     if len(reply) != len(a.words) + len(a.pairs):
-        raise RuntimeError("the input gave other rows when it was read again; call with stable=False")
+        raise RuntimeError("answers do not match the chunk's requests")
     word = reply[: len(a.words)][a.word]
     pair = reply[len(a.words) :][a.pair]
     context = np.empty_like(word)
@@ -174,7 +173,7 @@ def _counts(row: pd.Series, replies: pd.DataFrame) -> tuple[Asked, np.ndarray, n
     starts = a.context == _START
     at_end = np.searchsorted(a.words, _END)
     context[starts] = reply[at_end] if len(a.words) else 0
-    return a, word, context, pair, np.frombuffer(row["held"], np.uint8).astype(bool)
+    return a, word, context, pair, held
 
 
 def frequency_bucket(c: np.ndarray) -> np.ndarray:
@@ -264,7 +263,6 @@ def score_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     fold: tuple[int, int] = (7, 2),
-    stable: bool = False,
     deleted_every: int = DELETED_EVERY,
 ) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``, one row per input row.
@@ -278,18 +276,16 @@ def score_documents(
         (F.crc32(key.cast("binary")) % fold[0] == fold[1]).alias("_held"),
         F.col(f"`{text_col}`").cast("string").alias("_text"),
     )
-    if not stable:
-        docs = cut(docs)
     spark = df.sparkSession
     size = docs.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0))).first()[0]
     buckets = (parts(spark, size / 16, BUCKET_ENTRIES), parts(spark, size / 7, BUCKET_ENTRIES))
-    replies = cut(answers(requests(docs, buckets), buckets[0]))
+    texts = cut(chunk_texts(docs))
+    replies = cut(answers(requests(texts, buckets), buckets[0]))
     total, v = replies.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
     replies = replies.filter("chunk >= 0").select("chunk", "bucket", "counts")
-    some = replies.filter(F.col("chunk") % deleted_every == 0)
-    cells = deleted_cells(chunk_texts(docs, deleted_every), some, total)
-    weights = learn_weights(cells, v)
-    out = scores(chunk_texts(docs), replies, total, v, weights)
+    deleted = F.col("chunk") % deleted_every == 0
+    weights = learn_weights(deleted_cells(texts.filter(deleted), replies.filter(deleted), total), v)
+    out = scores(texts, replies, total, v, weights)
     kind = df.schema[id_col].dataType
     return out.select(
         F.col("id").cast(kind).alias("doc_id"),

@@ -47,10 +47,10 @@ ORACLE["op2_quality_rules"] = quality_rules.ORACLE_SQL
 
 @query
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document scored by the interpolated bigram model of the training split (files read the same twice: stable)."""
+    """Every document scored by the interpolated bigram model of the training split."""
     from riskline.llm.lm_scoring import score_documents
 
-    return score_documents(table(spark, sf_dir, "documents"), stable=True)
+    return score_documents(table(spark, sf_dir, "documents"))
 
 
 @query
