@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from riskline.functions import exprs as X
-from riskline.operators.long import to_long, wide_agg_to_long
+from riskline.operators.long import join_small, to_long, wide_agg_to_long
 from riskline.operators.quantiles import exact_quantiles
 
 
@@ -346,7 +346,7 @@ def box_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) ->
     iqr = F.col("q3") - F.col("q1")
     lo, hi = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
     long = to_long(df, columns, by)
-    j = long.join(F.broadcast(qs), [*by, "variable"])
+    j = join_small(long, qs, [*by, "variable"])
     inside = (F.col("value") >= lo) & (F.col("value") <= hi)
     return j.groupBy(*by, "variable", "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
@@ -367,7 +367,7 @@ def kde_density(df: DataFrame, column: str, by: str, grid_points: int = 100) ->
     )
     bw = F.col("_sd") * F.pow(F.col("_n"), F.lit(-0.2))
     st = st.withColumn("_h", bw)
-    j = df.where(F.col(column).isNotNull()).join(F.broadcast(st), by)
+    j = join_small(df.where(F.col(column).isNotNull()), st, [by])
     step = (F.col("_mx") - F.col("_mn")) / F.lit(grid_points - 1)
     ex = j.select(by, F.col(column).alias("_v"), "_n", "_h", "_mn", step.alias("_step"), F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))).alias("point"))
     x = F.col("_mn") + F.col("_step") * F.col("point")

@@ -39,3 +39,11 @@ def wide_agg_to_long(row_df: DataFrame, columns: Sequence[str], stats: Sequence[
         F.struct(F.lit(c).alias("variable"), *[F.col(f"`{c}{sep}{s}`").alias(s) for s in stats]) for c in columns
     ]
     return row_df.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
+
+
+def join_small(left: DataFrame, small: DataFrame, keys, how: str = "inner") -> DataFrame:
+    """Join a table of one row per key (broadcast) on keys that may be NULL; the keys stay the left side's."""
+    keys = list(keys)
+    named = small.select(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)], *[c for c in small.columns if c not in keys])
+    cond = [F.col(f"`{k}`").eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    return left.join(F.broadcast(named), cond, how).drop(*[f"_k{i}" for i in range(len(keys))])

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskline.operators.ordering import materialize, next_values, prefix_sums, rank_sums
+from riskline.operators.long import join_small
+from riskline.operators.ordering import next_values, prefix_sums, rank_sums, with_ranges
 
 
 def _safe_div(a, b):
@@ -70,7 +71,7 @@ def evaluate_predictions(
     if score is None:
         return m.withColumn("roc_auc", F.lit(None).cast("double")).drop(*extra)
     a = roc_auc(df, label, score, by)
-    return m.join(a, by, "left").drop(*extra)
+    return join_small(m, a, by, "left").drop(*extra)
 
 
 def _score_points(df: DataFrame, label: str, score: str, by: Sequence[str]) -> DataFrame:
@@ -82,12 +83,11 @@ def _score_points(df: DataFrame, label: str, score: str, by: Sequence[str]) -> D
         F.count_if(F.col(label) == 1).cast("bigint").alias("tp"),
         F.count_if(F.col(label) != 1).cast("bigint").alias("fp"),
     )
-    pts = materialize(pts)  # one row per distinct score, reused by every step below
+    pts = with_ranges(pts, by, "threshold", descending=True)  # one row per distinct score, reused by every step below
     tot = pts.groupBy(*by).agg(F.sum("tp").cast("bigint").alias("P"), F.sum("fp").cast("bigint").alias("N"))
     cum = prefix_sums(pts, by, "threshold", ["tp", "fp"], descending=True, keep_range=True)
     cum = cum.withColumns({"tps": F.col("tp_before") + F.col("tp"), "fps": F.col("fp_before") + F.col("fp")})
-    # #keys rows: bounded, broadcast.
-    return cum.join(F.broadcast(tot), by)
+    return join_small(cum, tot, by)  # #keys rows
 
 
 def roc_curve(df: DataFrame, label: str, score: str, by: Sequence[str] = (), drop_intermediate: bool = True) -> DataFrame:

@@ -2,31 +2,32 @@
 
 Running totals in value order (ranks, ROC points, rank sums) normally call
 for ``Window.orderBy`` over the whole frame, which moves every row into one
-task. Here the order is cut into value ranges first:
-
-1. ``percentile_approx`` per partition key gives ``buckets - 1`` cut points
-   (a small array per key);
-2. each row's range index is computed from those cut points, and the range
-   totals (#keys x buckets rows) get their exclusive prefix sums with a small
-   window;
-3. the range offsets are joined back (broadcast, bounded by #keys x buckets)
-   and a window per (key, range) finishes the running totals.
-
-Only the rows of one range share a task, and the cut points come from the
-data, so a skewed distribution still gives balanced ranges. Callers collapse
-equal values first (one row per distinct value with its counts), so a hot
-value is a single row.
+task. Here the rows are first dealt out in value order:
+
+1. ``repartitionByRange`` on (key, value) gives balanced ranges, one per
+   partition, and the partition number is kept as the range (the result is
+   checkpointed, as the cut points are drawn from a sample);
+2. the range totals (at most #keys + #ranges rows) get their exclusive
+   prefix sums with a small window;
+3. the range offsets are joined back (broadcast) and a window per (key, range)
+   finishes the running totals.
+
+Only the rows of one range share a task. There are as many ranges as shuffle
+partitions, so they grow with the session that is sized for the data. Callers
+collapse equal values first (one row per distinct value with its counts), so a
+hot value is a single row. Keys may be NULL.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from riskline.operators.long import join_small
+
 
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the session's shared folder."""
@@ -36,18 +37,6 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-TARGET_RANGE_ROWS = 1_000_000
-MAX_RANGES = 1 << 20
-
-
-def range_layout(n_rows: int, buckets: int | None = None) -> tuple[int, int]:
-    """``(coarse, fine)`` with ``coarse * fine`` ranges: enough that a range
-    holds about ``TARGET_RANGE_ROWS`` rows (at least 64, at most 2^20)."""
-    b = buckets if buckets else max(64, min(MAX_RANGES, math.ceil(n_rows / TARGET_RANGE_ROWS)))
-    fine = max(1, math.ceil(math.sqrt(b)))
-    return max(1, math.ceil(b / fine)), fine
-
-
 def with_ranges(
     df: DataFrame,
     partition_cols: Sequence[str],
@@ -55,36 +44,11 @@ def with_ranges(
     buckets: int | None = None,
     descending: bool = False,
 ) -> DataFrame:
-    """Add ``_rng``: the index of the value range holding ``order_col``
-    (ranges follow the requested order).
-
-    The number of ranges grows with the data (``range_layout``); a row finds
-    its range with a two-level lookup (coarse cut points, then the fine cut
-    points of that coarse range), so it costs ~2 sqrt(#ranges) comparisons."""
-    parts = list(partition_cols)
-    extra = []
-    if not parts:
-        df = df.withColumn("_all", F.lit(0))
-        parts, extra = ["_all"], ["_all"]
-    coarse, fine = range_layout(df.count() if not buckets else 0, buckets)
-    total = coarse * fine
-    key = F.col(order_col)
-    probs = [i / total for i in range(1, total)]
-    accuracy = max(10_000, 10 * total)
-    cuts = df.groupBy(*parts).agg(F.percentile_approx(key, probs, accuracy).alias("_cuts"))
-    cuts = cuts.withColumn(
-        "_coarse", F.transform(F.sequence(F.lit(1), F.lit(max(coarse - 1, 1))), lambda k: F.element_at("_cuts", k * fine))
-    )
-    if coarse == 1:
-        cuts = cuts.withColumn("_coarse", F.slice("_cuts", 1, 0))
-    # #keys rows, each with the cut arrays (bounded by MAX_RANGES): broadcast.
-    j = df.join(F.broadcast(cuts), parts)
-    i = F.size(F.filter(F.col("_coarse"), lambda c: c < key))
-    fine_cuts = F.slice(F.col("_cuts"), i * fine + 1, fine - 1) if fine > 1 else F.slice(F.col("_cuts"), 1, 0)
-    rng = i * fine + F.size(F.filter(fine_cuts, lambda c: c < key))
-    if descending:
-        rng = F.lit(total) - rng
-    return j.withColumn("_rng", rng.cast("int")).drop("_cuts", "_coarse", *extra)
+    """The rows, checkpointed, with ``_rng``: the number of the value range that holds ``order_col``
+    (ranges follow the requested order; ``buckets`` of them, by default one per shuffle partition)."""
+    n = buckets or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    key = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    return materialize(df.repartitionByRange(n, *[F.col(c) for c in partition_cols], key).withColumn("_rng", F.spark_partition_id()))
 
 
 def prefix_sums(
@@ -99,22 +63,23 @@ def prefix_sums(
     """Add ``{c}_before`` = sum of ``c`` over rows that come strictly earlier
     (ascending or ``descending`` ``order_col``) within each partition key.
 
-    ``order_col`` must be unique within a partition key (collapse ties first).
+    ``order_col`` must be unique within a partition key (collapse ties first). Rows that
+    carry ``_rng`` already (from ``with_ranges``, in the same order) are taken as they are.
     """
     parts = list(partition_cols)
-    j = with_ranges(df, parts, order_col, buckets, descending)
+    j = df if "_rng" in df.columns else with_ranges(df, parts, order_col, buckets, descending)
     totals = j.groupBy(*parts, "_rng").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
     w_rng = Window.partitionBy(*parts).orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *parts, "_rng", *[F.coalesce(F.sum(f"_t_{c}").over(w_rng), F.lit(0)).alias(f"_o_{c}") for c in sum_cols]
     )
-    # #keys x buckets rows: bounded, broadcast.
-    j = j.join(F.broadcast(offsets), [*parts, "_rng"])
+    # at most #keys + #ranges rows
+    j = join_small(j, offsets, [*parts, "_rng"])
     key = F.col(order_col)
     order = key.desc() if descending else key.asc()
     w = Window.partitionBy(*parts, "_rng").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return j.select(
-        *[c for c in df.columns],
+        *[c for c in df.columns if c != "_rng"],
         *(["_rng"] if keep_range else []),
         *[(F.col(f"_o_{c}") + F.coalesce(F.sum(c).over(w), F.lit(0))).alias(f"{c}_before") for c in sum_cols],
     )
@@ -130,7 +95,7 @@ def next_values(
     """Add ``{c}_next``: the value of ``c`` on the following row in order
     (NULL on the last row). ``ranged`` must carry ``_rng`` (``keep_range``):
     a window per range gives the lead, and the first row of the next
-    non-empty range (a #keys x buckets table) patches each range's last row."""
+    non-empty range (at most #keys + #ranges rows) patches each range's last row."""
     parts = list(partition_cols)
     key = F.col(order_col)
     first_of = F.max_by if descending else F.min_by
@@ -139,7 +104,7 @@ def next_values(
     )
     w_r = Window.partitionBy(*parts).orderBy("_rng")
     patch = firsts.select(*parts, "_rng", *[F.lead(f"_f_{c}").over(w_r).alias(f"_p_{c}") for c in cols])
-    j = ranged.join(F.broadcast(patch), [*parts, "_rng"])
+    j = join_small(ranged, patch, [*parts, "_rng"])
     order = key.desc() if descending else key.asc()
     w = Window.partitionBy(*parts, "_rng").orderBy(order)
     is_last = F.lead(F.lit(1)).over(w).isNull()
@@ -170,10 +135,6 @@ def rank_sums(
         F.count_if(F.col(label) == positive).cast("bigint").alias("_pos"),
         F.count_if(F.col(label) != positive).cast("bigint").alias("_neg"),
     ).withColumn("_t", F.col("_pos") + F.col("_neg"))
-    # The distinct-value table feeds three steps (cut points, range totals,
-    # windows): materialise it once (reliable checkpoint) instead of
-    # re-aggregating the raw rows three times.
-    per_value = materialize(per_value)
     ranked = prefix_sums(per_value, by, "_v", ["_t"], buckets=buckets)
     avg_rank = F.col("_t_before") + (F.col("_t") + 1) / 2.0
     return ranked.groupBy(*by).agg(

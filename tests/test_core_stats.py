@@ -183,18 +183,20 @@ def test_correlation_pairwise_complete(spark):
     assert r["correlation"] == pytest.approx(float(np.corrcoef(x, y)[0, 1]))
 
 
-def test_two_level_ranges_match_flat_count(spark, monkeypatch):
+def test_ranges_follow_the_order_and_null_keys_stay(spark):
     from riskline.operators import ordering
 
-    monkeypatch.setattr(ordering, "TARGET_RANGE_ROWS", 3)  # forces many ranges on a small frame
     rows = [(float(v),) for v in random.Random(4).sample(range(5000), 900)]
     df = spark.createDataFrame(rows, "v double")
-    out = ordering.prefix_sums(df.withColumn("w", F.lit(1)), [], "v", ["w"], keep_range=True).collect()
+    out = ordering.prefix_sums(df.withColumn("w", F.lit(1)), [], "v", ["w"], buckets=70, keep_range=True).collect()
     ranks = sorted((r["v"], r["w_before"]) for r in out)
     assert [b for _, b in ranks] == list(range(len(rows)))
     rng = sorted((r["v"], r["_rng"]) for r in out)
     assert all(a[1] <= b[1] for a, b in zip(rng, rng[1:]))
-    assert len({r for _, r in rng}) > 64
+    assert len({r for _, r in rng}) > 35
+    keyed = spark.createDataFrame([(None, 1.0, 1), (None, 2.0, 0), ("a", 3.0, 1), ("a", 1.0, 0)], "g string, v double, y int")
+    sums = {r["g"]: (r["n_neg"], r["n_pos"], r["rank_sum_pos"]) for r in rank_sums(keyed, "v", "y", ["g"]).collect()}
+    assert sums == {None: (1, 1, 1.0), "a": (1, 1, 2.0)}
 
 
 def test_approx_quantiles_on_request(spark):
