@@ -21,8 +21,8 @@ give per set or per pair:
 4. ``overlaps``. For the pairs, each fragment counts its partial overlap; the sums are exact.
    Linked pairs join components.
 5. The other pairs of a list matter only between components. For x and y around a centre c,
-   |x&y| <= min(|x&c|, |y&c|) + min(s_x - |x&c|, s_y - |y&c|), s being the shared n-grams of a set;
-   the pairs that this bound and the sizes leave are counted as in 4.
+   |x&y| <= min(|x&c|, |y&c|) + |(x-c)&(y-c)|; the last is counted through the n-grams that members have and the centre
+   has not. The pairs that this bound leaves are counted as in 4.
 
 Nulls, empty texts and texts of white space have an empty set and are linked with nothing.
 Repeated rows and repeated or null ids are allowed: each input row gives one row; a class
@@ -306,14 +306,18 @@ def fragments(sets: DataFrame, pieces: int) -> DataFrame:
     return sets.select("fp", "grams").mapInArrow(run, "fp long, fragment int, part array<long>")
 
 
-def overlaps(pairs: DataFrame, segments: DataFrame, rows: int) -> DataFrame:
-    """(a, b, overlap): partial overlaps counted in each fragment, summed per pair (pairs without any are missing).
-    The members' segments (b) travel to the centres' (a), which are fewer; few pairs are sent to the segments."""
+def overlaps(pairs: DataFrame, segments: DataFrame, rows: int, rest: bool = False) -> DataFrame:
+    """(a, b, overlap): partial overlaps counted in each fragment, summed per pair; with ``rest`` also the n-grams
+    of b that a has not. The members' segments (b) travel to the centres' (a), which are fewer; few pairs are sent
+    to the segments."""
     centres = small(pairs.select("a").distinct(), rows)
     left = segments.join(centres, segments.fp == centres.a, "left_semi").select(F.col("fp").alias("a"), "fragment", F.col("part").alias("part_a"))
     right = segments.join(small(pairs.select("a", "b"), rows), segments.fp == F.col("b")).select("a", "b", "fragment", F.col("part").alias("part_b"))
-    partial = right.join(left, ["a", "fragment"])
-    return partial.groupBy("a", "b").agg(F.sum(F.size(F.array_intersect("part_a", "part_b"))).cast("long").alias("overlap"))
+    both = right.join(left, ["a", "fragment"], "left").withColumn("part_a", F.coalesce("part_a", F.array().cast("array<bigint>")))
+    totals = [F.sum(F.size(F.array_intersect("part_a", "part_b"))).cast("long").alias("overlap")]
+    if rest:
+        totals.append(F.flatten(F.collect_list(F.array_except("part_b", "part_a"))).alias("rest"))
+    return both.groupBy("a", "b").agg(*totals)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -349,9 +353,9 @@ def linked_classes(docs: DataFrame, classes: DataFrame, k: int, similar: int) ->
     sets = cut(sets.join(small(left.select("fp"), rows), "fp", "left_semi"))
 
     # all fragments, over the sets that are left
-    counted = cut(_counts(set_entries(sets, parts(spark, grams, BUCKET_GRAMS)), rows, max(3, grams // FREQUENT)))
-    hot = counted.filter("gram is not null").orderBy("df", "gram").select("gram").toPandas()["gram"].to_numpy(np.int64).view(np.uint64)
-    lone = cut(_lone(counted))
+    tallies = cut(_counts(set_entries(sets, parts(spark, grams, BUCKET_GRAMS)), rows, max(3, grams // FREQUENT)))
+    hot = tallies.filter("gram is not null").orderBy("df", "gram").select("gram").toPandas()["gram"].to_numpy(np.int64).view(np.uint64)
+    lone = cut(_lone(tallies))
     sets = sets.join(small(lone, rows), "fp", "left").withColumn("s", F.col("n") - F.coalesce("lone", F.lit(0))).drop("lone")
     sets = cut(sets.filter(F.col("n") - F.col("s") <= spare))
     segments = fragments(sets, FRAGMENTS)
@@ -366,33 +370,40 @@ def linked_classes(docs: DataFrame, classes: DataFrame, k: int, similar: int) ->
     size_a = sizes.select(F.col("fp").alias("a"), F.col("n").alias("n_a"), F.col("s").alias("s_a"))
     size_b = sizes.select(F.col("fp").alias("b"), F.col("n").alias("n_b"), F.col("s").alias("s_b"))
 
-    def links(pairs: DataFrame) -> DataFrame:
-        met = overlaps(pairs, segments, pairs.count())
+    def counted(pairs: DataFrame, rest: bool) -> DataFrame:
+        met = overlaps(pairs, segments, pairs.count(), rest)
         return cut(met.join(small(size_a, rows), "a").join(small(size_b, rows), "b"))
 
     enough = (100 + similar) * F.col("overlap") >= similar * (F.col("n_a") + F.col("n_b"))
-    counted = links(star)
-    edges = counted.filter(enough).select("a", "b")
+    stars = counted(star, True)
+    edges = stars.filter(enough).select("a", "b")
     root = components(edges)
 
-    # between components, around a common centre: only members outside the centre's component can have such
-    # a link, and of those the ones that the bound leaves against the best that the list offers
-    x = counted.select("a", "b", F.col("n_b").alias("n"), F.col("s_b").alias("s"), F.col("overlap").alias("o"))
+    # Between components, around a common centre: one of the two is outside the centre's component. Their overlap is
+    # at most min(|x&c|, |y&c|), and what they share outside the centre, which is counted exactly.
     named = root.select("node", "root")
-    x = x.join(named.withColumnRenamed("node", "b"), "b", "left").withColumn("root", F.coalesce("root", "b"))
-    x = cut(x.select("a", "b", "n", "s", "o", "root"))
-    centres = named.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
-    best = x.groupBy("a").agg(F.max(F.col("s") - F.col("o")).alias("most_own"), F.min("n").alias("least_n")).join(centres, "a", "left")
-    outside = x.join(best, "a").filter(F.col("root") != F.coalesce("root_a", "a"))
-    hope = F.col("o") + F.least(F.col("s") - F.col("o"), "most_own")
-    outside = outside.filter((100 + similar) * hope >= similar * (F.col("n") + F.col("least_n"))).select(x.columns)
-    y = x.select("a", *(F.col(c).alias(f"{c}2") for c in ("b", "n", "s", "o", "root")))
-    most = F.least("o", "o2") + F.least(F.col("s") - F.col("o"), F.col("s2") - F.col("o2"))
-    may = (100 + similar) * F.least(most, "s", "s2") >= similar * (F.col("n") + F.col("n2"))
-    near = outside.join(y, "a").filter((F.col("root") != F.col("root2")) & may)
-    near = near.select(F.least("b", "b2").alias("a"), F.greatest("b", "b2").alias("b"))
-    near = cut(near.distinct())
-    more = links(near).filter(enough).select("a", "b")
+    x = stars.select("a", "b", F.col("n_b").alias("n"), F.col("overlap").alias("o"), "rest")
+    x = x.join(small(named.withColumnRenamed("node", "b"), rows), "b", "left").withColumn("root", F.coalesce("root", "b"))
+    x = cut(x.select("a", "b", "n", "o", "root", "rest"))
+    centres = small(named.select(F.col("node").alias("a"), F.col("root").alias("root_a")), rows)
+    outside = x.join(centres, "a", "left").filter(F.col("root") != F.coalesce("root_a", "a")).drop("root_a")
+    y = x.select("a", *(F.col(c).alias(f"{c}2") for c in ("b", "n", "o", "root", "rest")))
+    apart = F.col("root") != F.col("root2")
+    need = similar * (F.col("n") + F.col("n2"))
+    pair = [F.least("b", "b2").alias("a"), F.greatest("b", "b2").alias("b")]
+    # within the centre alone
+    least = x.groupBy("a").agg(F.min("n").alias("least_n"))
+    hopeful = outside.join(least, "a").filter((100 + similar) * F.col("o") >= similar * (F.col("n") + F.col("least_n"))).drop("least_n", "rest")
+    inner = hopeful.join(y.drop("rest2"), "a").filter(apart & ((100 + similar) * F.least("o", "o2") >= need)).select(*pair)
+    # with shared n-grams outside the centre
+    mine = outside.withColumn("gram", F.explode("rest")).drop("rest")
+    theirs = y.withColumn("gram", F.explode("rest2")).drop("rest2")
+    theirs = theirs.join(small(outside.select("a").distinct(), rows), "a", "left_semi")
+    shared = mine.join(theirs, ["a", "gram"]).filter(apart)
+    shared = shared.groupBy("a", "b", "b2").agg(F.count("*").alias("extra"), *(F.first(c).alias(c) for c in ("n", "n2", "o", "o2")))
+    outer = shared.filter((100 + similar) * (F.least("o", "o2") + F.col("extra")) >= need).select(*pair)
+    near = cut(inner.union(outer).distinct())
+    more = counted(near, False).filter(enough).select("a", "b")
     more = cut(more)
     if not more.head(1):
         return root
