@@ -21,8 +21,8 @@ give per set or per pair:
 4. ``overlaps``. For the pairs, each fragment counts its partial overlap; the sums are exact.
    Linked pairs join components.
 5. The other pairs of a list matter only between components. For x and y around a centre c,
-   |x&y| <= min(|x&c|, |y&c|) + |(x-c)&(y-c)|; the last is counted through the n-grams that members have and the centre
-   has not. The pairs that this bound leaves are counted as in 4.
+   |x&y| <= min(|x&c|, |y&c|) + |(x-c)&(y-c)|. Pairs that the first part leaves, or that share one of the first n-grams
+   outside the centre (a prefix as in 2), are counted as in 4; of two sets that are nearest to one centre, that centre decides.
 
 Nulls, empty texts and texts of white space have an empty set and are linked with nothing.
 Repeated rows and repeated or null ids are allowed: each input row gives one row; a class
@@ -380,28 +380,40 @@ def linked_classes(docs: DataFrame, classes: DataFrame, k: int, similar: int) ->
     root = components(edges)
 
     # Between components, around a common centre: one of the two is outside the centre's component. Their overlap is
-    # at most min(|x&c|, |y&c|), and what they share outside the centre, which is counted exactly.
+    # at most min(|x&c|, |y&c|), and what they share outside the centre. Of two sets that are nearest to the
+    # same centre, only that centre decides.
     named = root.select("node", "root")
     x = stars.select("a", "b", F.col("n_b").alias("n"), F.col("overlap").alias("o"), "rest")
+    top = cut(x.groupBy("b").agg(F.max(F.struct("o", "a"))["a"].alias("top")))
+    least = cut(x.groupBy("a").agg(F.min("n").alias("least_n")))
     x = x.join(small(named.withColumnRenamed("node", "b"), rows), "b", "left").withColumn("root", F.coalesce("root", "b"))
-    x = cut(x.select("a", "b", "n", "o", "root", "rest"))
+    x = x.join(small(top, rows), "b").join(small(least, rows), "a")
+    # a partner of x has similar / 100 * n n-grams at least, so they share ``wanted``; among the first of rest in any
+    # one order there is one that they share, if they share enough outside the centre
+    partner = F.greatest(F.col("least_n"), F.ceil(similar * F.col("n") / 100))
+    wanted = F.ceil(similar * (F.col("n") + partner) / (100 + similar)).cast("long")
+    length = F.greatest(F.col("n") - wanted + 1, F.lit(0)).cast("int")
+    whole = F.size("rest") <= 2 * length  # near the centre: all of it, so that counts are exact
+    first = F.when(whole, F.col("rest")).otherwise(F.slice(F.sort_array("rest"), 1, length))
+    x = cut(x.select("a", "b", "n", "o", "root", "top", (F.col("o") >= wanted).alias("enough"), whole.alias("whole"), first.alias("rest")))
     centres = small(named.select(F.col("node").alias("a"), F.col("root").alias("root_a")), rows)
     outside = x.join(centres, "a", "left").filter(F.col("root") != F.coalesce("root_a", "a")).drop("root_a")
-    y = x.select("a", *(F.col(c).alias(f"{c}2") for c in ("b", "n", "o", "root", "rest")))
-    apart = F.col("root") != F.col("root2")
+    y = x.select("a", *(F.col(c).alias(f"{c}2") for c in ("b", "n", "o", "root", "top", "whole", "rest")))
+    apart = (F.col("root") != F.col("root2")) & ((F.col("top") != F.col("top2")) | (F.col("top") == F.col("a")))
     need = similar * (F.col("n") + F.col("n2"))
     pair = [F.least("b", "b2").alias("a"), F.greatest("b", "b2").alias("b")]
     # within the centre alone
-    least = x.groupBy("a").agg(F.min("n").alias("least_n"))
-    hopeful = outside.join(least, "a").filter((100 + similar) * F.col("o") >= similar * (F.col("n") + F.col("least_n"))).drop("least_n", "rest")
+    hopeful = outside.filter("enough").drop("rest")
     inner = hopeful.join(y.drop("rest2"), "a").filter(apart & ((100 + similar) * F.least("o", "o2") >= need)).select(*pair)
     # with shared n-grams outside the centre
     mine = outside.withColumn("gram", F.explode("rest")).drop("rest")
     theirs = y.withColumn("gram", F.explode("rest2")).drop("rest2")
     theirs = theirs.join(small(outside.select("a").distinct(), rows), "a", "left_semi")
-    shared = mine.join(theirs, ["a", "gram"]).filter(apart)
-    shared = shared.groupBy("a", "b", "b2").agg(F.count("*").alias("extra"), *(F.first(c).alias(c) for c in ("n", "n2", "o", "o2")))
-    outer = shared.filter((100 + similar) * (F.least("o", "o2") + F.col("extra")) >= need).select(*pair)
+    outer = mine.join(theirs, ["a", "gram"]).filter(apart & (F.col("n") * 100 >= F.col("n2") * similar) & (F.col("n2") * 100 >= F.col("n") * similar))
+    kept = ["n", "n2", "o", "o2", "whole", "whole2"]
+    outer = outer.groupBy("a", "b", "b2").agg(F.count("*").alias("extra"), *(F.first(c).alias(c) for c in kept))
+    # a count over the whole of both is exact
+    outer = outer.filter(~(F.col("whole") & F.col("whole2")) | ((100 + similar) * (F.least("o", "o2") + F.col("extra")) >= need)).select(*pair)
     near = cut(inner.union(outer).distinct())
     more = counted(near, False).filter(enough).select("a", "b")
     more = cut(more)
