@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from riskline.llm.tables import cut, parts
 from riskline.llm.textblocks import Words, chunks, mix, run_starts, text_buffers
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 #: Requests that one task sums up.
 BUCKET_ENTRIES = 2_000_000
 DELETED_EVERY = 8
