@@ -1,15 +1,16 @@
 """License scans by conditional compression (operator 1).
 
 Candidate blocks are the lines of a text with a word that license notices use (found by Spark before any Python
-runs), and runs of such lines with their neighbours. Each block is compressed alone and with every template as a raw
-zstandard dictionary. Templates are ranked by how many bytes they save; the best of them that saves at
-least ``LEAST_SHARE`` of the block or of the template wins, if its wording confirms it: the template's words are
-aligned with the block's, and the words that differ are counted exactly. All words that name the license must be there, and the
+runs), and runs of such lines with their neighbours. For each template, a block is cut into windows of ``WIDTH`` template lengths,
+each half over the next, and every window that holds the words naming the license is compressed alone and with the template as a raw
+zstandard dictionary, with equal parameters. Templates are ranked by how many bytes they save; the best of them that saves at
+least ``LEAST_SHARE`` of the window or of the template wins, if its wording confirms it: the template's words are
+aligned with the window's, and the words that differ are counted exactly. All words that name the license must be there, and the
 differences may be ``MOST_DIFFERENT`` of the template's words at most.
 
 Texts stay in their partitions; only texts with a candidate line are sent to Python. Null and empty texts have no
-block. Repeated rows and ids each give their row. A text of any length is read whole; a block that is longer than ``SPAN`` words is
-aligned in overlapping spans, so alignment is linear in its length.
+block. Repeated rows and ids each give their row. A text of any length is read whole; as windows are bounded, a notice is
+found wherever it is in a line, and the work is linear in the text's length. What is compressed are the words as they are compared.
 """
 
 from __future__ import annotations
@@ -22,7 +23,11 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LEAST_SHARE, MOST_DIFFERENT, SPAN, LEVEL = 0.2, 0.25, 600, 3
+LEAST_SHARE, MOST_DIFFERENT, LEVEL = 0.2, 0.25, 3
+#: Words of a window: so many template lengths, and at least so many. Characters of a word that are compressed.
+WIDTH, LEAST_WIDTH, LONGEST = 4, 16, 40
+#: Bytes for which the compression parameters are chosen, of a window and of a dictionary.
+PARAMETERS_FOR = 4096
 #: Templates whose wording is looked at, the best first.
 RANKED = 6
 AROUND = 2
@@ -105,6 +110,11 @@ def words(text: str) -> list[str]:
     return _WORD.findall(text.lower().replace("licence", "license"))
 
 
+def _bytes(block: list[str]) -> bytes:
+    """What is compressed: the words, without more than ``LONGEST`` characters of any."""
+    return " ".join(w[:LONGEST] for w in block).encode()
+
+
 def is_candidate(text: Column) -> Column:
     low = F.lower(text)
     out = F.contains(low, F.lit(TRIGGERS[0]))
@@ -133,41 +143,59 @@ def blocks_of(text: str) -> list[tuple[int, str]]:
 
 class Scanner:
     def __init__(self, templates: list[tuple[str, str, str]] = TEMPLATES):
-        self.alone = zstandard.ZstdCompressor(level=LEVEL)
         self.templates = []
         for name, keys, wording in templates:
-            raw = " ".join(wording.split()).encode()
+            own = words(wording)
+            raw = _bytes(own)
+            # the same parameters with and without the dictionary, as zstandard would choose others by size; and a search
+            # of every position, as this level's own search skips some and its noise is larger than what short notices save
+            size = {"source_size": PARAMETERS_FOR, "dict_size": PARAMETERS_FOR}
+            same = zstandard.ZstdCompressionParameters.from_level(LEVEL, strategy=zstandard.STRATEGY_BTOPT, min_match=4, **size)
             dictionary = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            self.templates.append((name, set(keys.split()), words(wording), len(raw), zstandard.ZstdCompressor(level=LEVEL, dict_data=dictionary)))
-
-    def ranked(self, block: str) -> list[tuple[int, int]]:
-        """(bytes saved, template) of the templates that save enough, the best first."""
-        raw = " ".join(block.split()).encode("utf-8", "replace")
-        size = len(self.alone.compress(raw))
-        out = []
+            self.templates.append((name, set(keys.split()), own, len(raw), zstandard.ZstdCompressor(compression_params=same, dict_data=dictionary)))
+            self.alone = zstandard.ZstdCompressor(compression_params=same)
+
+    def windows(self, block: list[str], places: dict[str, list[int]], template: int) -> list[tuple[int, int]]:
+        """The overlapping spans of a block, ``WIDTH`` template lengths wide, that hold all words naming the template."""
+        keys, own = self.templates[template][1:3]
+        if not keys <= places.keys():
+            return []
+        width = max(LEAST_WIDTH, WIDTH * len(own))
+        step = width // 2
+        rarest = min(keys, key=lambda k: len(places[k]))
+        starts = {max(0, at // step - back) * step for at in places[rarest] for back in (0, 1)}
+        spans = [(x, min(x + width, len(block))) for x in sorted(starts)]
+        return [(x, y) for x, y in spans if keys <= set(block[x:y])]
+
+    def ranked(self, block: list[str]) -> list[tuple[int, int, int, int]]:
+        """(bytes saved, template, first word, end) of the windows in which a template saves enough, the best first."""
+        places: dict[str, list[int]] = {}
+        for at, word in enumerate(block):
+            places.setdefault(word, []).append(at)
+        out, sizes = [], {}
         for i, (_, _, _, length, with_it) in enumerate(self.templates):
-            saved = size - len(with_it.compress(raw))
-            if saved >= LEAST_SHARE * min(len(raw), length):
-                out.append((saved, i))
-        return sorted(out, key=lambda x: (-x[0], x[1]))
-
-    def wording(self, block: list[str], template: int) -> tuple[int, int] | None:
-        """(missing, added) words of the template against its best place in the block; None if a naming word is missing."""
-        name, keys, own, _, _ = self.templates[template]
-        if not keys <= set(block):
-            return None
+            for x, y in self.windows(block, places, i):
+                raw = _bytes(block[x:y])
+                if (x, y) not in sizes:
+                    sizes[x, y] = len(self.alone.compress(raw))
+                saved = sizes[x, y] - len(with_it.compress(raw))
+                if saved >= LEAST_SHARE * min(len(raw), length):
+                    out.append((saved, i, x, y))
+        return sorted(out, key=lambda x: (-x[0], *x[1:]))
+
+    def wording(self, block: list[str], template: int) -> tuple[int, int, int, int] | None:
+        """(missing, added) words of the template against its best place in the window, and that place; None if a naming word is missing."""
+        _, keys, own, _, _ = self.templates[template]
+        met = [m for m in SequenceMatcher(None, own, block, autojunk=False).get_matching_blocks() if m.size]
         best = None
-        for at in range(0, max(1, len(block) - len(own)), SPAN):
-            span = block[at : at + SPAN + 2 * len(own)]
-            met = [m for m in SequenceMatcher(None, own, span, autojunk=False).get_matching_blocks() if m.size]
-            if not met:
-                continue
-            equal = sum(m.size for m in met)
-            covered = met[-1].b + met[-1].size - met[0].b
-            inside = set(span[met[0].b : met[0].b + covered])
-            if keys <= inside:
-                found = (len(own) - equal, covered - equal)
-                best = min(best or found, found, key=sum)
+        for i in range(len(met)):
+            equal = 0
+            for m in met[i:]:
+                equal += m.size
+                start, end = met[i].b, m.b + m.size
+                found = (len(own) - equal, end - start - equal, start, end)
+                if (best is None or found[0] + found[1] < best[0] + best[1]) and keys <= set(block[start:end]):
+                    best = found
         return best
 
     def scan(self, text: str) -> tuple[int, list[tuple[int, str, int, int, int]]]:
@@ -175,12 +203,16 @@ class Scanner:
         blocks, found = blocks_of(text), {}
         for line, block in blocks:
             own = words(block)
-            for saved, i in self.ranked(block)[:RANKED]:
-                differs = self.wording(own, i)
-                if differs and sum(differs) <= MOST_DIFFERENT * len(self.templates[i][2]):
+            tried = set()
+            for saved, i, x, y in self.ranked(own):
+                if len(tried | {i}) > RANKED:
+                    break
+                tried.add(i)
+                differs = self.wording(own[x:y], i)
+                if differs and sum(differs[:2]) <= MOST_DIFFERENT * len(self.templates[i][2]):
                     key = (line, self.templates[i][0])
                     if key not in found or saved > found[key][0]:
-                        found[key] = (saved, *differs)
+                        found[key] = (saved, *differs[:2])
                     break
         return len(blocks), [(line, name, *rest) for (line, name), rest in sorted(found.items())]
 

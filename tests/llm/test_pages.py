@@ -128,6 +128,16 @@ def test_license_wording_decides():
     assert names(long) in (["Apache-2.0"], [])
 
 
+def test_license_notices_in_long_lines():
+    scanner = license_scan.Scanner()
+    names = lambda t: [f[1] for f in scanner.scan(t)[1]]
+    long = " ".join([prose(6, 3000), "Licensed under the Apache License, Version 2.0.", prose(7, 3000)])
+    assert names(long) == ["Apache-2.0"]
+    for name, _, wording in license_scan.TEMPLATES:
+        for before, after in ((200, 0), (1500, 0), (0, 1500), (9000, 300)):
+            assert name in names(" ".join([prose(8, before), " ".join(wording.split()), prose(9, after)])), (name, before, after)
+
+
 def test_license_table(spark):
     got = license_scan.scan_licenses(frame(spark))
     rows = got.collect()
