@@ -3,10 +3,11 @@
 Candidate blocks are the lines of a text with a word that license notices use (found by Spark before any Python
 runs), and runs of such lines with their neighbours. For each template, a block is cut into windows of ``WIDTH`` template lengths,
 each half over the next, and every window that holds the words naming the license is compressed alone and with the template as a raw
-zstandard dictionary, with equal parameters. Templates are ranked by how many bytes they save; the best of them that saves at
-least ``LEAST_SHARE`` of the window or of the template wins, if its wording confirms it: the template's words are
-aligned with the window's, and the words that differ are counted exactly. All words that name the license must be there, and the
-differences may be ``MOST_DIFFERENT`` of the template's words at most.
+zstandard dictionary, with equal parameters. Every template that saves at least ``LEAST_SHARE`` of the window or of the
+template is looked at, and is found if its wording confirms it: the template's words are aligned with the window's, and the words
+that differ are counted exactly. All words that name the license must be there, and the differences may be ``MOST_DIFFERENT`` of the
+template's words at most. Of findings that overlap, the one that saves most bytes counts; its words are taken out, and the rest
+of the block is scanned again until nothing is found.
 
 Texts stay in their partitions; only texts with a candidate line are sent to Python. Null and empty texts have no
 block. Repeated rows and ids each give their row. A text of any length is read whole; as windows are bounded, a notice is
@@ -26,11 +27,12 @@ from pyspark.sql import functions as F
 LEAST_SHARE, MOST_DIFFERENT, LEVEL = 0.2, 0.25, 3
 #: Words of a window: so many template lengths, and at least so many. Characters of a word that are compressed.
 WIDTH, LEAST_WIDTH, LONGEST = 4, 16, 40
+#: Words of a template whose lead may stand before several licenses.
+SHORT = 14
 #: Bytes for which the compression parameters are chosen, of a window and of a dictionary.
 PARAMETERS_FOR = 4096
-#: Templates whose wording is looked at, the best first.
-RANKED = 6
 AROUND = 2
+TAG = "spdx-license-identifier"
 
 # What makes a line a candidate (lower case).
 TRIGGERS = (
@@ -98,16 +100,48 @@ TEMPLATES: list[tuple[str, str, str]] = [
 ]
 
 TEMPLATES += [("All-Rights-Reserved", "all rights reserved", "All rights reserved.")]
-TEMPLATES += [
-    (name, f"spdx-license-identifier {name.lower()}", f"SPDX-License-Identifier: {name}")
-    for name in sorted({t[0] for t in TEMPLATES} - {"All-Rights-Reserved"})
-]
+_NAMES = sorted({t[0] for t in TEMPLATES} - {"All-Rights-Reserved"})
+_NAMES += [f"{name}-{which}" for name in _NAMES if "GPL" in name for which in ("only", "or-later")]
+TEMPLATES += [(name, f"{TAG} {name.lower()}", f"SPDX-License-Identifier: {name}") for name in _NAMES]
 
 _WORD = re.compile(r"[a-z0-9]+(?:[.\-][a-z0-9]+)*")
+#: What stands between the licenses of a list: signs between words, and words.
+_LIST_SIGN = re.compile(r"[^.;:!?\n]*[,/|&+][^.;:!?\n]*")
+_LIST_WORDS, _FILLERS = {"or", "and"}, {"the", "a", "an", "either", "both", "under"}
+
+
+def listed_words(text: str) -> tuple[list[str], list[bool]]:
+    """The words of a text, and whether a sign of a list (comma, slash) stands before each. The licenses of an
+    SPDX expression each get the tag, without operators, exceptions and brackets."""
+    low = text.lower().replace("licence", "license")
+    out, signs, last, state = [], [], 0, ""
+    for m in _WORD.finditer(low):
+        word, gap, last = m[0], low[last : m.start()], m.end()
+        if word == TAG:
+            state = "tag"
+        elif state == "tag":
+            state = "license"
+            word += "-or-later" if low[m.end() : m.end() + 1] == "+" else ""
+        elif state and "\n" not in gap and word in ("or", "and", "with"):
+            state = "exception" if word == "with" else "again"
+            continue
+        elif state == "exception":
+            state = "license"
+            continue
+        elif state == "again":
+            out.append(TAG)
+            signs.append(False)
+            state = "license"
+            word += "-or-later" if low[m.end() : m.end() + 1] == "+" else ""
+        else:
+            state = ""
+        out.append(word)
+        signs.append(bool(_LIST_SIGN.fullmatch(gap)))
+    return out, signs
 
 
 def words(text: str) -> list[str]:
-    return _WORD.findall(text.lower().replace("licence", "license"))
+    return listed_words(text)[0]
 
 
 def _bytes(block: list[str]) -> bytes:
@@ -198,22 +232,54 @@ class Scanner:
                     best = found
         return best
 
+    def confirmed(self, block: list[str]) -> list[tuple[int, int, int, int, int, int]]:
+        """(bytes saved, template, words missing, words added, first word, end) of every window whose wording confirms it, the best first."""
+        out = []
+        for saved, i, x, y in self.ranked(block):
+            differs = self.wording(block[x:y], i)
+            if differs and differs[0] + differs[1] <= MOST_DIFFERENT * len(self.templates[i][2]):
+                out.append((saved, i, *differs[:2], x + differs[2], x + differs[3]))
+        return out
+
+    def lead(self, template: int, span: list[str]) -> list[str]:
+        """The words of a short notice before those that name the license."""
+        _, keys, own, _, _ = self.templates[template]
+        at = min(span.index(k) for k in keys)
+        return span[:at] if len(own) <= SHORT else []
+
+    def notices(self, block: list[str], signs: list[bool]) -> list[tuple[str, int, int, int]]:
+        """(license, bytes saved, words missing, words added) of all notices in a block: those confirmed that do not overlap a
+        better one are taken out, until none is left. Where a list goes on after one ("... or the ..."), its lead stands before the rest."""
+        out, open_parts = [], [(block, signs)]
+        while open_parts:
+            block, signs = open_parts.pop()
+            taken: list[tuple[int, int, int]] = []
+            for saved, i, missing, added, start, end in self.confirmed(block):
+                if all(end <= x or start >= y for x, y, _ in taken):
+                    taken.append((start, end, i))
+                    out.append((self.templates[i][0], saved, missing, added))
+            lead, rest = [], 0
+            for start, end, i in [*sorted(taken), (len(block), len(block), -1)] if taken else []:
+                if start > rest:
+                    open_parts.append((lead + block[rest:start], [False] * len(lead) + signs[rest:start]))
+                if i < 0:
+                    break
+                own = self.lead(i, block[start:end])
+                lead, rest = own or (lead if start == rest else []), end
+                goes_on = rest < len(block) and signs[rest]
+                while rest < len(block) and block[rest] in _LIST_WORDS | (_FILLERS if goes_on else set()):
+                    rest, goes_on = rest + 1, True
+                if not goes_on:
+                    lead, rest = [], end
+        return out
+
     def scan(self, text: str) -> tuple[int, list[tuple[int, str, int, int, int]]]:
         """Number of candidate blocks; (first line, license, bytes saved, words missing, words added) of the findings."""
         blocks, found = blocks_of(text), {}
         for line, block in blocks:
-            own = words(block)
-            tried = set()
-            for saved, i, x, y in self.ranked(own):
-                if len(tried | {i}) > RANKED:
-                    break
-                tried.add(i)
-                differs = self.wording(own[x:y], i)
-                if differs and sum(differs[:2]) <= MOST_DIFFERENT * len(self.templates[i][2]):
-                    key = (line, self.templates[i][0])
-                    if key not in found or saved > found[key][0]:
-                        found[key] = (saved, *differs[:2])
-                    break
+            for name, saved, missing, added in self.notices(*listed_words(block)):
+                if (line, name) not in found or saved > found[line, name][0]:
+                    found[line, name] = (saved, missing, added)
         return len(blocks), [(line, name, *rest) for (line, name), rest in sorted(found.items())]
 
 

@@ -138,6 +138,33 @@ def test_license_notices_in_long_lines():
             assert name in names(" ".join([prose(8, before), " ".join(wording.split()), prose(9, after)])), (name, before, after)
 
 
+BOTH = "\n\n".join(" ".join(license_scan.TEMPLATES[i][2].split()) for i in (2, 4))
+
+
+@pytest.mark.parametrize(
+    "text, licenses",
+    [
+        ("SPDX-License-Identifier: MIT OR Apache-2.0", {"MIT", "Apache-2.0"}),
+        ("// SPDX-License-Identifier: (GPL-2.0+ WITH Classpath-exception-2.0 OR Zlib) AND BSD-3-Clause", {"GPL-2.0-or-later", "BSD-3-Clause"}),
+        ("# SPDX-License-Identifier: GPL-3.0-only", {"GPL-3.0-only"}),
+        ("SPDX-License-Identifier: LGPL-2.1-or-later\nSPDX-License-Identifier: MIT", {"LGPL-2.1-or-later", "MIT"}),
+        ("Dual-licensed under the MIT license or the Apache License, Version 2.0.", {"MIT", "Apache-2.0"}),
+        ("Licensed under the Apache License, Version 2.0, and the MIT license.", {"MIT", "Apache-2.0"}),
+        ("Licensed under the MIT license, the ISC License or the BSD 2-Clause License.", {"MIT", "ISC", "BSD-2-Clause"}),
+        ("Released under the MIT License. Apache License, Version 2.0 is another.", {"MIT"}),
+        ("SPDX-License-Identifier: MIT\nor Apache-2.0, who knows", {"MIT"}),
+        (BOTH, {"MIT", "ISC"}),
+        (BOTH.replace("\n", " "), {"MIT", "ISC"}),
+        (" ".join(f"Licensed under the {x} License." for x in ("MIT", "ISC", "BSD 2-Clause", "BSD 3-Clause")) + " Licensed under the Apache License, Version 2.0. Licensed under the Mozilla Public License, version 2.0. Licensed under CC BY 4.0. Licensed under CC BY-SA 4.0.",
+         {"MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "MPL-2.0", "CC-BY-4.0", "CC-BY-SA-4.0"}),
+    ],
+)
+def test_license_every_notice_of_a_block(text, licenses):
+    scanner = license_scan.Scanner()
+    assert {f[1] for f in scanner.scan(text)[1]} == licenses
+    assert {f[1] for f in scanner.scan(prose(8, 200) + " " + text + " " + prose(9, 200))[1]} == licenses
+
+
 def test_license_table(spark):
     got = license_scan.scan_licenses(frame(spark))
     rows = got.collect()
