@@ -3,8 +3,7 @@
 A bigram model over words: p(w | v) = l2 c(v,w)/c(v) + l1 c(w)/N + l0 1/(V+1), where the three
 weights depend on the bucket of the context's frequency, floor(log2 c(v)). They are learned by
 expectation-maximisation on held-out counts: each training token in turn is deleted from the counts
-that predict it (every count less 1), over one chunk in
-``DELETED_EVERY`` of each partition, the first one included.
+that predict it (every count less 1), over all training tokens.
 
 How it runs: a task cuts its texts into chunks of about ``CHUNK_BYTES``. A chunk asks for the
 counts of its distinct words and pairs (64-bit hashes, 48 bits for pairs) and brings its own
@@ -13,7 +12,7 @@ Then a chunk's texts and answers meet by chunk number, and each text is scored.
 one request per chunk, so no key is hot; nothing is collected but N, V and the cells of a
 fixed grid for the weights (``GRID`` steps per power of two of both probabilities).
 
-Requests and texts are made by two reads of the input, which must give the same rows in the same
+Requests and texts (once for the weights, once for the scores) are made by three reads of the input, which must give the same rows in the same
 partitions, as files do; any other input is written to the shared checkpoint folder first
 (``stable=False``). A chunk whose answers don't match its requests raises an error.
 
@@ -38,7 +37,6 @@ from riskline.llm.textblocks import Words, chunks, mix, run_starts, text_buffers
 CHUNK_BYTES = 4 << 20
 #: Requests that one task sums up.
 BUCKET_ENTRIES = 2_000_000
-DELETED_EVERY = 8
 GRID = 4
 STEPS = 60
 
@@ -139,23 +137,22 @@ def answers(asked: DataFrame, word_buckets: int) -> DataFrame:
     return asked.groupBy("bucket").applyInPandas(run, "chunk long, bucket int, counts binary, n long, v long")
 
 
-def chunk_texts(docs: DataFrame, every: int = 1) -> DataFrame:
-    """One row per chunk (of every ``every``-th): its texts end to end, their offsets, ids and split."""
+def chunk_texts(docs: DataFrame) -> DataFrame:
+    """One row per chunk: its texts end to end, their offsets, ids and split."""
 
     def run(batches):
         for chunk, ids, held, data, offsets in _chunked(batches, _number()):
-            if chunk % every == 0:
-                flags = held.to_numpy(zero_copy_only=False).astype(np.uint8)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([chunk], pa.int64()),
-                        pa.array([data.tobytes()], pa.binary()),
-                        pa.array([offsets.tobytes()], pa.binary()),
-                        pa.array([flags.tobytes()], pa.binary()),
-                        pa.array([ids.to_pylist()], pa.list_(pa.string())),
-                    ],
-                    names=["chunk", "data", "offsets", "held", "ids"],
-                )
+            flags = held.to_numpy(zero_copy_only=False).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([chunk], pa.int64()),
+                    pa.array([data.tobytes()], pa.binary()),
+                    pa.array([offsets.tobytes()], pa.binary()),
+                    pa.array([flags.tobytes()], pa.binary()),
+                    pa.array([ids.to_pylist()], pa.list_(pa.string())),
+                ],
+                names=["chunk", "data", "offsets", "held", "ids"],
+            )
 
     return docs.mapInArrow(run, "chunk long, data binary, offsets binary, held binary, ids array<string>")
 
@@ -265,7 +262,6 @@ def score_documents(
     text_col: str = "text",
     fold: tuple[int, int] = (7, 2),
     stable: bool = False,
-    deleted_every: int = DELETED_EVERY,
 ) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``, one row per input row.
 
@@ -286,9 +282,7 @@ def score_documents(
     replies = cut(answers(requests(docs, buckets), buckets[0]))
     total, v = replies.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
     replies = replies.filter("chunk >= 0").select("chunk", "bucket", "counts")
-    some = replies.filter(F.col("chunk") % deleted_every == 0)
-    cells = deleted_cells(chunk_texts(docs, deleted_every), some, total)
-    weights = learn_weights(cells, v)
+    weights = learn_weights(deleted_cells(chunk_texts(docs), replies, total), v)
     out = scores(chunk_texts(docs), replies, total, v, weights)
     kind = df.schema[id_col].dataType
     return out.select(

@@ -61,6 +61,28 @@ def test_scores_match_brute_force(spark, monkeypatch):
     assert sum(w[6] for w in held) > sum(w[5] for w in held)
 
 
+def test_weights_are_learned_on_all_training_tokens(spark, monkeypatch):
+    repeats = [(5000 + i, "x y z " * 40) for i in range(120)]  # another source at the end of the files
+    rows, learned = lm_rows() + repeats, []
+    original = lm_scoring.learn_weights
+    monkeypatch.setattr(lm_scoring, "learn_weights", lambda cells, v: learned.append((cells, original(cells, v))) or learned[-1][1])
+    monkeypatch.setattr(lm_scoring, "CHUNK_BYTES", 2000)
+    for partitions in (1, 5):
+        lm_scoring.score_documents(frame(spark, rows).coalesce(1).repartition(partitions) if partitions > 1 else frame(spark, rows).coalesce(1)).count()
+    train = [tokens(t) for d, t in rows if zlib.crc32(("" if d is None else str(d)).encode()) % 7 != 2]
+    one, two = Counter(x for w in train for x in w), Counter(p for w in train for p in zip(["<start>", *w], w))
+    total, each = sum(one.values()), []
+    for w in train:
+        for before, x in zip(["<start>", *w], w):
+            c = (one[None] if before == "<start>" else one[before]) - 1
+            each.append((int(lm_scoring.frequency_bucket(np.array([c + 1]))[0]), 1, (one[x] - 1) / (total - 1), (two[before, x] - 1) / c if c > 0 else 0.0))
+    want = original(pd.DataFrame(each, columns=["bucket", "n", "p1", "p2"]), len(one))
+    for cells, weights in learned:
+        assert cells.n.sum() == total
+        assert np.abs(weights - want).max() < 0.01
+    assert np.allclose(learned[0][1], learned[1][1], atol=1e-9)
+
+
 def test_weights_maximise_the_deleted_likelihood():
     r = np.random.default_rng(5)
     n = 400
