@@ -151,33 +151,21 @@ def j3_preprocessor(spark, sf_dir):
 
 # --- experiment matrix -------------------------------------------------------------
 
-COMPACT_GRIDS = {
-    "logistic_regression": [{"C": 0.1, "penalty": "l2"}, {"C": 1.0, "penalty": "l2"}],
-    "decision_tree": [{"max_depth": 5, "criterion": "gini", "min_samples_leaf": 1}],
-    "knn": [{"n_neighbors": 5, "weights": "uniform", "p": 2}],
-}
-
-
-def _matrix(spark, sf_dir, versions=("unscaled", "standard_scaled"), models=tuple(COMPACT_GRIDS), methods=("none", "class_weight", "smote")):
-    frames = _versions(spark, sf_dir, list(versions))
-    return X.run_experiments(
-        spark, frames, FEAT, "label", "id",
-        models=list(models), methods=list(methods), grids=COMPACT_GRIDS, n_splits=3, parallelism=4,
-    )
+def _matrix(spark, sf_dir):
+    return X.run_experiments(spark, _versions(spark, sf_dir, X.DATASET_VERSIONS), FEAT, "label", "id", parallelism=4)
 
 
 @query("k18_experiment_matrix")
 def k18_experiment_matrix(spark, sf_dir):
-    """2 versions x 3 models x 3 imbalance methods minus k-NN x weights (16 runs)."""
+    """3 versions x 5 models x 4 imbalance methods minus k-NN x weights (54 runs), whole search spaces, 5 folds."""
     res, _ = _matrix(spark, sf_dir)
     return X.comparison_table(res)
 
 
 @query("k19_best_model")
 def k19_best_model(spark, sf_dir):
-    """Best run of a matrix (standard-scaled; LR and tree; none / class weights),
-    its model saved to the shared checkpoint folder."""
-    res, fitted = _matrix(spark, sf_dir, ["standard_scaled"], ["logistic_regression", "decision_tree"], ["none", "class_weight"])
+    """Best run of the whole matrix, its model saved to the shared checkpoint folder."""
+    res, fitted = _matrix(spark, sf_dir)
     path = os.path.join(ensure_checkpoint_dir(spark), f"best-model-{uuid.uuid4().hex[:8]}")
     return X.best_model(res, fitted, path)
 
