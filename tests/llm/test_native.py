@@ -141,3 +141,10 @@ def test_event_log(spark):
     row = chat_format.format_events(events).first()
     assert row.formatted == "<|im_start|>user<|im_sep|>Bye!<|im_end|>\n<|im_start|>assistant<|im_sep|>final<|im_end|>\n"
     assert [p.text for p in row.pieces if p.loss] == ["final"]
+
+
+def test_letters_whose_small_form_depends_on_what_follows(spark):
+    items = spark.createDataFrame([(1, "ΟΔΟΣ"), (2, "οδος"), (3, "ΟΔΟΣ Α")], "item_id long, text string")
+    texts = ["x ΟΔΟΣ.Α y", "ΟΔΟΣ", "ΟΔΟΣ:Α", "οδος", "ΟΔΟΣΑ", "Οδος"]
+    got = decontamination.decontaminate(frame(spark, list(enumerate(texts))), items)
+    assert {r.doc_id: r.n_items for r in got.collect()} == {0: 2, 1: 1, 2: 2, 3: 1, 4: 0, 5: 0}
