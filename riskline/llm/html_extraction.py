@@ -30,6 +30,8 @@ _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 # HTML element names by their part in a page.
 RAW = {"script", "style", "noscript", "template", "iframe", "noembed", "noframes", "xmp", "title", "textarea", "svg", "math", "object", "canvas", "audio", "video"}
+#: Those of them that HTML reads as text up to their end tag, or to the end of the page.
+TEXT_ONLY = {"script", "style", "iframe", "noembed", "noframes", "xmp", "title", "textarea"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr", "param"}
 BLOCK = {
     "address", "article", "aside", "blockquote", "body", "button", "caption", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt",
@@ -92,6 +94,7 @@ def blocks_of(html: str) -> tuple[list[Block], bool]:
     out: list[Block] = []
     run: list[str] = []
     linked, number, has_article, at, end = 0, 0, False, 0, len(html)
+    endless: set[str] = set()  # elements without any further end tag, of which only the start tag is passed over
 
     def add(text: str) -> None:
         nonlocal linked
@@ -146,8 +149,12 @@ def blocks_of(html: str) -> tuple[list[Block], bool]:
                     break
             continue
         if tag in RAW:
-            stop = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(html, at) if not m[3].rstrip().endswith("/") else None
-            at = stop.end() if stop else (at if m[3].rstrip().endswith("/") else end)
+            if tag not in endless and not m[3].rstrip().endswith("/"):
+                stop = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(html, at)
+                if stop is None and tag not in TEXT_ONLY:
+                    endless.add(tag)
+                else:
+                    at = stop.end() if stop else end
             run.append(" ")
             continue
         if tag == "br":
@@ -184,7 +191,15 @@ def blocks_of(html: str) -> tuple[list[Block], bool]:
     return out, has_article
 
 
-def costs(b: Block, has_article: bool) -> tuple[int, int]:
+def outside_cost(blocks: list[Block]) -> int:
+    """What speaks against a block outside the article: less, the more of the page's unmarked text (but links) is there,
+    as the element then holds teasers or only a part of the text."""
+    inside = sum(len(b.text) - b.linked for b in blocks if not b.marked and b.article)
+    outside = sum(len(b.text) - b.linked for b in blocks if not b.marked and not b.article)
+    return OUTSIDE * inside // outside if outside > inside >= 0 else OUTSIDE
+
+
+def costs(b: Block, has_article: bool, outside: int = OUTSIDE) -> tuple[int, int]:
     """(evidence for content, evidence for boilerplate)."""
     words = b.text.count(" ") + 1
     share = min(1.0, b.linked / max(1, len(b.text)))
@@ -195,9 +210,10 @@ def costs(b: Block, has_article: bool) -> tuple[int, int]:
         content += 4
     if b.marked:
         return content, other + MARKED
-    if has_article:
-        return (content + INSIDE, other) if b.article else (content, other + OUTSIDE)
-    return content, other + int(20 * share) + (3 if words < 5 else 0)
+    if has_article and b.article:
+        return content + INSIDE, other
+    alone = int(20 * share) + (3 if words < 5 else 0)
+    return content, other + (max(outside, alone) if has_article else alone)
 
 
 def minimum_cut(net: list[int], edges: list[tuple[int, int, int]]) -> list[bool]:
@@ -248,9 +264,9 @@ def main_text(html: str) -> str:
     found, has_article = blocks_of(html)
     if not found:
         return ""
-    net, edges, last = [], [], {}
+    net, edges, last, outside = [], [], {}, outside_cost(found)
     for i, b in enumerate(found):
-        content, other = costs(b, has_article)
+        content, other = costs(b, has_article, outside)
         net.append(content - other)
         if i:
             edges.append((i - 1, i, NEXT if found[i - 1].marked == b.marked else 1))

@@ -95,6 +95,22 @@ def test_main_text(html, text):
         assert main_text(html) == text
 
 
+def test_text_outside_the_article():
+    body = [f"{prose(30 + i, 40)}." for i in range(6)]
+    page = "<article><p>A short lead of the text.</p></article><div>" + "".join(f"<p>{x}</p>" for x in body) + "</div><footer>Imprint of it all</footer>"
+    assert main_text(page).split("\n") == ["A short lead of the text.", *body]
+    whole = "<article>" + "".join(f"<p>{x}</p>" for x in body) + "</article><div><p>" + prose(50, 40) + ".</p></div>"
+    assert main_text(whole).split("\n") == body
+
+
+@pytest.mark.parametrize("tag", ["noscript", "svg", "math", "object", "canvas", "audio", "video", "template"])
+def test_elements_that_are_never_closed(tag):
+    assert main_text(f"<p><{tag} class=x></p><article><p>The text of the page.</p></article>") == "The text of the page."
+    assert main_text(f"<article><p>The text.</p><{tag}>no</{tag}><{tag}><p>More of the text.</p></article>") == "The text.\nMore of the text."
+    assert main_text("<article><p>The text.</p><script>var x = '<p>no, it is cut off") == "The text."
+    assert main_text(f"<article><p>Much of it.</p>{f'<{tag}>' * 20000}</article>") == "Much of it."
+
+
 def test_pages_table_and_long_pages(spark):
     long = "<article>" + "".join(f"<p>{prose(i, 12)}.</p>" for i in range(6000)) + "</article>"
     rows = [(1, "u", None), (1, "u", ""), (None, None, "<article><p>é text here</p></article>"), (2, "v", long), (3, "w", "<div>" * 3000 + "deep text of it." + "</div>" * 3000)]
