@@ -60,3 +60,22 @@ def test_oracle_agreement_small(spark, name):
         return sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=repr)
 
     assert canon(sdf.columns, srows) == canon(dcols, drows)
+
+
+def test_entry_without_the_optional_parts(tmp_path):
+    """The entry imports, and keeps every other query, in a tree without the llm folders; with or without the pipeline file."""
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(E.__file__).parent
+    shutil.copytree(root / "riskline", tmp_path / "riskline", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as E; print(len(E.queries()), any(q.startswith('op') or q == 'pipeline' for q in E.queries()))"
+    rest = sum(not (q.startswith("op") or q == "pipeline") for q in E.queries())
+    for with_pipeline in (False, True):
+        if with_pipeline and (root / "corpus_pipeline.py").exists():
+            shutil.copy(root / "corpus_pipeline.py", tmp_path)
+        out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True).stdout
+        assert out.split() == [str(rest), "False"]
