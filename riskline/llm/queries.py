@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskline.llm import chat_format, decontamination, quality_rules, warc
+from riskline.llm import chat_format, decontamination, quality_rules, spelling_variants, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -134,3 +134,12 @@ r AS (SELECT a AS doc_id, a AS root FROM l UNION SELECT l.b, r.root FROM r JOIN
 SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.c, w.doc_id) AS component_id
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(root) AS c FROM r GROUP BY 1) m USING (doc_id)
 """
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the documents one edit apart, and the frequent form of each."""
+    return spelling_variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_spelling_variants"] = spelling_variants.ORACLE_SQL
