@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskline.llm import chat_format, decontamination, quality_rules, spelling_variants, warc
+from riskline.llm import chat_format, decontamination, embedding_dedup, quality_rules, spelling_variants, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -136,6 +136,23 @@ FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(root) AS c FROM
 """
 
 
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 32 whitened components of every embedding."""
+    from riskline.llm.whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings linked at a cosine of 0.9 or more, by randomly rotated binary codes."""
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op12_embedding_near_dedup"] = embedding_dedup.ORACLE_SQL
+
+
 @query
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of the documents one edit apart, and the frequent form of each."""
