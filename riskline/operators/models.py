@@ -45,7 +45,7 @@ SEARCH_SPACES = {
     "knn": {"search_type": "grid", "params": {"n_neighbors": [3, 5, 7], "weights": ["uniform", "distance"], "p": [2]}},
     "decision_tree": {
         "search_type": "grid",
-        "params": {"max_depth": [None, 10], "min_samples_leaf": [1], "criterion": ["gini", "entropy"]},
+        "params": {"max_depth": [None, 10], "min_samples_split": [2, 5], "min_samples_leaf": [1], "criterion": ["gini", "entropy"]},
     },
     "random_forest": {
         "search_type": "random",
@@ -53,6 +53,7 @@ SEARCH_SPACES = {
         "params": {
             "n_estimators": [200, 300],
             "max_depth": [None, 10],
+            "min_samples_split": [2, 5],
             "min_samples_leaf": [1, 2],
             "max_features": ["sqrt"],
         },
@@ -124,7 +125,8 @@ def build_estimator(model_name: str, params: Mapping, total_weight: float, weigh
 
     ``C`` maps to ``regParam = 1 / (C * total_weight)`` (the penalised
     objectives agree up to a constant factor); depth None maps to the MLlib
-    maximum. Splits have no minimum size of their own in MLlib, so none is searched."""
+    maximum. MLlib has no minimum split size: ``min_samples_split`` is honoured by ``tree_batch`` only, and a search over
+    training sets beyond its bound takes each setting without it once."""
     common = {"featuresCol": FEATURES, "labelCol": label}
     if weight_col:
         common["weightCol"] = weight_col
@@ -327,15 +329,59 @@ def tune_model(
     seed: int = 42,
     parallelism: int = 4,
 ) -> TuningResult:
-    """K8/K9: mean fold ROC AUC per combination; best (ties -> first in grid
-    order) is refitted on the whole training frame.
+    """K8/K9: mean fold ROC AUC per combination; best (ties -> first in grid order), fitted on the whole training frame.
 
-    The (combination, fold) fits are submitted from a driver thread pool
-    (as ``CrossValidator(parallelism=...)`` does) and all validation
-    predictions are scored in ONE grouped exact-AUC job."""
-    from concurrent.futures import ThreadPoolExecutor
+    All combinations and folds are fitted together from one prepared table (``model_batch``): at most a few dozen scans
+    for a linear model, one neighbour join for k-NN, one growth per fold and tree setting. Trees on more
+    than ``tree_batch.IN_MEMORY_ROWS`` rows are MLlib fits, one per combination and fold."""
+    from riskline.operators import model_batch as B
 
     grid = list(grid) if grid is not None else candidates(model_name, seed=seed)
+    empty = train.limit(0)
+    tables = B.prepare_tables({"train": (train, empty)}, features, label, id_col, imbalance.startswith("smote"), n_splits, seed)
+    from riskline.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(train.sparkSession)
+    p = B.prepared(*(t.checkpoint(eager=True) for t in tables), features, ["train"], n_splits)
+    if model_name not in B.LINEAR and model_name != "knn" and not B.fits_in_memory(p):
+        return _tune_by_fits(model_name, train, features, label, id_col, imbalance, without_split_sizes(grid), n_splits, seed, parallelism)
+    keys = {}
+    for gi, params in enumerate(grid):
+        for task in range(n_splits + 1):
+            keys[(gi, task)] = B.unit_of(p, model_name, p.group("train", imbalance.startswith("smote"), task), imbalance, params, seed)
+    numbers = {u: k for k, u in enumerate(dict.fromkeys(keys.values()))}
+    scored, payloads = B.fit_and_score(p, model_name, {k: u for u, k in numbers.items()})
+    aucs = {r["unit"]: r["roc_auc"] for r in M.roc_auc(scored, "y", "score", by=["unit"]).collect()}
+    nan = float("nan")
+    mean = lambda v: sum(nan if x is None else x for x in v) / len(v)
+    scores = [(dict(params), mean([aucs.get(numbers[keys[(gi, f)]]) for f in range(n_splits)])) for gi, params in enumerate(grid)]
+    # a candidate without a score (a fold of one class) is ranked last
+    best_i = max(range(len(scores)), key=lambda i: (scores[i][1] == scores[i][1], scores[i][1], -i))
+    unit = numbers[keys[(best_i, n_splits)]]
+    parts = [bytes(r["payload"]) for r in payloads.where(F.col("unit") == unit).orderBy("part").collect()]
+    donors = None
+    if model_name == "knn":
+        g = p.group("train", imbalance.startswith("smote"), n_splits)
+        rows = p.train.where(F.col("g") == g)
+        donors = rows.select(F.col("id").alias(id_col), *[F.col("x")[i].alias(c) for i, c in enumerate(features)], F.col("y").alias(label))
+    model = B.BatchModel(model_name, dict(grid[best_i]), list(features), label, id_col, parts, donors)
+    return TuningResult(scores[best_i][0], scores[best_i][1], scores, model)
+
+
+def without_split_sizes(grid: Sequence[Mapping]) -> list[dict]:
+    """The grid's settings without minimum split sizes, each once."""
+    out: list[dict] = []
+    for params in grid:
+        rest = {k: v for k, v in params.items() if k != "min_samples_split"}
+        if rest not in out:
+            out.append(rest)
+    return out
+
+
+def _tune_by_fits(model_name, train, features, label, id_col, imbalance, grid, n_splits, seed, parallelism) -> TuningResult:
+    """The same search by one MLlib fit per combination and fold, submitted from a driver thread pool."""
+    from concurrent.futures import ThreadPoolExecutor
+
     folded = SP.stratified_folds(train, label, [id_col], n_splits, seed).persist(StorageLevel.MEMORY_AND_DISK)
     folded.count()
     try:
@@ -381,15 +427,16 @@ def rfe(df: DataFrame, features: Sequence[str], label: str, n_select: int, C: fl
     """Recursive feature elimination with L2 logistic regression: drop the
     smallest squared coefficient one at a time. ``feature, selected, ranking``
     (kept features rank 1, the last one dropped 2, ...)."""
+    from riskline.operators import linear_batch as L
+
     remaining = list(features)
     dropped: list[str] = []
     base = df.dropna(subset=[*features, label]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n = base.count()
         while len(remaining) > n_select:
-            inp = VectorAssembler(inputCols=remaining, outputCol=FEATURES).transform(base)
-            est = build_estimator("logistic_regression", {"C": C, "penalty": "l2"}, float(n), None, label)
-            coef = est.fit(inp).coefficients.toArray()
+            x = F.array(*[F.col(c).cast("double") for c in remaining]).alias("x")
+            rows = base.select(F.lit(0).alias("g"), F.col(label).cast("double").alias("y"), x)
+            coef = L.fit_linear(rows, [L.Fit(0, C=C)])[0][0]
             worst = min(range(len(remaining)), key=lambda i: (coef[i] ** 2, i))
             dropped.append(remaining.pop(worst))
     finally:
@@ -431,8 +478,14 @@ def feature_selection(df: DataFrame, features: Sequence[str], label: str, n_sele
 # ---------------------------------------------------------------------------
 
 
-def save_model(fm: FittedModel, path: str) -> str:
-    """A4: MLlib models through their writer; a k-NN model is its training table."""
+def save_model(fm, path: str) -> str:
+    """A4: MLlib models through their writer; a k-NN model is its training table; a batch model is its payload's table."""
+    from pyspark.sql import SparkSession
+
+    from riskline.operators import model_batch as B
+
+    if isinstance(fm, B.BatchModel):
+        return B.save_batch_model(SparkSession.getActiveSession(), fm, path)
     meta = {"model_name": fm.model_name, "params": fm.params, "features": fm.features, "label": fm.label, "id_col": fm.id_col, "extra": fm.extra}
     spark = None
     if fm.model_name == "knn":
@@ -440,15 +493,17 @@ def save_model(fm: FittedModel, path: str) -> str:
         spark = fm.model.sparkSession
     else:
         PipelineModel(stages=[fm.model]).write().overwrite().save(f"{path}/model")
-        from pyspark.sql import SparkSession
-
         spark = SparkSession.getActiveSession()
     spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite").json(f"{path}/meta")
     return path
 
 
-def load_model(spark, path: str) -> FittedModel:
+def load_model(spark, path: str):
     meta = json.loads(spark.read.json(f"{path}/meta").first()["meta"])
+    if meta.get("kind") == "batch":
+        from riskline.operators import model_batch as B
+
+        return B.load_batch_model(spark, path, meta)
     fm = FittedModel(meta["model_name"], meta["params"], meta["features"], meta["label"], meta["id_col"], extra=meta.get("extra", {}))
     if fm.model_name == "knn":
         fm.model = spark.read.parquet(f"{path}/train")

@@ -109,18 +109,26 @@ def knn_join(
     block_rows: int = BLOCK_ROWS,
     counts: tuple[int, int] | None = None,
     payload: Sequence[str] = (),
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """``qid, did, dist, rank, *payload`` for the ``k`` nearest donors of every query
     (fewer when fewer donors have a defined distance). Ids may be of any type that has an order;
-    ``payload`` columns of the donors (as doubles) travel through the kernel, so no join by donor follows."""
-    coords, payload = list(coords), list(payload)
-    nq, nd = counts if counts else (queries.count(), donors.count())
-    qb, db = block_counts(nq, nd, queries.sparkSession.sparkContext.defaultParallelism, block_rows)
+    ``payload`` columns of the donors (as doubles) travel through the kernel, so no join by donor follows.
+    ``within``: integer columns of both sides (they come first in the result); only rows that agree in them meet."""
+    coords, payload, within = list(coords), list(payload), list(within)
+    if counts:
+        nq, nd = counts
+    else:  # rows of the largest group
+        nq, nd = (x.groupBy(*within).agg(F.count("*").alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0] if within else x.count() for x in (queries, donors))
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    qb, db = block_counts(nq, nd, 1 if within else cores, block_rows)
     q = queries.select(
+        *[F.col(w).alias(f"qw{i}") for i, w in enumerate(within)],
         F.col(query_id).alias("qid"),
         *[F.col(c).cast("double").alias(f"q{i}") for i, c in enumerate(coords)],
     ).withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(qb)).cast("int"))
     d = donors.select(
+        *[F.col(w).alias(f"dw{i}") for i, w in enumerate(within)],
         F.col(donor_id).alias("did"),
         *[F.col(c).cast("double").alias(f"d{i}") for i, c in enumerate(coords)],
         *[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(payload)],
@@ -131,6 +139,7 @@ def knn_join(
     values = [f"v{i}" for i in range(len(payload))]
     schema = T.StructType(
         [
+            *[T.StructField(w, queries.schema[w].dataType) for w in within],
             T.StructField("qid", q.schema["qid"].dataType),
             T.StructField("did", d.schema["did"].dataType),
             T.StructField("dist", T.DoubleType()),
@@ -145,19 +154,20 @@ def knn_join(
         Q = qpdf[[f"q{i}" for i in range(p)]].to_numpy(dtype=np.float64, na_value=np.nan)
         D = dpdf[[f"d{i}" for i in range(p)]].to_numpy(dtype=np.float64, na_value=np.nan)
         a, b, c = _local_topk(qpdf["qid"].to_numpy(), Q, dpdf["did"].to_numpy(), D, k, exclude_self)
-        met = {"qid": qpdf["qid"].to_numpy()[a], "did": dpdf["did"].to_numpy()[b], "dist": c, "part": int(dpdf["db"].iloc[0])}
+        met = {w: qpdf[f"qw{i}"].iloc[0] for i, w in enumerate(within)} | {"qid": qpdf["qid"].to_numpy()[a], "did": dpdf["did"].to_numpy()[b], "dist": c, "part": int(dpdf["db"].iloc[0])}
         return pd.DataFrame(met | {v: dpdf[v].to_numpy()[b] for v in values})
 
-    local = q.groupBy("qb", "db").cogroup(d.groupBy("qb", "db")).applyInPandas(kernel, schema)
+    sides = [x.groupBy(*[f"{n}w{i}" for i in range(len(within))], "qb", "db") for n, x in (("q", q), ("d", d))]
+    local = sides[0].cogroup(sides[1]).applyInPandas(kernel, schema)
     best = F.slice(F.sort_array(F.collect_list(F.struct("dist", "did", *values))), 1, k)
     # At most MERGE_BLOCKS * k candidates of a query meet at once, whatever the number of donor blocks.
     while db > MERGE_BLOCKS:
         db = math.ceil(db / MERGE_BLOCKS)
         local = local.withColumn("part", F.floor(F.col("part") / MERGE_BLOCKS).cast("int"))
-        local = local.groupBy("qid", "part").agg(best.alias("x")).select("qid", "part", F.explode("x").alias("x")).select("qid", "part", "x.*")
-    merged = local.groupBy("qid").agg(best.alias("x")).select("qid", F.posexplode("x").alias("rank", "x"))
+        local = local.groupBy(*within, "qid", "part").agg(best.alias("x")).select(*within, "qid", "part", F.explode("x").alias("x")).select(*within, "qid", "part", "x.*")
+    merged = local.groupBy(*within, "qid").agg(best.alias("x")).select(*within, "qid", F.posexplode("x").alias("rank", "x"))
     named = [F.col(f"x.{v}").alias(c) for v, c in zip(values, payload)]
-    return merged.select("qid", "x.did", "x.dist", (F.col("rank") + 1).alias("rank"), *named)
+    return merged.select(*within, "qid", "x.did", "x.dist", (F.col("rank") + 1).alias("rank"), *named)
 
 
 # ---------------------------------------------------------------------------
@@ -298,3 +308,53 @@ def smote(
         *([F.col("qid").alias("base_id"), F.col("_x.did").alias("neighbour_id"), F.col("_u").alias("gap")] if trace else []),
     )
     return base.unionByName(syn)
+
+
+def smote_within(rows: DataFrame, within: Sequence[str], id_col: str, features: Sequence[str], label: str, k: int = 5, seed: int = 42) -> DataFrame:
+    """I4 for many training sets at once: the synthetic rows (``within, id, features, label``) that bring the minority of
+    every ``within`` group to parity, as ``smote`` makes them. Groups are training sets of one plan (their counts reach
+    the driver); the neighbour join and the ranking run over the rows of all of them."""
+    from riskline.operators.sampling import rank_within
+
+    within, features = list(within), list(features)
+    spark = rows.sparkSession
+    counts: dict[tuple, dict] = {}
+    for r in rows.groupBy(*within, label).count().collect():
+        counts.setdefault(tuple(r[w] for w in within), {})[r[label]] = r["count"]
+    wanted = []
+    for g, c in counts.items():
+        minority = min(c, key=lambda v: (c[v], v))
+        new = max((n for v, n in c.items() if v != minority), default=0) - c[minority]
+        if new > 0 and c[minority] > 1:
+            wanted.append((*g, minority, new))
+    kinds = [rows.schema[w] for w in within]
+    schema = T.StructType([*kinds, T.StructField("_minority", rows.schema[label].dataType), T.StructField("_new", T.LongType())])
+    plan = F.broadcast(spark.createDataFrame(wanted, schema))
+    points = [f"_n_{c}" for c in features]
+    mins = rows.join(plan, within).where(F.col(label) == F.col("_minority"))
+    donors = mins.withColumns({n: F.col(c).cast("double") for n, c in zip(points, features)})
+    nn = knn_join(mins, donors, id_col, id_col, features, k, exclude_self=True, payload=points, within=within)
+    near = nn.groupBy(*within, "qid").agg(F.sort_array(F.collect_list(F.struct("rank", "did", *points))).alias("_nn"))
+    own = mins.select(*within, F.col(id_col).alias("qid"), *[F.col(c).cast("double").alias(f"_b_{c}") for c in features])
+    ensure_checkpoint_dir(spark)
+    with_nn = own.join(near, [*within, "qid"]).checkpoint(eager=True)
+    bases = {tuple(r[w] for w in within): r["count"] for r in with_nn.groupBy(*within).count().collect()}
+    wanted = [w for w in wanted if bases.get(w[: len(within)])]
+    first, made = 0, []
+    for w in wanted:
+        made.append((len(made), *w, first, bases[w[: len(within)]]))
+        first += w[-1]
+    whole = T.StructType([T.StructField("_g", T.IntegerType()), *schema.fields, T.StructField("_first", T.LongType()), T.StructField("_base", T.LongType())])
+    plan = F.broadcast(spark.createDataFrame(made, whole))
+    ranked = rank_within(with_nn, within, F.xxhash64("qid", F.lit(seed)), ["qid"]).withColumn("_idx", F.col("_rank") - 1)
+    group = F.lit(-1)
+    for m in made:
+        group = F.when(F.col("id") >= m[-2], m[0]).otherwise(group)
+    s = spark.range(first).withColumn("_g", group).join(plan, "_g").withColumn("_s", F.col("id") - F.col("_first")).drop("id")
+    h1, h2, h3 = (F.xxhash64(F.col("_s"), F.lit(seed), F.lit(i)) for i in (1, 2, 3))
+    s = s.select(*within, "_minority", "_s", F.pmod(h1, "_base").alias("_idx"), h2.alias("_h2"), (F.pmod(h3, F.lit(1 << 30)) / float(1 << 30)).alias("_u"))
+    syn = s.join(ranked, [*within, "_idx"]).withColumn("_x", F.element_at("_nn", (F.pmod("_h2", F.size("_nn")) + 1).cast("int")))
+    point = [(F.col(f"_b_{c}") + F.col("_u") * (F.col(f"_x._n_{c}") - F.col(f"_b_{c}"))).alias(c) for c in features]
+    ids = rows.schema[id_col].dataType
+    new_id = -(F.col("_s") + 1) if isinstance(ids, T.NumericType) else F.concat(F.lit("synthetic-"), F.col("_s").cast("string"))
+    return syn.select(*within, new_id.cast(ids).alias(id_col), *point, F.col("_minority").alias(label))

@@ -13,6 +13,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from riskline.operators import linear_batch as LB
 from riskline.operators import metrics as M
 from riskline.operators import missing as MS
 from riskline.operators import models as MD
@@ -101,6 +102,64 @@ def k8_tune_grid_search(spark, sf_dir):
     return spark.createDataFrame(rows, "params string, cv_roc_auc double, best boolean")
 
 
+_C_GRID = (0.1, 1.0, 10.0)
+_BALANCED = {"none": ("1.0", "1.0"), "balanced": ("n / (2.0 * n0)", "n / (2.0 * n1)")}
+
+# Newton's method on two coefficients, written out: 20 steps for each C and weighting
+_NEWTON_SQL = with_fixtures(
+    "WITH RECURSIVE d AS (SELECT n_orders / 10.0 AS x, label::DOUBLE AS y FROM cohort WHERE n_orders IS NOT NULL), "
+    "t AS (SELECT count(*)::DOUBLE AS n, count_if(y = 0)::DOUBLE AS n0, count_if(y = 1)::DOUBLE AS n1 FROM d), "
+    "u AS (" + " UNION ALL ".join(f"SELECT '{k}' AS weighting, {a} AS w0, {b} AS w1 FROM t" for k, (a, b) in _BALANCED.items()) + "), "
+    "it AS (SELECT weighting, w0, w1, c, 0 AS k, 0.0::DOUBLE AS a, 0.0::DOUBLE AS b FROM u, (VALUES "
+    + ", ".join(f"({c}::DOUBLE)" for c in _C_GRID)
+    + ") v(c) UNION ALL SELECT weighting, w0, w1, c, k + 1, a - (hbb * ga - hab * gb) / (haa * hbb - hab * hab), "
+    "b - (haa * gb - hab * ga) / (haa * hbb - hab * hab) FROM (SELECT weighting, w0, w1, c, k, a, b, "
+    "a + c * sum(w * x * (p - y)) AS ga, b + c * sum(w * (p - y)) AS gb, 1 + c * sum(w * p * (1 - p) * x * x) AS haa, "
+    "c * sum(w * p * (1 - p) * x) AS hab, 1 + c * sum(w * p * (1 - p)) AS hbb FROM (SELECT it.*, x, y, 1 / (1 + exp(-(a * x + b))) AS p, "
+    "CASE WHEN y = 1 THEN w1 ELSE w0 END AS w FROM it, d WHERE k < 20) GROUP BY weighting, w0, w1, c, k, a, b)) "
+    "SELECT weighting, c, round(a, 6) AS slope, round(b, 6) AS intercept FROM it WHERE k = 20"
+)
+
+
+@query("k1_newton_logistic", _NEWTON_SQL)
+def k1_newton_logistic(spark, sf_dir):
+    """l2 logistic regression (the intercept is penalised too) of the label on the number of orders, for three C
+    and both weightings, all fitted in shared scans."""
+    df = FX.cohort(spark, sf_dir).where("n_orders is not null")
+    rows = df.select(F.lit(0).alias("g"), F.col("label").cast("double").alias("y"), F.array(F.col("n_orders") / 10.0).alias("x"))
+    n0, n1 = rows.agg(F.count_if("y = 0"), F.count_if("y = 1")).first()
+    weights = {"none": (1.0, 1.0), "balanced": ((n0 + n1) / (2.0 * n0), (n0 + n1) / (2.0 * n1))}
+    plan = [(w, c) for w in weights for c in _C_GRID]
+    found, _ = LB.fit_linear(rows, [LB.Fit(0, C=c, weights=weights[w]) for w, c in plan])
+    return spark.createDataFrame([(w, c, float(b[0]), float(b[1])) for (w, c), b in zip(plan, found)], "weighting string, c double, slope double, intercept double")
+
+
+_TERMS = [*FEAT, "intercept"]
+
+
+@query(
+    "k8_grid_optimality",
+    "SELECT penalty, c::DOUBLE AS c, fold, term, 0.0::DOUBLE AS gradient, true AS few_scans FROM (VALUES ('l1'), ('l2')) p(penalty), (VALUES (0.1), (1), (10)) q(c), "
+    f"range(5) r(fold), (VALUES {', '.join(f'({t!r})' for t in _TERMS)}) t(term)",
+)
+def k8_grid_optimality(spark, sf_dir):
+    """K8/K1: the 6 x 5 grid of logistic regressions in at most 15 scans; at each returned optimum the gradient of the whole
+    objective (l1: its distance from the subgradient), recomputed by a plain aggregate, is zero."""
+    tr, _ = _versions(spark, sf_dir, ["standard_scaled"])["standard_scaled"]
+    ensure_checkpoint_dir(spark)
+    folded = SP.stratified_folds(tr, "label", ["id"], 5, 42).checkpoint(eager=True)
+    each = F.explode(F.filter(F.sequence(F.lit(0), F.lit(4)), lambda t: t != F.col("fold"))).cast("int").alias("g")
+    rows = folded.select(each, F.col("label").cast("double").alias("y"), F.array(*[F.col(c).cast("double") for c in FEAT]).alias("x"))
+    fits = [LB.Fit(f, penalty=p, C=c) for p in ("l1", "l2") for c in _C_GRID for f in range(5)]
+    found, scans = LB.fit_linear(rows, fits)
+    out = None
+    for fit, b in zip(fits, found):
+        one = LB.optimality(fit, FEAT, "label", None, [float(v) for v in b], folded.where(F.col("fold") != fit.group))
+        one = one.select(F.lit(fit.penalty).alias("penalty"), F.lit(fit.C).alias("c"), F.lit(fit.group).cast("long").alias("fold"), "term", "gradient")
+        out = one if out is None else out.unionByName(one)
+    return out.withColumn("few_scans", F.lit(scans <= 15))
+
+
 @query("k9_tune_random_search")
 def k9_tune_random_search(spark, sf_dir):
     """K9: 4 combinations drawn from the decision-tree grid, 5-fold CV."""
@@ -152,7 +211,7 @@ def j3_preprocessor(spark, sf_dir):
 # --- experiment matrix -------------------------------------------------------------
 
 def _matrix(spark, sf_dir):
-    return X.run_experiments(spark, _versions(spark, sf_dir, X.DATASET_VERSIONS), FEAT, "label", "id", parallelism=4)
+    return X.run_experiments(spark, _versions(spark, sf_dir, X.DATASET_VERSIONS), FEAT, "label", "id")
 
 
 @query("k18_experiment_matrix")
