@@ -103,11 +103,11 @@ def k8_tune_grid_search(spark, sf_dir):
 
 
 _C_GRID = (0.1, 1.0, 10.0)
-_BALANCED = {"none": ("1.0", "1.0"), "balanced": ("n / (2.0 * n0)", "n / (2.0 * n1)")}
+_BALANCED = {"none": ("1.0::DOUBLE", "1.0::DOUBLE"), "balanced": ("n / (2.0 * n0)", "n / (2.0 * n1)")}
 
 # Newton's method on two coefficients, written out: 20 steps for each C and weighting
 _NEWTON_SQL = with_fixtures(
-    "WITH RECURSIVE d AS (SELECT n_orders / 10.0 AS x, label::DOUBLE AS y FROM cohort WHERE n_orders IS NOT NULL), "
+    ", d AS (SELECT n_orders / 10.0 AS x, label::DOUBLE AS y FROM cohort WHERE n_orders IS NOT NULL), "
     "t AS (SELECT count(*)::DOUBLE AS n, count_if(y = 0)::DOUBLE AS n0, count_if(y = 1)::DOUBLE AS n1 FROM d), "
     "u AS (" + " UNION ALL ".join(f"SELECT '{k}' AS weighting, {a} AS w0, {b} AS w1 FROM t" for k, (a, b) in _BALANCED.items()) + "), "
     "it AS (SELECT weighting, w0, w1, c, 0 AS k, 0.0::DOUBLE AS a, 0.0::DOUBLE AS b FROM u, (VALUES "
@@ -118,7 +118,7 @@ _NEWTON_SQL = with_fixtures(
     "c * sum(w * p * (1 - p) * x) AS hab, 1 + c * sum(w * p * (1 - p)) AS hbb FROM (SELECT it.*, x, y, 1 / (1 + exp(-(a * x + b))) AS p, "
     "CASE WHEN y = 1 THEN w1 ELSE w0 END AS w FROM it, d WHERE k < 20) GROUP BY weighting, w0, w1, c, k, a, b)) "
     "SELECT weighting, c, round(a, 6) AS slope, round(b, 6) AS intercept FROM it WHERE k = 20"
-)
+).replace("WITH bulk", "WITH RECURSIVE bulk", 1)
 
 
 @query("k1_newton_logistic", _NEWTON_SQL)
@@ -127,7 +127,7 @@ def k1_newton_logistic(spark, sf_dir):
     and both weightings, all fitted in shared scans."""
     df = FX.cohort(spark, sf_dir).where("n_orders is not null")
     rows = df.select(F.lit(0).alias("g"), F.col("label").cast("double").alias("y"), F.array(F.col("n_orders") / 10.0).alias("x"))
-    n0, n1 = rows.agg(F.count_if("y = 0"), F.count_if("y = 1")).first()
+    n0, n1 = rows.agg(F.count_if(F.col("y") == 0), F.count_if(F.col("y") == 1)).first()
     weights = {"none": (1.0, 1.0), "balanced": ((n0 + n1) / (2.0 * n0), (n0 + n1) / (2.0 * n1))}
     plan = [(w, c) for w in weights for c in _C_GRID]
     found, _ = LB.fit_linear(rows, [LB.Fit(0, C=c, weights=weights[w]) for w, c in plan])
@@ -148,7 +148,7 @@ def k8_grid_optimality(spark, sf_dir):
     tr, _ = _versions(spark, sf_dir, ["standard_scaled"])["standard_scaled"]
     ensure_checkpoint_dir(spark)
     folded = SP.stratified_folds(tr, "label", ["id"], 5, 42).checkpoint(eager=True)
-    each = F.explode(F.filter(F.sequence(F.lit(0), F.lit(4)), lambda t: t != F.col("fold"))).cast("int").alias("g")
+    each = F.explode(F.filter(F.sequence(F.lit(0), F.lit(4)), lambda t: t != F.col("fold"))).alias("g")
     rows = folded.select(each, F.col("label").cast("double").alias("y"), F.array(*[F.col(c).cast("double") for c in FEAT]).alias("x"))
     fits = [LB.Fit(f, penalty=p, C=c) for p in ("l1", "l2") for c in _C_GRID for f in range(5)]
     found, scans = LB.fit_linear(rows, fits)

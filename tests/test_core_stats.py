@@ -226,3 +226,45 @@ def test_chi_square_tail_at_large_freedom(x, dof, p):
     assert chi2_sf(x, dof) == pytest.approx(p, rel=1e-9)
     if dof:
         assert chi2_sf(1201.0, 1199) == pytest.approx(chi2_sf(1200.9999999, 1199), rel=1e-6)
+
+
+def test_quantiles_of_many_shapes_are_exact(spark, monkeypatch):
+    """Brackets from sketches, counted and read: exact for heavy ties, infinities, NULL and NaN, missed brackets and ranges that
+    hold too many rows, with and without groups."""
+    import numpy as np
+
+    from riskline.operators import quantiles as Q
+
+    r = np.random.default_rng(11)
+    n = 6000
+    cols = {
+        "a": r.standard_normal(n), "b": r.integers(0, 7, n).astype(float), "c": np.exp(30 * r.standard_normal(n)),
+        "d": np.where(r.random(n) < 0.999, 5.0, r.standard_normal(n)), "e": np.where(r.random(n) < 0.01, np.inf, np.where(r.random(n) < 0.01, -np.inf, r.random(n))),
+    }
+    group = [None if i % 3 == 0 else i % 3 for i in range(n)]
+    rows = [(group[i], *(None if i % 17 == j else float("nan") if i % 19 == j else float(v[i]) for j, v in enumerate(cols.values()))) for i in range(n)]
+    df = spark.createDataFrame(rows, "g int, " + ", ".join(f"{c} double" for c in cols)).repartition(4)
+    probs = [0.0, 0.25, 0.5, 0.9, 1.0]
+
+    def want(by):
+        out = {}
+        for g in {r[0] for r in rows} if by else [()]:
+            for j, c in enumerate(cols):
+                v = np.sort([r[1 + j] for r in rows if (not by or r[0] == g) and r[1 + j] is not None and r[1 + j] == r[1 + j]])
+                for p in probs:
+                    h = (len(v) - 1) * p
+                    lo = v[int(h)]
+                    out[((g,) if by else (), c, p)] = lo if h == int(h) else lo + (v[int(h) + 1] - lo) * (h - int(h))
+        return out
+
+    def same(found, wanted):
+        assert found.keys() == wanted.keys()
+        for k, v in wanted.items():
+            assert found[k] == v or abs(found[k] - v) <= 1e-12 * abs(v) or (v != v and found[k] != found[k]), k
+
+    for by in ([], ["g"]):
+        same(Q.exact_quantiles(df, list(cols), probs, by)[0], want(by))
+        same(Q.exact_quantiles(df, list(cols), probs, by, few_rows=3)[0], want(by))
+    monkeypatch.setattr(Q, "RANK_ERROR", 1e-3 / 2)  # brackets that often miss
+    monkeypatch.setattr(Q, "SKETCH_K", 20)
+    same(Q.exact_quantiles(df, list(cols), probs)[0], want([]))
