@@ -182,13 +182,16 @@ def describe(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str])
 # ---------------------------------------------------------------------------
 
 
-def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``variable, value, count, percentage`` (percentage of all rows), NULL excluded, the most frequent first."""
+def value_counts(df: DataFrame, columns: Sequence[str], by_value: bool = False) -> DataFrame:
+    """``variable, value, count, percentage`` (percentage of all rows), NULL excluded, the most frequent first;
+    with ``by_value`` in the order of the values, numbers by size."""
     long = to_long(df, columns, value_type="string")
     counts = long.groupBy("variable", "value").agg(F.count(F.lit(1)).cast("bigint").alias("count"))
     # Percent of all rows (NULLs included): one row count, applied as a literal.
     n = df.count()
     out = counts.select("variable", "value", "count", (F.col("count") / F.lit(float(n)) * 100).alias("percentage"))
+    if by_value:
+        return out.orderBy("variable", F.expr("try_cast(value AS double)").asc_nulls_last(), "value")
     return out.orderBy("variable", F.desc("count"), "value")
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -32,35 +33,70 @@ def pearson(x: Column, y: Column) -> Column:
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
+#: Pairs, and numbers of each (n, sum x, sum y, sum x^2, sum y^2, sum xy), in one row of a partial sum.
+_PAIRS, _MOMENTS = 10, 6
+#: Rows whose median is taken as a column's origin, so that sums of squares lose no digits.
+_ORIGIN_ROWS = 101
+#: Share of the sum of squares below which a variance is rounding only: the column is constant.
+_CONSTANT = 1e-13
+
+
+def _pair_moments(origin: np.ndarray):
+    """Per task: pairwise-complete moments of all column pairs (i <= j), by matrix products of values and masks."""
+    k = len(origin)
+    i, j = np.triu_indices(k)
+
+    def run(batches):
+        total = None
+        for batch in batches:
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, k) - origin
+            for lo in range(0, len(x), 8192):
+                part = x[lo : lo + 8192]
+                there = ~np.isnan(part)
+                v, m = np.where(there, part, 0.0), there.astype(float)
+                n, s, q = m.T @ m, v.T @ m, (v * v).T @ m
+                new = np.stack([n[i, j], s[i, j], s[j, i], q[i, j], q[j, i], (v.T @ v)[i, j]], axis=1)
+                total = new if total is None else total + new
+        if total is not None:
+            total = np.pad(total, ((0, -len(total) % _PAIRS), (0, 0))).reshape(-1, _PAIRS * _MOMENTS)
+            columns = [pa.array(np.arange(len(total)), pa.int32()), *(pa.array(c) for c in total.T)]
+            yield pa.RecordBatch.from_arrays(columns, ["at", *(f"v{c}" for c in range(_PAIRS * _MOMENTS))])
+
+    return run
+
+
 def correlation_pairs(df: DataFrame, columns: Sequence[str], full: bool = False) -> DataFrame:
-    """Pairwise-complete Pearson r of every column pair in ONE job.
+    """Pairwise-complete Pearson r of every column pair in ONE pass (NaN counts as NULL).
 
     ``variable_1, variable_2, correlation, abs_correlation, strength``; the
-    upper triangle (i < j) by default, the full symmetric matrix with ``full``.
-    Each row is exploded in-stage into one (pair, x, y) row per pair and a
-    single ``groupBy(pair).agg(corr)`` runs with partial aggregation: one small
-    aggregate stays inside whole-stage codegen, where k(k-1)/2 separate
-    ``corr`` columns in one aggregate do not."""
+    upper triangle (i < j) by default, the full symmetric matrix with its diagonal with ``full``. A constant column has
+    NULL throughout. Each task multiplies blocks of values and of masks, and what it sends are sums per pair: rows are not
+    exploded, and the plan has one size for any number of columns."""
     cols = list(columns)
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    arr = F.array(
-        *[
-            F.struct(F.lit(p).alias("p"), F.col(cols[i]).cast("double").alias("x"), F.col(cols[j]).cast("double").alias("y"))
-            for p, (i, j) in enumerate(pairs)
-        ]
-    )
-    r = df.select(F.explode(arr).alias("s")).groupBy(F.col("s.p").alias("p")).agg(pearson(F.col("s.x"), F.col("s.y")).alias("correlation"))
-    first = F.array(*[F.lit(cols[i]) for i, _ in pairs])
-    second = F.array(*[F.lit(cols[j]) for _, j in pairs])
-    out = r.select(
-        F.element_at(first, F.col("p") + 1).alias("variable_1"),
-        F.element_at(second, F.col("p") + 1).alias("variable_2"),
-        "correlation",
-    )
+    k, spark = len(cols), df.sparkSession
+    rows = df.select(F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in cols]).alias("x"))
+    origin = np.zeros(k)
+    few = rows.limit(_ORIGIN_ROWS).collect()
+    for c in range(k):
+        v = sorted(r["x"][c] for r in few if np.isfinite(r["x"][c]))
+        origin[c] = v[len(v) // 2] if v else 0.0
+    width = _PAIRS * _MOMENTS
+    sums = rows.mapInArrow(_pair_moments(origin), "at int, " + ", ".join(f"v{c} double" for c in range(width)))
+    sums = sums.groupBy("at").agg(*(F.sum(f"v{c}").alias(f"v{c}") for c in range(width)))
+    names = ["n", "sx", "sy", "qx", "qy", "p"]
+    one = [F.struct((F.col("at") * _PAIRS + s).alias("pair"), *[F.col(f"v{s * _MOMENTS + m}").alias(names[m]) for m in range(_MOMENTS)]) for s in range(_PAIRS)]
+    r = sums.select(F.explode(F.array(*one)).alias("m")).select("m.*")
+    n, sx, sy, qx, qy, p = (F.col(c) for c in names)
+    var = [F.when(n * q - s * s > _CONSTANT * n * q, n * q - s * s) for s, q in ((sx, qx), (sy, qy))]
+    value = F.least(F.lit(1.0), F.greatest(F.lit(-1.0), (n * p - sx * sy) / (F.sqrt(var[0]) * F.sqrt(var[1]))))
+    value = F.when(var[0].isNotNull() & var[1].isNotNull(), value)
+    i, j = np.triu_indices(k)
+    pairs = [(int(x), cols[a], cols[b]) for x, (a, b) in enumerate(zip(i, j)) if full or a != b]
+    named = spark.createDataFrame(pairs, "pair int, variable_1 string, variable_2 string")
+    out = named.join(r.select("pair", value.alias("correlation")), "pair", "left").drop("pair")
     if full:
-        spark = df.sparkSession
-        diag = spark.createDataFrame([(c, c, 1.0) for c in cols], "variable_1 string, variable_2 string, correlation double")
-        out = out.unionByName(out.select(F.col("variable_2").alias("variable_1"), F.col("variable_1").alias("variable_2"), "correlation")).unionByName(diag)
+        mirrored = out.where("variable_1 != variable_2")
+        out = out.unionByName(mirrored.select(F.col("variable_2").alias("variable_1"), F.col("variable_1").alias("variable_2"), "correlation"))
     return out.withColumns(
         {"abs_correlation": F.abs("correlation"), "strength": X.corr_strength(F.col("correlation"))}
     )

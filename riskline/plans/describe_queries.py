@@ -134,6 +134,21 @@ def d6_value_counts(spark, sf_dir):
     return D.value_counts(FX.bulk(spark, sf_dir), CAT)
 
 
+@query(
+    "e7_value_counts_by_value",
+    _extra(
+        f"l AS ({long_sql(CAT, cast='VARCHAR')})",
+        "SELECT variable, value, CAST(count(*) AS BIGINT) AS count, round(count(*) / (SELECT count(*) FROM bulk) * 100, 6) AS percentage, "
+        "row_number() OVER (ORDER BY variable, try_cast(value AS DOUBLE) NULLS LAST, value) AS place FROM l WHERE value IS NOT NULL GROUP BY variable, value",
+    ),
+)
+def e7_value_counts_by_value(spark, sf_dir):
+    """Value counts in the order of the values; ``place`` states the row's place in the report."""
+    report = D.value_counts(FX.bulk(spark, sf_dir), CAT, by_value=True).collect()  # a row per category
+    rows = [(*r, k + 1) for k, r in enumerate(report)]
+    return spark.createDataFrame(rows, "variable string, value string, count bigint, percentage double, place bigint")
+
+
 @query(
     "d8_class_balance",
     with_fixtures(

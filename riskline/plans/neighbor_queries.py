@@ -72,6 +72,8 @@ def _knn_clf(spark, sf_dir, weights):
     return N.knn_predict(train, test, "id", KNN_FEATURES, "label", k=5, weights=weights)
 
 
+
+
 @query("k2_knn_classifier", _knn_clf_sql("uniform"))
 def k2_knn_classifier(spark, sf_dir):
     """K2: 5-NN vote (uniform) for the test split of F-COHORT."""
@@ -100,3 +102,39 @@ def i4_smote_balance(spark, sf_dir):
     train = df.where(F.col("split") == "train").select("id", *KNN_FEATURES, "label")
     out = N.smote(train, "id", KNN_FEATURES, "label", k=5, seed=42)
     return out.groupBy("label", "is_synthetic").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+def _smote_rows_sql():
+    acc = " + ".join(f"(q.{c} - d.{c}) * (q.{c} - d.{c})" for c in KNN_FEATURES)
+    return _extra(
+        split_cte("cohort", COHORT_KEY_SQL, "id")
+        + ", tr AS (SELECT * FROM s WHERE split = 'train'), mn AS (SELECT label AS minority FROM tr GROUP BY label ORDER BY count(*), label LIMIT 1), "
+        "mi AS (SELECT tr.* FROM tr JOIN mn ON label = minority), "
+        f"pr AS (SELECT q.id AS base_id, d.id AS did, sqrt({acc}) AS dist FROM mi q, mi d WHERE q.id <> d.id), "
+        "rk AS (SELECT *, row_number() OVER (PARTITION BY base_id ORDER BY dist, did) AS r FROM pr)",
+        "SELECT base_id, string_agg(did::VARCHAR, ',' ORDER BY r) AS neighbours, true AS drawn_from_them, true AS on_the_segments FROM rk WHERE r <= 5 GROUP BY base_id",
+    )
+
+
+@query("i4_smote_rows", _smote_rows_sql())
+def i4_smote_rows(spark, sf_dir):
+    """I4: per minority row its five nearest minority neighbours, and whether all synthetic rows made from it use one of them
+    and lie at their gap on the segment between the two."""
+    df = SP.stratified_split(FX.cohort(spark, sf_dir), "label", ["id"], 0.2, order_key=_cohort_key())
+    train = df.where(F.col("split") == "train").select("id", *KNN_FEATURES, "label")
+    made = N.smote(train, "id", KNN_FEATURES, "label", k=5, seed=42, trace=True).where("is_synthetic")
+    counts = SP.class_counts(train, "label")
+    mins = train.where(F.col("label") == min(counts, key=lambda c: (counts[c], c)))
+    near = N.knn_join(mins, mins, "id", "id", KNN_FEATURES, 5, exclude_self=True)
+    lists = near.groupBy(F.col("qid").alias("base_id")).agg(F.sort_array(F.collect_list(F.struct("rank", "did"))).alias("nn"))
+    ends = [mins.select(F.col("id").alias(i), *[F.col(c).cast("double").alias(f"{p}_{c}") for c in KNN_FEATURES]) for i, p in (("base_id", "b"), ("neighbour_id", "n"))]
+    off = [F.abs(F.col(f"b_{c}") + F.col("gap") * (F.col(f"n_{c}") - F.col(f"b_{c}")) - F.col(c)) <= 1e-9 * (1 + F.abs(F.col(c))) for c in KNN_FEATURES]
+    checked = made.join(ends[0], "base_id").join(ends[1], "neighbour_id").withColumn("on", off[0] & off[1])
+    checked = checked.join(lists, "base_id").withColumn("one", F.exists("nn", lambda x: x["did"] == F.col("neighbour_id")))
+    checked = checked.groupBy("base_id").agg(F.every("one").alias("one"), F.every("on").alias("on"))
+    return lists.join(checked, "base_id", "left").select(
+        "base_id",
+        F.array_join(F.transform("nn", lambda x: x["did"].cast("string")), ",").alias("neighbours"),
+        F.coalesce("one", F.lit(True)).alias("drawn_from_them"),
+        F.coalesce("on", F.lit(True)).alias("on_the_segments"),
+    )

@@ -43,6 +43,26 @@ def d9_correlation_pairs(spark, sf_dir):
     return S.correlation_pairs(FX.bulk(spark, sf_dir), CORR7)
 
 
+def _matrix_sql(cols):
+    rows = [f"SELECT '{a}' AS variable_1, '{b}' AS variable_2, {'1.0::DOUBLE' if a == b else f'corr({a}, {b})'} AS r FROM bulk" for a in cols for b in cols]
+    return " UNION ALL ".join(f"({x} LIMIT 1)" if "corr" not in x else x for x in rows)
+
+
+@query(
+    "d9_correlation_matrix",
+    with_fixtures(
+        "SELECT variable_1, variable_2, round(r, 6) AS correlation, round(abs(r), 6) AS abs_correlation, "
+        + _STRENGTH.format(r="r")
+        + " AS strength FROM ("
+        + _matrix_sql(CORR7)
+        + ")"
+    ),
+)
+def d9_correlation_matrix(spark, sf_dir):
+    """The whole symmetric matrix of seven F-BULK columns, diagonal included."""
+    return S.correlation_pairs(FX.bulk(spark, sf_dir), CORR7, full=True)
+
+
 @query(
     "d10_top_correlation_pairs",
     with_fixtures(

@@ -268,3 +268,26 @@ def test_quantiles_of_many_shapes_are_exact(spark, monkeypatch):
     monkeypatch.setattr(Q, "RANK_ERROR", 1e-3 / 2)  # brackets that often miss
     monkeypatch.setattr(Q, "SKETCH_K", 20)
     same(Q.exact_quantiles(df, list(cols), probs)[0], want([]))
+
+
+def test_correlation_matrix_of_500_columns(spark):
+    """Pairwise-complete, whatever is missing, and one plan for any number of columns."""
+    import numpy as np
+    import pandas as pd
+
+    from riskline.operators import stats
+
+    r = np.random.default_rng(5)
+    x = r.standard_normal((60, 500)) * 10.0 ** r.integers(-3, 6, 500) + 10.0 ** r.integers(0, 7, 500)
+    x[r.random(x.shape) < 0.1] = np.nan
+    x[:, 7], x[1:, 8], x[:, 9] = 3.3, np.nan, np.nan
+    cols = [f"c{i}" for i in range(500)]
+    df = spark.createDataFrame([tuple(None if v != v else float(v) for v in row) for row in x], ", ".join(f"{c} double" for c in cols))
+    got = {(a["variable_1"], a["variable_2"]): a["correlation"] for a in stats.correlation_pairs(df, cols, full=True).collect()}
+    want = pd.DataFrame(x, columns=cols).corr()
+    assert len(got) == 250_000
+    for i in [*range(0, 500, 23), 7, 8, 9]:
+        for j in [*range(0, 500, 17), 7, 8, 9, i]:
+            a, b = got[(cols[i], cols[j])], want.iloc[i, j]
+            constant = {7, 8, 9} & {i, j}
+            assert a is None if constant else abs(a - b) < 1e-8, (i, j, a, b)
