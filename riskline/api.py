@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskline.functions import exprs as X
-from riskline.operators import clean, metrics, missing, models, neighbors, outliers, sampling, scaling, stats
+from riskline.operators import clean, metrics, missing, models, neighbors, outliers, pipelines, sampling, scaling, stats
 from riskline.plans import experiment, reference_flow
 from riskline.sources import readers, writers
 
@@ -56,9 +56,9 @@ def split_data(df: DataFrame, selected_features: Sequence[str], target: str, id_
     return sampling.split_data(proj, target, [id_col], test_size, random_state)
 
 
-def create_unscaled_sets(train: DataFrame, test: DataFrame):
-    """[B12] the target already travels with the features: nothing to attach."""
-    return train, test
+def create_unscaled_sets(x_train: DataFrame, x_test: DataFrame, y_train: DataFrame, y_test: DataFrame, id_col: str):
+    """[B12] ``(train, test)``: the features with the target of the same id attached."""
+    return x_train.join(y_train, id_col), x_test.join(y_test, id_col)
 
 
 def standard_scale(train: DataFrame, test: DataFrame, features: Sequence[str]):
@@ -71,9 +71,9 @@ def robust_scale(train: DataFrame, test: DataFrame, features: Sequence[str]):
     return scaling.robust_scale(train, test, features)
 
 
-def build_scaled_dataframe(scaled: DataFrame, feature_names: Sequence[str], target: str, id_col: str) -> DataFrame:
-    """[B13] scaled columns are already named columns: keep the projection."""
-    return scaled.select(id_col, *feature_names, target)
+def build_scaled_dataframe(scaled: DataFrame, feature_names: Sequence[str], y: DataFrame, target: str, id_col: str) -> DataFrame:
+    """[B13] ``id, features, target``: scaled features with the target of the same id attached."""
+    return scaled.select(id_col, *feature_names).join(y.select(id_col, target), id_col)
 
 
 # --- feature engineering -------------------------------------------------------------
@@ -112,7 +112,6 @@ def save_final_dataset(df: DataFrame, output_dir: str) -> str:
 prepare_features = clean.prepare_features  # [B10]
 make_preprocessor = models.make_preprocessor  # [J3]
 get_search_spaces = lambda random_state=42: models.SEARCH_SPACES  # noqa: E731  [K7]
-get_estimators = lambda random_state=42: {m: m for m in experiment.MODELS}  # noqa: E731  [K7] names -> models.build_estimator
 tune_model = models.tune_model  # [K8/K9]
 evaluate_predictions = metrics.evaluate_predictions  # [K11]
 compute_roc_curve = metrics.roc_curve  # [K12]
@@ -126,17 +125,28 @@ def get_cv(df: DataFrame, target: str, id_col: str, n_splits: int = 5, random_st
     return sampling.stratified_folds(df, target, [id_col], n_splits, random_state)
 
 
-def build_pipeline(model_name: str, params: dict, features: Sequence[str], target: str, id_col: str, use_smote: bool = False, class_weight: bool = False):
-    """[K6] a fit function: preprocess -> (SMOTE on the training rows) -> model."""
-    method = {(False, False): "none", (False, True): "class_weight", (True, False): "smote", (True, True): "smote+class_weight"}[
-        (use_smote, class_weight)
-    ]
-    return lambda train: models.fit_model(model_name, params, train, features, target, id_col, method)
+def get_estimators(random_state: int = 42) -> dict:
+    """[K7] ``{name: build}``: ``build(preprocessor, params, target, id_col, **options)`` is an unfitted pipeline of that model
+    with the reference's defaults where ``params`` has none."""
+    defaults = {"logistic_regression": {"max_iter": 1000}, "random_forest": {"n_estimators": 300}}
 
+    def builder(name: str):
+        def build(preprocessor, params=None, target=reference_flow.TARGET, id_col="row_id", **options):
+            return pipelines.ModelPipeline(preprocessor, name, {**defaults.get(name, {}), **(params or {})}, target, id_col, seed=random_state, **options)
 
-def predict_proba_positive(fitted: models.FittedModel, df: DataFrame) -> DataFrame:
+        return build
+
+    return {name: builder(name) for name in experiment.MODELS}
+
+
+def build_pipeline(preprocessor: models.Preprocessor, model_name: str, params: dict, target: str, id_col: str, use_smote: bool = False, class_weight: bool = False):
+    """[K6] an unfitted preprocess -> (SMOTE on the training rows) -> model; ``fit``, ``predict``, ``save``."""
+    return pipelines.ModelPipeline(preprocessor, model_name, params, target, id_col, use_smote, class_weight)
+
+
+def predict_proba_positive(fitted, df: DataFrame, id_col: str = "row_id") -> DataFrame:
     """[K10] ``id, score`` (P(y=1), or the rescaled margin)."""
-    return fitted.predict(df).select(fitted.id_col, "score")
+    return fitted.predict(df).select(getattr(fitted, "id_col", id_col), "score")
 
 
 # --- statistics helpers of the notebooks -------------------------------------------

@@ -162,6 +162,11 @@ def run_key(*parts: str | Column) -> Column:
     return F.concat_ws("__", *[p if isinstance(p, Column) else F.lit(p) for p in parts])
 
 
+def params_json_column(*cols: str) -> Column:
+    """B32/H: sorted-key JSON of the named columns of a row (NULL values are left out)."""
+    return F.to_json(F.struct(*[F.col(c) for c in sorted(cols)]))
+
+
 def params_json(params: Mapping[str, object]) -> str:
     """Sorted-key JSON of a parameter combination."""
     return json.dumps(dict(params), sort_keys=True)

@@ -96,6 +96,32 @@ def chi2_pvalue(x: Column | str, dof: Column | str) -> Column:
     return _chi2_sf_udf(F.col(x) if isinstance(x, str) else x, F.col(dof) if isinstance(dof, str) else dof)
 
 
+def exact_u_tail(m: int, n: int, u: int) -> float:
+    """P(U <= u) of the Mann-Whitney U of two samples of m and n values without ties under the null hypothesis.
+
+    The counts of rank arrangements with U = 0, 1, ..., u: the product of (1 - q^(n+i)) / (1 - q^i) for i = 1..m, of which
+    only the powers up to u are kept; each factor is one running sum and one shifted difference."""
+    m, n = min(m, n), max(m, n)
+    counts = np.zeros(u + 1)
+    counts[0] = 1.0
+    for i in range(1, m + 1):
+        if n + i <= u:
+            counts[n + i :] -= counts[: u + 1 - n - i].copy()
+        for first in range(min(i, u + 1)):
+            counts[first::i] = np.cumsum(counts[first::i])
+    return float(min(1.0, counts.sum() / math.comb(m + n, m)))
+
+
+@pandas_udf(DoubleType())
+def _exact_u_udf(n_0: pd.Series, n_1: pd.Series, u: pd.Series) -> pd.Series:
+    return pd.Series([min(1.0, 2.0 * exact_u_tail(int(a), int(b), int(min(x, a * b - x)))) for a, b, x in zip(n_0, n_1, u)], dtype=float)
+
+
+def exact_u_pvalue(n_0: Column, n_1: Column, u: Column) -> Column:
+    """Two-sided p of U (of either sample) by the exact null distribution (apply to per-variable tables only)."""
+    return _exact_u_udf(n_0, n_1, u)
+
+
 def two_sided_normal_pvalue(z: Column | str) -> Column:
     """``2 * P(Z > |z|)`` capped at 1 (apply to per-variable tables only)."""
     return _two_sided_normal_udf(F.col(z) if isinstance(z, str) else z)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskline.functions import exprs as X
-from riskline.functions.pvalues import chi2_pvalue, two_sided_normal_pvalue
+from riskline.functions.pvalues import chi2_pvalue, exact_u_pvalue, two_sided_normal_pvalue
 from riskline.operators.long import to_long
 from riskline.operators.ordering import rank_sums
 
@@ -237,13 +237,17 @@ def cohens_d(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     return row.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
 
 
+#: Rows of the smaller class, and product of the class sizes, up to which the U test is exact.
+EXACT_ROWS, EXACT_STEPS = 8, 4_000_000
+
+
 def mann_whitney(df: DataFrame, columns: Sequence[str], target: str, continuity: bool = True) -> DataFrame:
     """Two-sided Mann-Whitney U of class 0 vs class 1 per column.
 
     ``variable, n_0, n_1, u_statistic, z, p_value``; ``u_statistic`` is U of
-    the class-0 sample; the p-value is the normal approximation with tie
-    correction and continuity correction (exact small-sample tables are not
-    used)."""
+    the class-0 sample. Without ties and with ``EXACT_ROWS`` rows at most in a class the p-value is exact (the usual
+    automatic choice); else it is the normal approximation with tie correction and continuity correction. A product of the class
+    sizes beyond ``EXACT_STEPS`` takes the approximation too, which then agrees to many digits."""
     long = to_long(df, columns, by=[target]).where(F.col(target).isin(0, 1))
     rs = rank_sums(long, "value", target, by=["variable"], positive=1)
     n0, n1 = F.col("n_neg"), F.col("n_pos")
@@ -254,9 +258,13 @@ def mann_whitney(df: DataFrame, columns: Sequence[str], target: str, continuity:
     sigma = F.sqrt(n0 * n1 / 12.0 * ((n + 1) - F.try_divide(F.col("tie_term"), n * (n - 1))))
     z = (big_u - mu - (0.5 if continuity else 0.0)) / sigma
     out = rs.select(
-        "variable", n0.alias("n_0"), n1.alias("n_1"), u0.alias("u_statistic"), F.when(sigma > 0, z).alias("z")
+        "variable", n0.alias("n_0"), n1.alias("n_1"), u0.alias("u_statistic"), F.when(sigma > 0, z).alias("z"), (F.col("tie_term") == 0).alias("_untied")
     )
-    return out.withColumn("p_value", F.when(F.col("z").isNull(), F.lit(1.0)).otherwise(two_sided_normal_pvalue("z")))
+    small = (F.least("n_0", "n_1") >= 1) & (F.least("n_0", "n_1") <= EXACT_ROWS) & (F.col("n_0") * F.col("n_1") <= EXACT_STEPS)
+    exact = small & F.col("_untied")
+    sizes = [F.when(exact, F.col(c)).otherwise(F.lit(0)) for c in ("n_0", "n_1", "u_statistic")]
+    normal = F.when(F.col("z").isNull(), F.lit(1.0)).otherwise(two_sided_normal_pvalue("z"))
+    return out.withColumns({"_p": normal, "_q": exact_u_pvalue(*sizes)}).select("variable", "n_0", "n_1", "u_statistic", "z", F.when(exact, F.col("_q")).otherwise(F.col("_p")).alias("p_value"))
 
 
 # ---------------------------------------------------------------------------

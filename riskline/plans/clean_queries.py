@@ -7,7 +7,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from riskline.functions import exprs as X
 from riskline.operators import clean as C
+from riskline.operators.model_batch import rescaled
 from riskline.plans.registry import query
 from riskline.session import ensure_checkpoint_dir
 from riskline.sources import fixtures as FX
@@ -175,3 +177,50 @@ def a2_csv_roundtrip(spark, sf_dir):
     path = os.path.join(ensure_checkpoint_dir(spark), f"csv-{uuid.uuid4().hex[:8]}")
     out = save_final_dataset(FX.bulk(spark, sf_dir), path, name="processed_features", fmt="csv")
     return read_csv(spark, out, schema=_BULK_DDL, null_value="")
+
+
+OPEN_EDGES = [0, 18.5, 25, 30, float("inf")]
+
+
+@query(
+    "b21_open_bands",
+    with_fixtures(
+        f"SELECT {IDS}, CAST(CASE WHEN quantity >= 0 AND quantity < 18.5 THEN 0 WHEN quantity >= 18.5 AND quantity < 25 THEN 1 "
+        "WHEN quantity >= 25 AND quantity < 30 THEN 2 WHEN quantity >= 30 THEN 3 ELSE -1 END AS INTEGER) AS band FROM bulk"
+    ),
+)
+def b21_open_bands(spark, sf_dir):
+    """Bands whose last one has no upper edge."""
+    return FX.bulk(spark, sf_dir).select(*FX.BULK_ID, X.cut_code("quantity", OPEN_EDGES).alias("band"))
+
+
+@query(
+    "b31_score_rescale",
+    with_fixtures(
+        f"SELECT {IDS}, flag, round((unit_net - min(unit_net) OVER (PARTITION BY flag)) / (max(unit_net) OVER (PARTITION BY flag) - "
+        "min(unit_net) OVER (PARTITION BY flag) + 1e-9), 6) AS score FROM bulk"
+    ),
+)
+def b31_score_rescale(spark, sf_dir):
+    """Margins moved to [0, 1] by the least and largest of each run (here: flag)."""
+    df = FX.bulk(spark, sf_dir).select(*FX.BULK_ID, "flag", F.col("unit_net").cast("double").alias("score"))
+    return rescaled(df, ["flag"])
+
+
+@query(
+    "b33_round_report",
+    with_fixtures("SELECT flag, round_even(avg(price), 2) AS price, round_even(avg(unit_net), 2) AS unit_net, CAST(count(*) AS BIGINT) AS n FROM bulk GROUP BY flag"),
+)
+def b33_round_report(spark, sf_dir):
+    """Report values rounded half to even."""
+    means = FX.bulk(spark, sf_dir).groupBy("flag").agg(F.avg("price").alias("price"), F.avg("unit_net").alias("unit_net"), F.count("*").cast("bigint").alias("n"))
+    return means.select("flag", X.round_report("price").alias("price"), X.round_report("unit_net").alias("unit_net"), "n")
+
+
+@query(
+    "b32_params_json",
+    with_fixtures("SELECT CAST(to_json({'flag': flag, 'label': label, 'status': status}) AS VARCHAR) AS params, CAST(count(*) AS BIGINT) AS n FROM bulk GROUP BY flag, label, status"),
+)
+def b32_params_json(spark, sf_dir):
+    """B32/H: parameters of a row as JSON text with sorted keys."""
+    return FX.bulk(spark, sf_dir).groupBy(X.params_json_column("status", "flag", "label").alias("params")).agg(F.count("*").cast("bigint").alias("n"))

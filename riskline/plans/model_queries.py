@@ -17,6 +17,7 @@ from riskline.operators import linear_batch as LB
 from riskline.operators import metrics as M
 from riskline.operators import missing as MS
 from riskline.operators import models as MD
+from riskline.operators import pipelines as PL
 from riskline.operators import sampling as SP
 from riskline.operators.quantiles import medians
 from riskline.plans import experiment as X
@@ -243,6 +244,23 @@ def a4_model_roundtrip(spark, sf_dir):
     return a.join(b, "id").agg(F.count(F.lit(1)).cast("bigint").alias("n"), F.max(F.abs(F.col("a") - F.col("b"))).alias("max_abs_diff"))
 
 
+@query("k6_pipeline_roundtrip", with_fixtures("SELECT CAST(ceil(0.2 * count(*)) AS BIGINT) AS n, 0.0::DOUBLE AS max_abs_diff, true AS same_predictions FROM cohort"))
+def k6_pipeline_roundtrip(spark, sf_dir):
+    """Robust scaler -> SMOTE -> logistic regression as one pipeline, saved and loaded: equal scores for the raw
+    test rows, one for each (SMOTE adds rows in fitting only)."""
+    tr, te = _versions(spark, sf_dir, ["unscaled"])["unscaled"]
+    pipe = PL.ModelPipeline(MD.make_preprocessor(FEAT, "robust"), "logistic_regression", {"C": 1.0}, "label", "id", use_smote=True)
+    fitted = pipe.fit(tr)
+    path = fitted.save(spark, os.path.join(ensure_checkpoint_dir(spark), f"pipeline-{uuid.uuid4().hex[:8]}"))
+    a = fitted.predict(te).select("id", F.col("score").alias("a"), F.col("prediction").alias("pa"))
+    b = PL.load_pipeline(spark, path).predict(te).select("id", F.col("score").alias("b"), F.col("prediction").alias("pb"))
+    return a.join(b, "id", "full").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n"),
+        F.max(F.abs(F.col("a") - F.col("b"))).alias("max_abs_diff"),
+        F.every(F.col("pa") == F.col("pb")).alias("same_predictions"),
+    )
+
+
 _RAW = ["acctbal", "n_orders", "avg_total", "max_total"]
 
 

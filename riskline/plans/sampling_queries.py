@@ -130,3 +130,28 @@ def j1_standard_scale(spark, sf_dir):
 def j2_robust_scale(spark, sf_dir):
     """(x - median) / IQR fitted on the train split (exact quartiles)."""
     return _scaled(spark, sf_dir, SC.fit_robust_scaler)
+
+
+@query("b12_unscaled_sets", _extra(_SPLIT_CTE, f"SELECT split, {IDS_SQL}, {', '.join(f'round({c}::DOUBLE, 6) AS {c}' for c in SCALE_COLS)}, label FROM s"))
+def b12_unscaled_sets(spark, sf_dir):
+    """Features and target split apart, then attached again by id, for train and test."""
+    return _sets(spark, sf_dir, lambda train, test: (train, test))
+
+
+@query("b13_scaled_frame", _scaled_sql("standard").replace("SELECT " + IDS_SQL + ", split, ", "SELECT " + IDS_SQL + ", label, split, "))
+def b13_scaled_frame(spark, sf_dir):
+    """The scaled features (J1) with the target attached by id, for train and test."""
+
+    def scaled(train, test):
+        model = SC.fit_standard_scaler(train, SCALE_COLS)
+        return model.transform(train), model.transform(test)
+
+    return _sets(spark, sf_dir, scaled)
+
+
+def _sets(spark, sf_dir, change):
+    df = SP.stratified_split(FX.bulk(spark, sf_dir), "label", IDS, 0.2, order_key=_key())
+    x = [df.where(F.col("split") == part).select(*IDS, *SCALE_COLS) for part in ("train", "test")]
+    y = [df.where(F.col("split") == part).select(*IDS, "label") for part in ("train", "test")]
+    out = [a.join(b, IDS).withColumn("split", F.lit(part)) for a, b, part in zip(change(*x), y, ("train", "test"))]
+    return out[0].unionByName(out[1]).select("split", *IDS, *[F.col(c).cast("double").alias(c) for c in SCALE_COLS], "label")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from riskline.operators import stats as S
 from riskline.plans.describe_queries import _extra, long_sql
 from riskline.plans.pvalue_sql import chi2_sf_sql, two_sided_normal_sql
@@ -242,6 +244,33 @@ def d20_mann_whitney_test(spark, sf_dir):
     return S.mann_whitney(FX.bulk(spark, sf_dir), NUM, "label")
 
 
+_NATIONS_SQL = (
+    "WITH v AS (SELECT n_nationkey AS k, CASE WHEN n_regionkey = 0 THEN 1 ELSE 0 END AS label, coalesce(avg(c_acctbal), 0) + n_nationkey / 1000.0 AS balance, "
+    "coalesce(max(c_acctbal), 0) - n_nationkey / 7.0 AS largest FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY n_nationkey, n_regionkey), "
+    "l AS (SELECT label, 'balance' AS variable, balance AS x FROM v UNION ALL SELECT label, 'largest', largest FROM v), "
+    "r AS (SELECT variable, label, row_number() OVER (PARTITION BY variable ORDER BY x) AS r FROM l), "
+    "u AS (SELECT variable, count_if(label = 0) AS n_0, count_if(label = 1) AS n_1, sum(r) FILTER (WHERE label = 0) - count_if(label = 0) * (count_if(label = 0) + 1) / 2.0 AS u "
+    "FROM r GROUP BY variable), n AS (SELECT unnest(range(1, 26)) AS i), "
+    # every choice of five ranks out of 25
+    "s AS (SELECT a.i + b.i + c.i + d.i + e.i - 15 AS u FROM n a JOIN n b ON b.i > a.i JOIN n c ON c.i > b.i JOIN n d ON d.i > c.i JOIN n e ON e.i > d.i) "
+    "SELECT variable, CAST(n_0 AS BIGINT) AS n_0, CAST(n_1 AS BIGINT) AS n_1, round(u::DOUBLE, 6) AS u_statistic, "
+    "round(least(1.0, 2.0 * (SELECT count_if(s.u <= least(x.u, 100 - x.u)) FROM s) / 53130.0), 6) AS p_value FROM u x"
+)
+
+
+@query("d20_mann_whitney_exact", _NATIONS_SQL)
+def d20_mann_whitney_exact(spark, sf_dir):
+    """D20 on small classes without ties: the exact U test of the nations' customer balances, one region against the others."""
+    c, n = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("customer", "nation"))
+    per = c.groupBy("c_nationkey").agg(F.avg("c_acctbal").alias("mean"), F.max("c_acctbal").alias("top"))
+    df = n.join(per, n["n_nationkey"] == per["c_nationkey"], "left").select(
+        F.when(F.col("n_regionkey") == 0, 1).otherwise(0).alias("label"),
+        (F.coalesce("mean", F.lit(0.0)) + F.col("n_nationkey") / 1000.0).alias("balance"),
+        (F.coalesce("top", F.lit(0.0)) - F.col("n_nationkey") / 7.0).alias("largest"),
+    )
+    return S.mann_whitney(df, ["balance", "largest"], "label").drop("z")
+
+
 _COHEN_ABS = " UNION ALL ".join(f"SELECT '{c}' AS variable, abs((avg({c}) FILTER (WHERE label = 0) - avg({c}) FILTER (WHERE label = 1)) / " f"sqrt(((count({c}) FILTER (WHERE label = 0) - 1) * var_samp({c}) FILTER (WHERE label = 0) + " f"(count({c}) FILTER (WHERE label = 1) - 1) * var_samp({c}) FILTER (WHERE label = 1)) / " f"(count({c}) FILTER (WHERE label = 0) + count({c}) FILTER (WHERE label = 1) - 2))) AS effect FROM bulk" for c in NUM)
 _RANKING = (
     _CELLS + ", " + _CHI_STATS + ", " + _MWU + ", " + _MWU_Z + f", cd AS ({_COHEN_ABS}), "

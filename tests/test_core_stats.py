@@ -291,3 +291,21 @@ def test_correlation_matrix_of_500_columns(spark):
             a, b = got[(cols[i], cols[j])], want.iloc[i, j]
             constant = {7, 8, 9} & {i, j}
             assert a is None if constant else abs(a - b) < 1e-8, (i, j, a, b)
+
+
+def test_exact_u_tail_equals_enumeration():
+    from itertools import combinations
+    from math import comb
+
+    from riskline.functions.pvalues import exact_u_tail
+
+    for m, n in ((1, 1), (1, 6), (3, 5), (4, 4), (5, 8)):
+        us = [sum(c) - m * (m + 1) // 2 for c in combinations(range(1, m + n + 1), m)]
+        for u in range(m * n + 1):
+            assert abs(exact_u_tail(m, n, u) - sum(x <= u for x in us) / comb(m + n, m)) < 1e-12
+    # far into the tail, and near the normal form for large classes
+    assert abs(exact_u_tail(8, 1000, 0) * comb(1008, 8) - 1) < 1e-9
+    from math import erfc, sqrt
+
+    u, mu, sigma = 1500, 8 * 500 / 2, sqrt(8 * 500 * 509 / 12)
+    assert abs(exact_u_tail(500, 8, u) - 0.5 * erfc((mu - u - 0.5) / sigma / sqrt(2))) < 5e-3
