@@ -169,7 +169,11 @@ def test_equal_eigenvalues_constants_and_large_entries(spark):
     big = [(i, [2.0**40 * (i + 1), -(2.0**41) * (i % 3), float(i)]) for i in range(9)]
     out = whitening.whiten(frame(spark, big)).collect()
     # the first and the last dimension depend on each other
-    assert len(out) == 18 and out[0]["identity_error"] < 1e-4 and all(r["deviation"] is None for r in out)
+    assert len(out) == 18 and out[0]["identity_error"] < 1e-4
+    x = [[math.floor(64 * c) for c in v] for _, v in big]
+    exact = [sum((9 * c - sum(col)) ** 2 for c, col in zip(v, zip(*x, strict=True), strict=True)) for v in x]
+    got = {r["vec_id"]: r["deviation"] for r in out}
+    assert got == {i: d if d < 1 << 63 else None for i, d in enumerate(exact)} and None in got.values() and got[4] is not None
 
 
 def test_most_components_and_empty_tables(spark):
