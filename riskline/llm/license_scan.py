@@ -17,7 +17,9 @@ found wherever it is in a line, and the work is linear in the text's length. Wha
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from difflib import SequenceMatcher
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -110,11 +112,15 @@ _LIST_SIGN = re.compile(r"[^.;:!?\n]*[,/|&+][^.;:!?\n]*")
 _LIST_WORDS, _FILLERS = {"or", "and"}, {"the", "a", "an", "either", "both", "under"}
 
 
-def listed_words(text: str) -> tuple[list[str], list[bool]]:
-    """The words of a text, and whether a sign of a list (comma, slash) stands before each. The licenses of an
-    SPDX expression each get the tag, without operators, exceptions and brackets."""
-    low = text.lower().replace("licence", "license")
-    out, signs, last, state = [], [], 0, ""
+def lowered(text: str) -> str:
+    return text.lower().replace("licence", "license")
+
+
+def listed_words(text: str) -> tuple[list[str], list[bool], list[int]]:
+    """The words of a text, whether a sign of a list (comma, slash) stands before each, and where in the lowered text each
+    starts. The licenses of an SPDX expression each get the tag, without operators, exceptions and brackets."""
+    low = lowered(text)
+    out, signs, places, last, state = [], [], [], 0, ""
     for m in _WORD.finditer(low):
         word, gap, last = m[0], low[last : m.start()], m.end()
         if word == TAG:
@@ -131,13 +137,15 @@ def listed_words(text: str) -> tuple[list[str], list[bool]]:
         elif state == "again":
             out.append(TAG)
             signs.append(False)
+            places.append(m.start())
             state = "license"
             word += "-or-later" if low[m.end() : m.end() + 1] == "+" else ""
         else:
             state = ""
         out.append(word)
         signs.append(bool(_LIST_SIGN.fullmatch(gap)))
-    return out, signs
+        places.append(m.start())
+    return out, signs, places
 
 
 def words(text: str) -> list[str]:
@@ -247,21 +255,24 @@ class Scanner:
         at = min(span.index(k) for k in keys)
         return span[:at] if len(own) <= SHORT else []
 
-    def notices(self, block: list[str], signs: list[bool]) -> list[tuple[str, int, int, int]]:
-        """(license, bytes saved, words missing, words added) of all notices in a block: those confirmed that do not overlap a
-        better one are taken out, until none is left. Where a list goes on after one ("... or the ..."), its lead stands before the rest."""
-        out, open_parts = [], [(block, signs)]
+    def notices(self, block: list[str], signs: list[bool], places: list[int]) -> list[tuple[str, int, int, int, int, int]]:
+        """(license, bytes saved, words missing, words added, place of the first word, of the last) of all notices in a block:
+        those confirmed that do not overlap a better one are taken out, until none is left. Where a list goes on after one ("...
+        or the ..."), its lead stands before the rest (at no place of its own)."""
+        out, open_parts = [], [(block, signs, places)]
         while open_parts:
-            block, signs = open_parts.pop()
+            block, signs, places = open_parts.pop()
             taken: list[tuple[int, int, int]] = []
             for saved, i, missing, added, start, end in self.confirmed(block):
                 if all(end <= x or start >= y for x, y, _ in taken):
                     taken.append((start, end, i))
-                    out.append((self.templates[i][0], saved, missing, added))
+                    at = [p for p in places[start:end] if p >= 0]
+                    out.append((self.templates[i][0], saved, missing, added, at[0], at[-1]))
             lead, rest = [], 0
             for start, end, i in [*sorted(taken), (len(block), len(block), -1)] if taken else []:
                 if start > rest:
-                    open_parts.append((lead + block[rest:start], [False] * len(lead) + signs[rest:start]))
+                    none = len(lead)
+                    open_parts.append((lead + block[rest:start], [False] * none + signs[rest:start], [-1] * none + places[rest:start]))
                 if i < 0:
                     break
                 own = self.lead(i, block[start:end])
@@ -274,13 +285,25 @@ class Scanner:
         return out
 
     def scan(self, text: str) -> tuple[int, list[tuple[int, str, int, int, int]]]:
-        """Number of candidate blocks; (first line, license, bytes saved, words missing, words added) of the findings."""
-        blocks, found = blocks_of(text), {}
+        """Number of candidate blocks; (line, license, bytes saved, words missing, words added) of the findings. A notice
+        stands in the block of its own line and in that of the run around it: of findings of one license whose words overlap,
+        the one that saves most counts. Its line is that of its first word."""
+        blocks, found = blocks_of(text), []
+        if not blocks:
+            return 0, []
+        ends = list(accumulate(len(lowered(line)) + 1 for line in text.split("\n")))
         for line, block in blocks:
-            for name, saved, missing, added in self.notices(*listed_words(block)):
-                if (line, name) not in found or saved > found[line, name][0]:
-                    found[line, name] = (saved, missing, added)
-        return len(blocks), [(line, name, *rest) for (line, name), rest in sorted(found.items())]
+            base = ends[line - 1] if line else 0
+            for name, saved, missing, added, first, last in self.notices(*listed_words(block)):
+                found.append((saved, name, missing, added, base + first, base + last))
+        spans: dict[str, list[tuple[int, int]]] = {}
+        out = []
+        for saved, name, missing, added, first, last in sorted(found, key=lambda x: (-x[0], *x[1:])):
+            own = spans.setdefault(name, [])
+            if all(last < a or first > b for a, b in own):
+                own.append((first, last))
+                out.append((bisect_right(ends, first), name, saved, missing, added))
+        return len(blocks), sorted(out)
 
 
 def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

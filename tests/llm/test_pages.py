@@ -187,3 +187,18 @@ def test_license_table(spark):
     assert len(rows) == len(DOCS)
     assert {r.doc_id: r.licenses for r in rows if r.n_findings} == {16: "MIT"}
     assert license_scan.scan_licenses(empty(spark)).count() == 0
+
+
+def test_license_notices_are_counted_once_at_their_lines():
+    """A one-line notice stands in its line's block and in the run around it: one finding, at its own line."""
+    scanner = license_scan.Scanner()
+    notice = "Released under the MIT License."
+    for before in range(6):
+        lines = [f"a{i} b{i}" for i in range(before)] + [notice, "d"]
+        n, found = scanner.scan("\n".join(lines))
+        assert [(f[0], f[1]) for f in found] == [(before, "MIT")] and n == 2
+    # two notices of one license in a run, of two licenses in a run, far apart, and after letters that grow when lowered
+    two = ["İİİ", notice, "x y z", "w", notice, "v", "Licensed under the Apache License, Version 2.0.", *(["far away"] * 40), notice]
+    assert [(f[0], f[1]) for f in scanner.scan("\n".join(two))[1]] == [(1, "MIT"), (4, "MIT"), (6, "Apache-2.0"), (47, "MIT")]
+    # a notice over two lines is found by its run only
+    assert [(f[0], f[1]) for f in scanner.scan("q r\nReleased under the\nMIT License.\ns t")[1]][:1] == [(1, "MIT")]
