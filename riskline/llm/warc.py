@@ -2,15 +2,17 @@
 
 Each page becomes three records: a response (or a revisit of an equal payload), the request, and a metadata
 record; the last two name the first in ``WARC-Concurrent-To``. Archives are plain WARC 1.1 files that Spark's own
-writer puts into the shared checkpoint folder (any store that Spark reaches), of about ``FILE_BYTES`` each. They
-are read as whole files through Spark; records are found by their lengths, and each response's digest is computed again.
+writer puts into the shared checkpoint folder (any store that Spark reaches). An archive ends with the page that brings it to
+``FILE_BYTES``, however uneven the pages are. They are read as whole files through Spark; records are found by their lengths,
+and each response's digest is computed again.
 
 Transaction assembly: records are grouped by the record they are concurrent to, partial aggregation first,
-and give one nested row per capture (response, request, metadata).
+and give one nested row per capture (response, request, metadata). ``WARC-Refers-To`` names a record of the archives, and
+references are resolved by joining them to record ids.
 
 Of pages with equal payloads of at least ``REVISIT_BYTES`` bytes, those with the largest page id are responses, the others
 revisit it; smaller payloads are all responses. Null pages are empty; null ids never win unless all are null; repeated rows are
-captures of their own. Line breaks in a URL are left out of the headers. An empty table writes no records and gives no rows.
+captures of their own, of which a reference names one. Line breaks in a URL are left out of the headers. An empty table writes no records and gives no rows.
 """
 
 from __future__ import annotations
@@ -27,8 +29,6 @@ from riskline.session import ensure_checkpoint_dir
 
 REVISIT_BYTES = 1000
 FILE_BYTES = 8 << 20
-#: Bytes of headers and of the two short records, about, per page.
-HEADER_BYTES = 1100
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
 
@@ -41,19 +41,38 @@ def _record(kind: str, own_id: Column, headers: list[tuple[str, Column]], block:
     return F.concat(*lines, F.lit("\r\nContent-Length: "), F.octet_length(block).cast("string"), F.lit("\r\n\r\n"), block, F.lit("\r\n"))
 
 
+def _named(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``winner`` (the largest page id of equal payloads, if there are several) and ``tail``, which ends the ids
+    of a page's records: empty for the first of the rows of one page and payload, and a number for the others. Only rows
+    that are repeated are written out for it, as their numbers must not change between two reads."""
+    keys = cut(rows.groupBy("page_id", "digest", "bytes").agg(F.count("*").alias("times")))
+    same = keys.filter(F.col("bytes") >= REVISIT_BYTES).groupBy("digest").agg(F.max("page_id").alias("winner"), F.sum("times").alias("n"))
+    same = cut(same.filter("n > 1").select("digest", "winner"))
+    again = keys.filter("times > 1").select(F.col("page_id").alias("_page"), F.col("digest").alias("_digest"))
+    tail = F.lit("")
+    if again.head(1):
+        again = small(again)
+        met = (F.col("digest") == F.col("_digest")) & F.col("page_id").eqNullSafe(F.col("_page"))
+        copies = cut(rows.join(again, met, "left_semi").withColumn("copy", F.monotonically_increasing_id()))
+        first = cut(copies.groupBy("page_id", "digest").agg(F.min("copy").alias("copy")).select(F.col("copy").alias("_copy")))
+        copies = copies.join(small(first), F.col("copy") == F.col("_copy"), "left")
+        copies = copies.withColumn("tail", F.when(F.col("_copy").isNotNull(), tail).otherwise(F.concat(F.lit(":"), F.col("copy").cast("string"))))
+        rows = rows.join(again, met, "left_anti").withColumn("tail", tail).unionByName(copies.drop("copy", "_copy"))
+    else:
+        rows = rows.withColumn("tail", tail)
+    return rows.join(small(same), "digest", "left")
+
+
 def with_records(pages: DataFrame) -> DataFrame:
     """(value): per page the text of its three records. ``pages`` has page_id, url, html."""
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(F.col("page_id"), F.translate(F.coalesce("url", F.lit("")), "\r\n", "").alias("url"), html.alias("html"))
-    rows = rows.withColumns({"digest": F.sha1(F.col("html").cast("binary")), "bytes": F.octet_length("html")})
-    same = rows.filter(F.col("bytes") >= REVISIT_BYTES).groupBy("digest").agg(F.max("page_id").alias("winner"), F.count("*").alias("n"))
-    same = cut(same.filter("n > 1").select("digest", "winner"))
-    rows = rows.join(small(same), "digest", "left").withColumn("copy", F.monotonically_increasing_id().cast("string"))
+    rows = _named(rows.withColumns({"digest": F.sha1(F.col("html").cast("binary")), "bytes": F.octet_length("html")}))
 
     page = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
     name = lambda of, *more: F.concat(F.lit("<urn:capture:"), of, F.lit(":"), F.col("digest"), *more, F.lit(">"))
-    own = name(page, F.lit(":"), F.col("copy"))
-    part = lambda what: name(page, F.lit(":"), F.col("copy"), F.lit(f":{what}"))
+    own = name(page, F.col("tail"))
+    part = lambda what: name(page, F.col("tail"), F.lit(f":{what}"))
     host = F.regexp_extract("url", "^[a-z]+://([^/?#]*)", 1)
     path = F.regexp_extract("url", "^[a-z]+://[^/?#]*([^#]*)", 1)
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("bytes").cast("string"), F.lit("\r\n\r\n"))
@@ -73,13 +92,30 @@ def with_records(pages: DataFrame) -> DataFrame:
     return rows.select(F.concat(request, gap, F.when(again, revisit).otherwise(response), gap, metadata).alias("value"))
 
 
-def write_archives(pages: DataFrame, path: str | None = None) -> str:
-    """Writes the pages' records as WARC files and returns their folder."""
+def write_archives(pages: DataFrame, path: str | None = None, file_bytes: int = FILE_BYTES) -> str:
+    """Writes the pages' records as WARC files and returns their folder. Each task joins records until they have
+    ``file_bytes``; such a text is one row of Spark's writer, and one file."""
     spark = pages.sparkSession
     path = path or f"{ensure_checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
-    size = pages.agg(F.coalesce(F.avg(F.octet_length(F.col("html").cast("string"))), F.lit(0.0))).first()[0]
-    each = max(1, int(FILE_BYTES / (HEADER_BYTES + size)))
-    with_records(pages).write.option("lineSep", "\r\n").option("maxRecordsPerFile", each).text(path)
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            for value in batch.column(0):
+                text = value.as_buffer().to_pybytes()
+                held.append(text)
+                size += len(text)
+                if size >= file_bytes:
+                    yield archive(held)
+                    held, size = [], 0
+        if held:
+            yield archive(held)
+
+    def archive(records: list[bytes]) -> pa.RecordBatch:
+        column = pa.array([b"\r\n".join(records)], pa.binary()).cast(pa.string())
+        return pa.RecordBatch.from_arrays([column], names=["value"])
+
+    with_records(pages).mapInArrow(run, "value string").write.option("lineSep", "\r\n").option("maxRecordsPerFile", 1).text(path)
     return path
 
 
@@ -151,13 +187,14 @@ def archive_digest(pages: DataFrame) -> DataFrame:
     """Pages written as archives and read back: ``page_id, payload_bytes, payload_digest, record_type, refers_to``."""
     kind = pages.schema["page_id"].dataType
     path = write_archives(pages.select("page_id", "url", "html"))
-    page = lambda x: F.nullif(x, F.lit("")).cast(kind)
-    return captures(read_records(pages.sparkSession, path, payloads=False)).select(
-        page(F.regexp_extract("metadata.fields", "(?s)page-id: (.*)\r\n", 1)).alias("page_id"),
-        F.col("response.payload_bytes").alias("payload_bytes"),
-        F.col("response.payload_digest").alias("payload_digest"),
-        F.col("response.kind").alias("record_type"),
-        page(F.regexp_extract("response.refers_to", "<urn:capture:(.*):[0-9a-f]{40}>", 1)).alias("refers_to"),
+    page = F.nullif(F.regexp_extract("metadata.fields", "(?s)page-id: (.*)\r\n", 1), F.lit("")).cast(kind)
+    read = captures(read_records(pages.sparkSession, path, payloads=False))
+    read = cut(read.select(page.alias("page_id"), F.col("response.*")).drop("fields", "payload"))
+    wanted = read.select("refers_to").filter("refers_to is not null").distinct()
+    named = read.select(F.col("record_id").alias("refers_to"), F.col("page_id").alias("_page"))
+    named = cut(named.join(small(wanted), "refers_to", "left_semi"))
+    return read.join(small(named), "refers_to", "left").select(
+        "page_id", "payload_bytes", "payload_digest", F.col("kind").alias("record_type"), F.col("_page").alias("refers_to")
     )
 
 

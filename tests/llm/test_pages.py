@@ -52,6 +52,28 @@ def test_captures_are_whole(spark):
     assert sum(r.response.kind == "revisit" for r in rows) == sum(x[3] == "revisit" for x in expected(PAGES))
 
 
+def test_references_name_records(spark):
+    path = warc.write_archives(pages(spark).select("page_id", "url", "html"))
+    rows = warc.read_records(spark, path).collect()
+    ids = [r.record_id for r in rows]
+    assert len(ids) == len(set(ids)) == 3 * len(PAGES)
+    by_id = {r.record_id: r for r in rows}
+    revisits = [r for r in rows if r.kind == "revisit"]
+    assert revisits
+    for r in revisits:
+        assert by_id[r.refers_to].kind == "response" and by_id[r.refers_to].payload_digest == r.payload_digest
+    assert all(r.capture in by_id for r in rows)
+
+
+def test_archives_of_uneven_pages(spark, tmp_path):
+    rows = [(i, "u", str(i) + "x" * (60_000 if 300 <= i < 400 else 40)) for i in range(600)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string").repartitionByRange(2, "page_id")
+    path = warc.write_archives(table, str(tmp_path / "warc"), file_bytes=100_000)
+    sizes = [f.stat().st_size for f in (tmp_path / "warc").glob("part-*")]
+    assert 30 < len(sizes) < 300 and max(sizes) < 200_000
+    assert warc.captures(warc.read_records(spark, path)).count() == 600
+
+
 def test_broken_archives_are_refused():
     with pytest.raises(ValueError):
         list(warc.records_in(b"WARC/1.1\r\nContent-Length: 9\r\n\r\nabc\r\n\r\n"))
