@@ -50,6 +50,22 @@ def test_rules_are_ordered_by_rejection_per_cost(spark):
     worth = [share / cost for _, cost, share in order]
     assert worth == sorted(worth, reverse=True)
     assert quality_rules.judge(empty(spark)).count() == 0
+    # among texts that the rules before have left: no text is counted twice
+    rows = rule_rows()
+    assert abs(sum(share for _, _, share in order) - sum(not kept(t)[1] for _, t in rows) / len(rows)) < 1e-9
+
+
+def test_order_of_the_shown_measures_is_steady(spark):
+    rows = rule_rows() * 3
+    orders = {tuple(r.name for r, _, _ in quality_rules.order_rules(frame(spark, rows), paid=quality_rules.PAID)) for _ in range(4)}
+    assert len(orders) == 1 and next(iter(orders))[-1] == "capitals"
+
+
+def test_later_measures_only_inside_the_cascade(spark, capsys):
+    quality_rules.judge(frame(spark, rule_rows())).explain("extended")
+    plan = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    letters = [line for line in plan.split("\n") if "[^A-Z]+" in line]
+    assert len(letters) == 1 and letters[0].index("CASE WHEN") < letters[0].index("[^A-Z]+")
 
 
 def bench_words(t):
