@@ -21,7 +21,8 @@ give per set or per pair:
 4. ``overlaps``. For the pairs, each fragment counts its partial overlap; the sums are exact.
    Linked pairs join components.
 5. The other pairs of a list matter only between components. For x and y around a centre c,
-   |x&y| <= min(|x&c|, |y&c|) + |(x-c)&(y-c)|. Pairs that the first part leaves, or that share one of the first n-grams
+   |x&y| <= min(|x&c|, |y&c|) + |(x-c)&(y-c)|. What members have outside their centre is fetched only for centres with members
+   of several components that are not all nearest to one other centre. Pairs that the first part leaves, or that share one of the first n-grams
    outside the centre (a prefix as in 2), are counted as in 4; of two sets that are nearest to one centre, that centre decides.
 
 Nulls, empty texts and texts of white space have an empty set and are linked with nothing.
@@ -370,12 +371,12 @@ def linked_classes(docs: DataFrame, classes: DataFrame, k: int, similar: int) ->
     size_a = sizes.select(F.col("fp").alias("a"), F.col("n").alias("n_a"), F.col("s").alias("s_a"))
     size_b = sizes.select(F.col("fp").alias("b"), F.col("n").alias("n_b"), F.col("s").alias("s_b"))
 
-    def counted(pairs: DataFrame, rest: bool) -> DataFrame:
-        met = overlaps(pairs, segments, pairs.count(), rest)
+    def counted(pairs: DataFrame) -> DataFrame:
+        met = overlaps(pairs, segments, pairs.count())
         return cut(met.join(small(size_a, rows), "a").join(small(size_b, rows), "b"))
 
     enough = (100 + similar) * F.col("overlap") >= similar * (F.col("n_a") + F.col("n_b"))
-    stars = counted(star, True)
+    stars = counted(star)
     edges = stars.filter(enough).select("a", "b")
     root = components(edges)
 
@@ -383,19 +384,26 @@ def linked_classes(docs: DataFrame, classes: DataFrame, k: int, similar: int) ->
     # at most min(|x&c|, |y&c|), and what they share outside the centre. Of two sets that are nearest to the
     # same centre, only that centre decides.
     named = root.select("node", "root")
-    x = stars.select("a", "b", F.col("n_b").alias("n"), F.col("overlap").alias("o"), "rest")
+    x = stars.select("a", "b", F.col("n_b").alias("n"), F.col("overlap").alias("o"))
     top = cut(x.groupBy("b").agg(F.max(F.struct("o", "a"))["a"].alias("top")))
     least = cut(x.groupBy("a").agg(F.min("n").alias("least_n")))
     x = x.join(small(named.withColumnRenamed("node", "b"), rows), "b", "left").withColumn("root", F.coalesce("root", "b"))
     x = x.join(small(top, rows), "b").join(small(least, rows), "a")
+    # centres whose members are all of one component, or all nearest to one other centre, decide no pair
+    ends = [f(c).alias(f"{m}_{c}") for c in ("root", "top") for m, f in (("low", F.min), ("high", F.max))]
+    deciding = cut(x.groupBy("a").agg(*ends).filter("low_root != high_root and (low_top != high_top or low_top = a)").select("a"))
+    x = x.join(small(deciding, rows), "a", "left_semi")
     # a partner of x has similar / 100 * n n-grams at least, so they share ``wanted``; among the first of rest in any
     # one order there is one that they share, if they share enough outside the centre
     partner = F.greatest(F.col("least_n"), F.ceil(similar * F.col("n") / 100))
     wanted = F.ceil(similar * (F.col("n") + partner) / (100 + similar)).cast("long")
     length = F.greatest(F.col("n") - wanted + 1, F.lit(0)).cast("int")
-    whole = F.size("rest") <= 2 * length  # near the centre: all of it, so that counts are exact
-    first = F.when(whole, F.col("rest")).otherwise(F.slice(F.sort_array("rest"), 1, length))
-    x = cut(x.select("a", "b", "n", "o", "root", "top", (F.col("o") >= wanted).alias("enough"), whole.alias("whole"), first.alias("rest")))
+    whole = F.col("n") - F.col("o") <= 2 * length  # near the centre: all of rest, so that counts are exact
+    x = cut(x.withColumns({"enough": F.col("o") >= wanted, "whole": whole, "length": length}).drop("least_n"))
+    met = x.select("a", "b")
+    met = overlaps(met, segments, met.count(), True).select("a", "b", "rest")
+    first = F.when(F.col("whole"), F.col("rest")).otherwise(F.slice(F.sort_array("rest"), 1, F.col("length")))
+    x = cut(x.join(met, ["a", "b"]).select("a", "b", "n", "o", "root", "top", "enough", "whole", first.alias("rest")))
     centres = small(named.select(F.col("node").alias("a"), F.col("root").alias("root_a")), rows)
     outside = x.join(centres, "a", "left").filter(F.col("root") != F.coalesce("root_a", "a")).drop("root_a")
     y = x.select("a", *(F.col(c).alias(f"{c}2") for c in ("b", "n", "o", "root", "top", "whole", "rest")))
@@ -415,7 +423,7 @@ def linked_classes(docs: DataFrame, classes: DataFrame, k: int, similar: int) ->
     # a count over the whole of both is exact
     outer = outer.filter(~(F.col("whole") & F.col("whole2")) | ((100 + similar) * (F.least("o", "o2") + F.col("extra")) >= need)).select(*pair)
     near = cut(inner.union(outer).distinct())
-    more = counted(near, False).filter(enough).select("a", "b")
+    more = counted(near).filter(enough).select("a", "b")
     more = cut(more)
     if not more.head(1):
         return root
