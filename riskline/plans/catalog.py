@@ -10,3 +10,4 @@ from riskline.plans import model_queries  # noqa: F401
 from riskline.plans import clean_queries  # noqa: F401
 from riskline.plans import extra_fixture_queries  # noqa: F401
 from riskline.plans import degenerate_queries  # noqa: F401
+from riskline.plans import state_queries  # noqa: F401
