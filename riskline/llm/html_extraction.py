@@ -6,6 +6,9 @@ evidence for content and the other way round (landmark elements, class and id wo
 link share). Blocks that follow each other, and blocks of one parent element, are joined by smoothness edges. The
 minimum cut (augmenting paths) separates content from boilerplate; the content blocks are the text.
 
+Class and id words mark all that is in an element, but not if it is a wrapper of the page: one that holds every article and main
+element (every h1, on a page without them) and most of the text. A title (h1) in an article is not marked by the words of what is around it.
+
 Pages stay in their partitions; nothing is shuffled. A page of any length is read whole; work is linear in
 its length but for the flow, which is short-range. Null and empty pages, and pages without text, give an empty text. Repeated rows
 and ids each give their row. Tags that are cut off or never closed are taken as far as they go.
@@ -67,29 +70,54 @@ MARKED, INSIDE, OUTSIDE, NEXT, SIBLING = 60, 30, 30, 3, 4
 
 
 class Block:
-    __slots__ = ("text", "linked", "marked", "article", "parent", "tag")
+    __slots__ = ("text", "linked", "marked", "article", "parent", "tag", "near")
 
-    def __init__(self, text: str, linked: int, marked: bool, article: bool, parent: int, tag: str):
-        self.text, self.linked, self.marked, self.article, self.parent, self.tag = text, linked, marked, article, parent, tag
+    def __init__(self, text: str, linked: int, marked: bool, article: bool, parent: int, tag: str, near: int):
+        self.text, self.linked, self.marked, self.article, self.parent, self.tag, self.near = text, linked, marked, article, parent, tag, near
 
 
-def marks(attributes: str) -> bool:
-    """Whether class, id, role or visibility says that an element is boilerplate."""
+def marks(attributes: str) -> tuple[bool, bool]:
+    """Whether an element is hidden, and whether words of its class, id or role say that it is boilerplate."""
+    words = False
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or "").strip("\"'")
         if name == "hidden":
-            return True
+            return True, words
         if name == "style":
             if "display:none" in value.replace(" ", "").lower():
-                return True
+                return True, words
         elif any(w.lower() in MARKS for w in _WORD.findall(value)) or any(w in MARKS for w in re.split(r"[^a-z]+", value.lower())):
-            return True
-    return False
+            words = True
+    return False, words
+
+
+def mark_by_words(blocks: list[Block], outer: dict[int, int], anchors: list[int]) -> None:
+    """Marks the blocks in elements with boilerplate words, but for wrappers. ``outer``: the next such element around each (0: none), by
+    number, so that outer ones come first; ``anchors``: the innermost of them around each article and main element (or h1)."""
+    text, held = Counter[int](), Counter(anchors)
+    for b in blocks:
+        if not b.marked:
+            text[b.near] += len(b.text)
+    whole = text.total()
+    for number, around in reversed(outer.items()):
+        if around:
+            text[around] += text[number]
+            held[around] += held[number]
+    bad = {0: False}
+    for number, around in outer.items():
+        wrapper = anchors and held[number] == len(anchors) and 2 * text[number] > whole
+        bad[number] = bad[around] or not wrapper
+    for b in blocks:
+        b.marked |= bad[b.near] and not (b.article and b.tag == "h1")
 
 
 def blocks_of(html: str) -> tuple[list[Block], bool]:
     """The text blocks of a page in order, and whether it has an article or main element."""
-    stack: list[tuple[str, bool, bool, int, bool]] = [("", False, False, 0, False)]  # tag, marked, in article, number, in a link
+    # tag, marked by a tag or hidden, in article, number, in a link, innermost element with boilerplate words
+    stack: list[tuple[str, bool, bool, int, bool, int]] = [("", False, False, 0, False, 0)]
+    outer: dict[int, int] = {}
+    articles: list[int] = []
+    titles: list[int] = []
     opened: Counter[str] = Counter()  # open elements by name: an end tag without any is passed over at once
     out: list[Block] = []
     run: list[str] = []
@@ -112,9 +140,9 @@ def blocks_of(html: str) -> tuple[list[Block], bool]:
                 place = len(stack) - 1
                 while place and stack[place][0] not in BLOCK:
                     place -= 1
-                tag, marked, article, own, _ = stack[place]
+                tag, marked, article, own, _, _ = stack[place]
                 parent = stack[place - 1][3] if place else own
-                out.append(Block(text, linked, marked or stack[-1][1], article, parent, tag))
+                out.append(Block(text, linked, marked or stack[-1][1], article, parent, tag, stack[-1][5]))
             run.clear()
         linked = 0
 
@@ -183,11 +211,19 @@ def blocks_of(html: str) -> tuple[list[Block], bool]:
         top = stack[-1]
         article = tag in ("article", "main")
         has_article |= article
-        marked = top[1] or tag in LANDMARK or (tag not in ROOTS and bool(m[3]) and m[3] != "/" and marks(m[3]))
+        hidden, words = marks(m[3]) if tag not in ROOTS and m[3] and m[3] != "/" else (False, False)
+        marked = top[1] or tag in LANDMARK or hidden
+        near = top[5]
+        if article or tag == "h1":
+            (articles if article else titles).append(near)
+        if words:
+            outer[number] = near
+            near = number
         if not m[3].endswith("/"):
-            stack.append((tag, marked, top[2] or article, number, top[4] or tag == "a"))
+            stack.append((tag, marked, top[2] or article, number, top[4] or tag == "a", near))
             opened[tag] += 1
     close()
+    mark_by_words(out, outer, articles or titles)
     return out, has_article
 
 

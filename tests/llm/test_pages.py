@@ -117,6 +117,25 @@ def test_main_text(html, text):
         assert main_text(html) == text
 
 
+def test_wrappers_and_titles_with_boilerplate_words():
+    body = [f"{prose(60 + i, 40)}." for i in range(4)]
+    text = "".join(f"<p>{x}</p>" for x in body)
+    aside = "<div class=sidebar><p>Popular posts of the week</p></div><div class='post-comments'><p>I like it.</p></div>"
+    for inner, first in ((f"<article><h1>Title</h1>{text}</article>", "Title"), (f"<div><h1>Title</h1>{text}</div>", "Title")):
+        for wrapper in ("page with-sidebar", "has-header", "layout menu-left"):
+            for page in (f"<div class='{wrapper}'>{inner}{aside}</div>", f"<div id=menu-page><div class='{wrapper}'>{inner}</div>{aside}</div>"):
+                assert main_text(f"<body>{page}</body>").split("\n") == [first, *body]
+    titled = f"<article><div class='article-header'><h1>Title</h1></div>{text}</article>"
+    assert main_text(titled).split("\n") == ["Title", *body]
+    # sections that only look like a wrapper: teasers in article elements, comments longer than the article, a hidden copy
+    teasers = "<div class=related>" + f"<article><p>{prose(70, 60)}.</p></article>" * 3 + "</div>"
+    assert main_text(f"<article>{text}</article>{teasers}").split("\n") == body
+    comments = f"<article>{text}</article><div class=comments>" + f"<article><p>{prose(71, 300)}.</p></article>" * 3 + "</div>"
+    assert main_text(comments).split("\n") == body
+    assert main_text(f"<div hidden class=menu><article>{text}</article></div><p>Visible text, a few words.</p>") == "Visible text, a few words."
+    assert main_text("<div class=menu>" * 20000 + f"<article>{text}</article>").split("\n") == body
+
+
 def test_text_outside_the_article():
     body = [f"{prose(30 + i, 40)}." for i in range(6)]
     page = "<article><p>A short lead of the text.</p></article><div>" + "".join(f"<p>{x}</p>" for x in body) + "</div><footer>Imprint of it all</footer>"
