@@ -1,9 +1,12 @@
 """What keeps forests and wide neighbour joins in proportion: the same results by less work."""
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from riskline.operators import models as MD
+from riskline.operators import neighbors as N
 
 
 def _frame(spark, n):
@@ -28,3 +31,33 @@ def test_many_rows_of_a_forest_are_dealt_evenly(spark, monkeypatch):
     sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
     assert len(sizes) >= max(12, spark.sparkContext.defaultParallelism) and max(sizes) <= 2 * min(sizes)
     assert sorted(r["id"] for r in out.collect()) == list(range(600))
+
+
+def test_wide_rows_squared_distances_by_one_product():
+    r = np.random.default_rng(3)
+    q, d = r.normal(size=(40, 12)), r.normal(size=(70, 12))
+    a, b = N._sides(q, d)
+    assert np.allclose(a @ b.T, ((q[:, None] - d[None]) ** 2).sum(axis=2), atol=1e-4)
+
+
+def test_own_pairs_with_repeated_and_missing_ids():
+    qids, ids = np.array([5, 1, 5, 9, 2]), np.array([1, 1, 2, 5, 7])
+    i, j = N._own(qids, ids)
+    assert sorted(zip(i.tolist(), j.tolist())) == [(0, 3), (1, 0), (1, 1), (2, 3), (4, 2)]
+    i, j = N._own(np.array([1.0, np.nan]), np.array([1.0, np.nan]))
+    assert list(zip(i.tolist(), j.tolist())) == [(0, 0)]
+
+
+def test_wide_neighbours_with_repeated_ids_equal_brute_force(monkeypatch):
+    monkeypatch.setattr(N, "QUERY_CHUNK", 16)
+    monkeypatch.setattr(N, "DONOR_CHUNK", 32)
+    r = np.random.default_rng(4)
+    x = np.round(r.normal(size=(150, 10)), 1)
+    x[::9] = x[0]  # copies
+    ids = np.arange(150) % 120  # repeated ids
+    a, b, dist = N._local_topk(ids, x, ids, x, 4, True)
+    found = pd.DataFrame({"q": a, "id": ids[b], "d": dist})
+    for q in range(150):
+        all_ = sorted((float(np.sqrt(sum((u - v) * (u - v) for u, v in zip(x[q], x[j])))), int(ids[j])) for j in range(150) if ids[j] != ids[q])[:4]
+        mine = sorted(zip(found[found.q == q].d, found[found.q == q].id))
+        assert [i for _, i in mine] == [i for _, i in all_] and np.allclose([v for v, _ in mine], [v for v, _ in all_])
