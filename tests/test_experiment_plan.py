@@ -1,5 +1,7 @@
 """The experiment matrix: the whole plan, its ledger, and results that follow from the emitted predictions."""
 
+import uuid
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -114,3 +116,21 @@ def test_synthetic_rows_of_each_training_set(spark, frames):
 def _between(a, b, x):
     gap = [(v - p) / (q - p) for p, q, v in zip(a, b, x) if abs(q - p) > 1e-9 * max(abs(p), abs(q), 1)]
     return bool(gap) and max(gap) - min(gap) < 1e-6 and -1e-9 <= gap[0] <= 1 + 1e-9 and all(abs(v - p) < 1e-6 * max(abs(p), 1) for p, q, v in zip(a, b, x) if abs(q - p) <= 1e-9 * max(abs(p), abs(q), 1))
+
+
+def test_orders_are_aggregated_once_for_the_model_input(spark, monkeypatch, tmp_path):
+    real = X.FX.cohort
+
+    def marked(spark, sf_dir):
+        df = real(spark, sf_dir)
+
+        def run(batches):
+            (tmp_path / uuid.uuid4().hex).touch()
+            yield from batches
+
+        return df.coalesce(1).mapInArrow(run, df.schema)
+
+    monkeypatch.setattr(X.FX, "cohort", marked)
+    rows = X.cohort_model_input(spark, SF001)
+    assert rows.count() == real(spark, SF001).count() and not rows.where("max_total is null").count()
+    assert len(list(tmp_path.iterdir())) == 1
