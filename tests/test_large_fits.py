@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
@@ -61,3 +62,28 @@ def test_wide_neighbours_with_repeated_ids_equal_brute_force(monkeypatch):
         all_ = sorted((float(np.sqrt(sum((u - v) * (u - v) for u, v in zip(x[q], x[j])))), int(ids[j])) for j in range(150) if ids[j] != ids[q])[:4]
         mine = sorted(zip(found[found.q == q].d, found[found.q == q].id))
         assert [i for _, i in mine] == [i for _, i in all_] and np.allclose([v for v, _ in mine], [v for v, _ in all_])
+
+
+def test_fourier_features_are_projected_by_batches(spark):
+    df = _frame(spark, 50).select("id", (F.col("a") / 50).alias("a"), (F.col("b") / 7).alias("b"))
+    wide, names = MD.random_fourier_features(df, ["a", "b"], 0.5, n_components=6, seed=4)
+    assert wide.columns == [*df.columns, *names]
+    rng = np.random.default_rng(4)
+    w, shift = rng.normal(0.0, 1.0, size=(6, 2)), rng.uniform(0.0, 2 * np.pi, size=6)
+    rows = wide.toPandas()
+    assert np.allclose(rows[names], np.sqrt(2 / 6) * np.cos(rows[["a", "b"]].to_numpy() @ w.T + shift), atol=1e-12)
+    vectors = MD.fourier_vectors(df, ["a", "b"], 0.5, n_components=6, seed=4)
+    assert [list(r[MD.FEATURES]) for r in vectors.collect()] == rows[names].to_numpy().tolist()
+    plan = vectors._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "cos(" not in plan.lower()  # no expression per component and row
+    for bad in (None, float("nan"), float("inf")):
+        odd = spark.createDataFrame([(1, bad, 1.0)], "id long, a double, b double")
+        with pytest.raises(Exception):  # noqa: B017  (as null features are elsewhere)
+            MD.fourier_vectors(odd, ["a", "b"], 0.5).collect()
+
+
+def test_rows_of_a_fourier_svm_are_scored_once(spark):
+    df = _frame(spark, 300).select("id", (F.col("a") / 50).alias("a"), (F.col("b") / 7).alias("b"), "label")
+    scored = MD.fit_model("svm", {"C": 1, "kernel": "rbf", "gamma": "scale"}, df, ["a", "b"], "label", "id").predict(df)
+    assert "EvalPython" not in scored._jdf.queryExecution().executedPlan().toString()
+    assert scored.count() == 300 and scored.where(F.col("prediction") == F.col("label")).count() > 240
