@@ -1,6 +1,11 @@
+import os
+import time
 from collections import Counter
 
-from riskline.llm.jaccard_join import keep_one, near_duplicate_components
+from pyspark.sql import functions as F
+
+from riskline.llm.jaccard_join import FRAGMENTS, fragments, keep_one, near_duplicate_components, overlaps, rest_of
+from riskline.llm.tables import cut, step
 from tests.llm.samples import DOCS, empty, frame, prose, words
 
 
@@ -88,3 +93,38 @@ def test_components_and_keepers(spark):
 def test_empty_tables(spark):
     assert near_duplicate_components(empty(spark)).count() == 0
     assert keep_one(frame(spark, [(1, None), (1, ""), (None, " ")])).count() == 3
+
+
+def _shuffle_files(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+
+
+def test_a_step_leaves_only_what_later_steps_read(spark):
+    """Disk holds neither the cuts that nothing reads any more nor the shuffles of finished jobs."""
+    first = cut(spark.range(1000).select("id", (F.col("id") % 7).alias("k")))
+    counted = step(first.groupBy("k").count().orderBy("k"), first)
+    assert os.path.exists(counted._cut_path.removeprefix("file:")) and not os.path.exists(first._cut_path.removeprefix("file:"))
+    spark._jvm.System.gc()
+    time.sleep(2)
+    before = _shuffle_files(spark)
+    for i in range(3):
+        step(spark.range(1000).groupBy((F.col("id") % (5 + i)).alias("k")).count())
+    step(spark.range(1).select("id"))
+    deadline = time.time() + 20
+    while _shuffle_files(spark) > before and time.time() < deadline:
+        time.sleep(0.2)
+    assert _shuffle_files(spark) <= before
+    assert [tuple(r) for r in counted.orderBy("k").collect()] == [(k, len(range(k, 1000, 7))) for k in range(7)]
+
+
+def test_rest_is_read_fragment_by_fragment_until_it_is_enough(spark):
+    grams = {1: [-5, 3, 9], 2: [-(2**62) - 9, -7, -5, 1, 4, 2**62 + 1, 2**63 - 1], 3: [-5]}
+    sets = spark.createDataFrame([(k, v) for k, v in grams.items()], "fp long, grams array<long>")
+    pairs = spark.createDataFrame([(1, 2, 3), (1, 3, 5), (3, 2, 99)], "a long, b long, most int")
+    met, _ = rest_of(pairs, fragments(sets, FRAGMENTS), 3)
+    # unsigned order: 1, 4, 2^62 + 1, 2^63 - 1, then the negative ones
+    got = {(r["a"], r["b"]): r["rest"] for r in met.collect()}
+    assert sorted(got[(1, 2)]) == [1, 4, 2**62 + 1] and got[(1, 3)] == [] and sorted(got[(3, 2)]) == sorted(set(grams[2]) - {-5})
+    met, counts = overlaps(pairs, fragments(sets, FRAGMENTS), 3)
+    assert {(r["a"], r["b"]): r["overlap"] for r in met.collect()} == {(1, 2): 1, (1, 3): 1, (3, 2): 1} and len(counts) == FRAGMENTS
