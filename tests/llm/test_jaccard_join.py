@@ -128,3 +128,15 @@ def test_rest_is_read_fragment_by_fragment_until_it_is_enough(spark):
     assert sorted(got[(1, 2)]) == [1, 4, 2**62 + 1] and got[(1, 3)] == [] and sorted(got[(3, 2)]) == sorted(set(grams[2]) - {-5})
     met, counts = overlaps(pairs, fragments(sets, FRAGMENTS), 3)
     assert {(r["a"], r["b"]): r["overlap"] for r in met.collect()} == {(1, 2): 1, (1, 3): 1, (3, 2): 1} and len(counts) == FRAGMENTS
+
+
+def test_kept_rows_leave_no_sets_on_disk(spark):
+    """The pipeline's stage: what is left in the shared folder names classes and rows, but holds no set's n-grams."""
+    folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir")
+    top = os.path.dirname(cut(spark.range(1))._cut_path.removeprefix("file:"))
+    assert folder
+    before = set(os.listdir(top))
+    keep_one(frame(spark, rows())).count()
+    left = [d for d in os.listdir(top) if d not in before and d.startswith("cut-")]
+    columns = {c for d in left for c in spark.read.parquet(f"{top}/{d}").columns}
+    assert "fp" in columns and not columns & {"grams", "rest", "one", "sets", "fps"}
